@@ -1,0 +1,28 @@
+"""Size-checked broadcast.
+
+Dimensions (sources, fields, units) are bounded by configuration: a handful of
+vendors, fields and currency codes.  Tables that grow with the business
+(instruments, their unit ranges, identifiers) are broadcast only after a row
+count proves them small; beyond the limit the join is left to Spark, which
+plans a shuffle join and may still switch to broadcast at runtime through AQE
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``), using measured sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a dimension that are safe to ship to every executor.
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def config_dim(df: DataFrame) -> DataFrame:
+    """Broadcast a configuration table (bounded by definition, e.g. sources)."""
+    return F.broadcast(df)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
