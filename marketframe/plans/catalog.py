@@ -66,3 +66,112 @@ def q_get_hist(spark, sf_dir):
     md = m(spark, sf_dir)
     h = get_hist(md.ts_usd, md.equity_tickers(), ["close", "totret"], HIST_FROM, HIST_TO)
     return h.select("ticker", "field", "date", dbl("value"))
+
+
+# ============================================================ portfolio chain
+def _combined(md):
+    return md.combined
+
+
+@register("agg_activity_daily", """
+    SELECT pf_id, date, instrument_id, ROUND(CAST(units AS DOUBLE), 5) AS units FROM v_activity_daily""")
+def q_agg_activity_daily(spark, sf_dir):
+    from marketframe.plans.holdings import agg_activity_daily
+    return agg_activity_daily(m(spark, sf_dir).activity).select("pf_id", "date", "instrument_id", dbl("units"))
+
+
+@register("agg_cash_daily", """
+    SELECT pf_id, date, instrument_id, ROUND(CAST(units AS DOUBLE), 5) AS units FROM v_cash_daily""")
+def q_agg_cash_daily(spark, sf_dir):
+    from marketframe.plans.holdings import agg_cash_daily
+    md = m(spark, sf_dir)
+    return agg_cash_daily(md.activity, md.units).select("pf_id", "date", "instrument_id", dbl("units"))
+
+
+@register("union_all", """
+    SELECT pf_id, date, instrument_id, ROUND(CAST(units AS DOUBLE), 5) AS units
+    FROM (SELECT * FROM v_activity_daily UNION ALL SELECT * FROM v_cash_daily)""")
+def q_union_all(spark, sf_dir):
+    from marketframe.operators.relational import union_all
+    from marketframe.plans.holdings import agg_activity_daily, agg_cash_daily
+    md = m(spark, sf_dir)
+    u = union_all(agg_activity_daily(md.activity), agg_cash_daily(md.activity, md.units))
+    return u.select("pf_id", "date", "instrument_id", dbl("units"))
+
+
+@register("agg_count_distinct_having", "SELECT date, n_priced FROM v_priced_days")
+def q_agg_count_distinct_having(spark, sf_dir):
+    from marketframe.plans.holdings import agg_count_distinct_having
+    md = m(spark, sf_dir)
+    return agg_count_distinct_having(md.ts_usd, _combined(md))
+
+
+@register("trading_days", "SELECT date FROM v_trading_days")
+def q_trading_days(spark, sf_dir):
+    from marketframe.plans.holdings import trading_days
+    md = m(spark, sf_dir)
+    return trading_days(md.ts_usd, _combined(md))
+
+
+@register("portfolio_holdings", """
+    SELECT pf_id, instrument_id, date, ROUND(CAST(units AS DOUBLE), 5) AS units,
+           ROUND(CAST(close_usd AS DOUBLE), 5) AS close_usd FROM v_holdings""")
+def q_portfolio_holdings(spark, sf_dir):
+    return m(spark, sf_dir).holdings.select("pf_id", "instrument_id", "date", dbl("units"), dbl("close_usd"))
+
+
+@register("agg_nav", "SELECT pf_id, date, ROUND(CAST(nav AS DOUBLE), 5) AS nav FROM v_nav")
+def q_agg_nav(spark, sf_dir):
+    from marketframe.plans.nav import agg_nav
+    return agg_nav(m(spark, sf_dir).holdings).select("pf_id", "date", dbl("nav"))
+
+
+@register("agg_external_flows", "SELECT pf_id, date, ROUND(CAST(cashflow AS DOUBLE), 5) AS cashflow FROM v_cash_adj")
+def q_agg_external_flows(spark, sf_dir):
+    from marketframe.plans.nav import agg_external_flows
+    return agg_external_flows(m(spark, sf_dir).activity).select("pf_id", "date", dbl("cashflow"))
+
+
+@register("join_asof_forward", """
+    SELECT pf_id, nav_date, ROUND(CAST(cashflow AS DOUBLE), 5) AS cashflow FROM v_flow_at_nav""")
+def q_join_asof_forward(spark, sf_dir):
+    from marketframe.plans.nav import agg_external_flows, agg_nav, join_asof_forward
+    md = m(spark, sf_dir)
+    j = join_asof_forward(agg_external_flows(md.activity), agg_nav(md.holdings))
+    return j.select("pf_id", "nav_date", dbl("cashflow"))
+
+
+@register("lag_return", """
+    SELECT pf_id, date, ROUND(CAST(nav AS DOUBLE), 5) AS nav, ROUND(CAST(cashflow AS DOUBLE), 5) AS cashflow,
+           ROUND(totret, 4) AS totret FROM v_nav_joined""")
+def q_lag_return(spark, sf_dir):
+    from marketframe.plans.nav import agg_external_flows, agg_nav, join_asof_forward, lag_return
+    md = m(spark, sf_dir)
+    nav = agg_nav(md.holdings)
+    r = lag_return(nav, join_asof_forward(agg_external_flows(md.activity), nav))
+    return r.select("pf_id", "date", dbl("nav"), dbl("cashflow"), dbl("totret", 4))
+
+
+@register("portfolio_nav_returns", """
+    SELECT instrument_id, field, date, source, CAST(value AS DOUBLE) AS value FROM v_nav_returns""")
+def q_portfolio_nav_returns(spark, sf_dir):
+    return m(spark, sf_dir).nav_returns.select("instrument_id", "field", "date", "source", dbl("value"))
+
+
+@register("refresh_portfolios", """
+    SELECT instrument_id, field, date, source, CAST(value AS DOUBLE) AS value FROM v_refreshed""")
+def q_refresh_portfolios(spark, sf_dir):
+    from marketframe.plans.nav import refresh_portfolios
+    md = m(spark, sf_dir)
+    return refresh_portfolios(md.observations, md.holdings, md.activity).select(
+        "instrument_id", "field", "date", "source", dbl("value"))
+
+
+# ============================================================ writes
+@register("upsert_observations", """
+    SELECT instrument_id, field, date, source, CAST(value AS DOUBLE) AS value FROM v_upserted""")
+def q_upsert_observations(spark, sf_dir):
+    from marketframe.operators.writes import upsert_observations
+    md = m(spark, sf_dir)
+    return upsert_observations(md.observations, md.upsert_batch, "seq").select(
+        "instrument_id", "field", "date", "source", dbl("value"))

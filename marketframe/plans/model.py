@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from marketframe.operators.canonical import canonical_obs
 from marketframe.plans import fx, usd
 from marketframe.sources.driver_tables import ModelTables
+from marketframe.sources.sinks import materialize
 
 
 class Model(ModelTables):
@@ -20,19 +21,34 @@ class Model(ModelTables):
     def canonical(self) -> DataFrame:
         return canonical_obs(self.observations, self.sources)
 
+    # units_ts and time_series_usd are stored views (refreshed in full), so
+    # they are written once to the shared checkpoint folder and read back.
     @cached_property
     def units_ts(self) -> DataFrame:
-        return fx.units_ts(self.canonical, self.units)
+        return materialize(fx.units_ts(self.canonical, self.units), "units_ts")
 
     @cached_property
     def ts_usd(self) -> DataFrame:
-        return usd.time_series_usd(self.canonical, self.instruments, self.fields, self.instrument_units,
-                                   self.units, self.units_ts)
+        return materialize(usd.time_series_usd(self.canonical, self.instruments, self.fields,
+                                               self.instrument_units, self.units, self.units_ts),
+                           "time_series_usd")
+
+    @cached_property
+    def combined(self) -> DataFrame:
+        from marketframe.plans.holdings import combined_activity
+        return materialize(combined_activity(self.activity, self.units), "combined")
+
+    @cached_property
+    def trading_days(self) -> DataFrame:
+        from marketframe.plans.holdings import trading_days
+        return materialize(trading_days(self.ts_usd, self.combined), "trading_days")
 
     @cached_property
     def holdings(self) -> DataFrame:
         from marketframe.plans.holdings import portfolio_holdings
-        return portfolio_holdings(self.activity, self.ts_usd, self.units)
+        return materialize(portfolio_holdings(self.activity, self.ts_usd, self.units,
+                                              combined=self.combined, days=self.trading_days),
+                           "holdings")
 
     @cached_property
     def nav_returns(self) -> DataFrame:
