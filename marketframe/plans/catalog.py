@@ -175,3 +175,6 @@ def q_upsert_observations(spark, sf_dir):
     md = m(spark, sf_dir)
     return upsert_observations(md.observations, md.upsert_batch, "seq").select(
         "instrument_id", "field", "date", "source", dbl("value"))
+
+
+from marketframe.plans import catalog_ops  # noqa: E402,F401  (registers its queries)

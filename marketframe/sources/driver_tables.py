@@ -203,7 +203,7 @@ class ModelTables:
     @cached_property
     def vendor_prices(self) -> DataFrame:
         ev = self.raw("events")
-        return (ev.groupBy(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker"),
+        return (ev.groupBy(F.concat(F.lit("Y"), F.col("user_id").cast("string")).alias("ticker"),
                            F.to_date("ts").alias("date"))
                 .agg(F.max("value").alias("close"), F.min("value").alias("adj_close"),
                      F.when(F.max((F.col("event_type") == "signup").cast("int")) == 1, F.lit(2.0))
@@ -233,5 +233,76 @@ class ModelTables:
                          F.col("user_id").cast("string").alias("position_id"),
                          F.col("event_id").alias("row_no"))
 
+    @cached_property
+    def attributes(self) -> DataFrame:
+        """Two text attributes per equity: home nation and its region."""
+        sup = self.raw("supplier").select("s_suppkey", "s_nationkey")
+        nat = self.raw("nation")
+        reg = self.raw("region")
+        j = sup.join(nat, sup.s_nationkey == nat.n_nationkey).join(reg, F.col("n_regionkey") == F.col("r_regionkey"))
+        return j.select(padded("EQU", "s_suppkey").alias("instrument_id"),
+                        F.explode(F.array(F.struct(F.lit("country_hq").alias("field"), F.col("n_name").alias("value")),
+                                          F.struct(F.lit("region").alias("field"), F.col("r_name").alias("value")))
+                                  ).alias("a")).select("instrument_id", "a.field", "a.value")
+
+    @cached_property
+    def rics(self) -> DataFrame:
+        """A RIC per equity: LSEG id plus an exchange suffix chosen by key."""
+        suffixes = F.array(*[F.lit(x) for x in [".N", ".O", ".L", ".DE", ".PA", ".S", ".XX", ""]])
+        k = F.col("s_suppkey")
+        return self.raw("supplier").select(
+            padded("EQU", "s_suppkey").alias("instrument_id"),
+            F.concat(F.lit("R"), k.cast("string"), F.element_at(suffixes, (k % 8 + 1).cast("int"))).alias("ric"))
+
+    @cached_property
+    def ric_overrides(self) -> DataFrame:
+        """Hand overrides (ric, yahoo) for every 25th equity."""
+        return (self.rics.where(F.substring("instrument_id", 4, 17).cast("long") % 25 == 0)
+                .select("ric", F.concat(F.lit("OVR"), F.substring_index("ric", ".", 1)).alias("yahoo")))
+
+    @cached_property
+    def symbol_candidates(self) -> DataFrame:
+        """Landed broker search answers: per symbol an internal listing first, then real ones."""
+        k = F.col("s_suppkey")
+        lookup = F.concat(F.lit("SYM"), (k % 20).cast("string"))
+        sup = self.raw("supplier")
+        internal = sup.where(k < 20).select(lookup.alias("lookup"), F.lit(0).cast("long").alias("pos"),
+                                            F.concat(lookup, F.lit(".INT")).alias("symbol_full"),
+                                            F.lit(True).alias("is_internal"), (-1 - k).alias("instrument_key"))
+        real = sup.select(lookup.alias("lookup"), (F.floor(k / 20) + 1).cast("long").alias("pos"),
+                          lookup.alias("symbol_full"), F.lit(False).alias("is_internal"), k.alias("instrument_key"))
+        return internal.unionByName(real)
+
+    @cached_property
+    def staging_equities(self) -> DataFrame:
+        """Equities CSV staging rows (10 declared columns)."""
+        sup = self.raw("supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+        nat = self.raw("nation").select("n_nationkey", "n_name")
+        k = F.col("s_suppkey")
+        exch = F.element_at(F.array(*[F.lit(x) for x in ["NYS", "NSQ", "LSE", "PAR", "GER", "XXX"]]),
+                            (k % 6 + 1).cast("int"))
+        isin = F.concat(F.lit("US"), F.lpad(k.cast("string"), 9, "0"), (k % 10).cast("string"))
+        return (sup.join(nat, sup.s_nationkey == nat.n_nationkey).join(self.rics.withColumnRenamed("instrument_id", "iid"),
+                                                                        F.col("iid") == padded("EQU", "s_suppkey"))
+                .select(F.col("iid").alias("instrument_id"), F.col("s_name").alias("name"), isin.alias("isin"),
+                        F.concat(F.lit("Y"), k.cast("string")).alias("yfinance_ticker"),
+                        k.cast("int").alias("etoro_iid"), "ric", exch.alias("exchange"),
+                        F.col("n_name").alias("country_hq"), nation_code("s_nationkey").alias("currency"),
+                        F.when(k % 9 != 0, (F.floor(F.abs(F.col("s_acctbal"))) % 100).cast("int").cast("string"))
+                        .alias("gics_code")))
+
+    @cached_property
+    def staging_observations(self) -> DataFrame:
+        """Observations CSV staging rows: vendor identifiers instead of instrument ids."""
+        e = self.equity_observations
+        r = self.rics
+        key = F.substring("instrument_id", 4, 17).cast("long").cast("string")
+        ident = (F.when(F.col("source") == "LSEG", F.col("ric"))
+                 .when(F.col("source") == "YAHOO", F.concat(F.lit("Y"), key)).otherwise(key))
+        scale = F.when(F.col("field") == "close", F.lit(1)).otherwise(F.lit(0.01)).cast("decimal(12,4)")
+        return (e.join(r, "instrument_id")
+                .select("date", ident.alias("identifier"), "source", "field", scale.alias("scale"),
+                        F.when(F.col("value") != 0, F.col("value")).alias("value")))
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
