@@ -178,3 +178,4 @@ def q_upsert_observations(spark, sf_dir):
 
 
 from marketframe.plans import catalog_ops  # noqa: E402,F401  (registers its queries)
+from marketframe.plans import catalog_plans  # noqa: E402,F401

@@ -527,12 +527,12 @@ def q_expr_sign_rules(spark, sf_dir):
                     F.round(cash, 5).alias("cashflow_usd"))
 
 
-_LUHN = """(list_sum(list_transform(range(length(d)), k ->
+_LUHN = """(list_sum(list_transform(range(length(d)), lambda k:
               CASE WHEN k % 2 = 1 THEN (CAST(substr(d, length(d) - k, 1) AS INTEGER) * 2)
                                         - CASE WHEN CAST(substr(d, length(d) - k, 1) AS INTEGER) * 2 > 9 THEN 9 ELSE 0 END
                    ELSE CAST(substr(d, length(d) - k, 1) AS INTEGER) END)) % 10 = 0)"""
 _EXPAND = """array_to_string(list_transform(string_split(x, ''),
-              c -> CASE WHEN regexp_matches(c, '^[A-Z]$') THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), '')"""
+              lambda c: CASE WHEN regexp_matches(c, '^[A-Z]$') THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), '')"""
 
 
 @register("valid_isin", f"""

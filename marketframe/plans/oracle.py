@@ -316,4 +316,4 @@ def sql(body: str) -> str:
     if not order:
         return body.strip()
     withs = ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in order)
-    return f"WITH {withs}\n{body.strip()}"
+    return f"WITH RECURSIVE {withs}\n{body.strip()}"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketframe import schemas as S
 from marketframe.functions.expressions import expr_prefix, expr_round_money
@@ -68,8 +69,10 @@ def time_series_usd(canonical: DataFrame, instruments: DataFrame, fields: DataFr
 def time_series_usd_dated(canonical, instruments, fields, instrument_units, units_ts) -> DataFrame:
     """Effective-dated units, no currency rule, unrounded."""
     f = _usd_frame(canonical, instruments, fields, instrument_units, units_ts)
-    value = (F.when(F.col("fx_conversion") == "change", F.col("value").cast("double") * F.col("fx_change"))
-             .otherwise((F.col("value") * F.col("fx_value")).cast("double")))
+    exact = T.DecimalType(38, 13)
+    value = (F.when(F.col("fx_conversion") == "change",
+                    (F.col("value").cast("double") * F.col("fx_change")).cast(exact))
+             .otherwise((F.col("value") * F.col("fx_value")).cast(exact)))
     return f.select("instrument_id", "internal_ticker", "field", "date", value.alias("value"))
 
 
