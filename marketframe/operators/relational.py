@@ -163,9 +163,8 @@ def join_cross_spine(keys: DataFrame, calendar: DataFrame, date_col: str = "date
     lo = calendar.select(F.min(date_col)).scalar()
     hi = calendar.select(F.max(date_col)).scalar()
     first = F.greatest(start, lo) if start is not None else lo
-    exploded = keys.select("*", F.explode(F.sequence(first, hi)).alias(date_col))
-    if start is not None:
-        exploded = exploded.drop(*[c for c in exploded.columns if c == "_start"])
+    span = F.when(first <= hi, F.sequence(first, hi)).otherwise(F.array().cast("array<date>"))
+    exploded = keys.select("*", F.explode(span).alias(date_col))
     return exploded.join(bounded_broadcast(calendar.select(date_col).distinct()), date_col, "left_semi")
 
 
@@ -211,6 +210,14 @@ def agg_duplicates(df: DataFrame, cols: list) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def agg_row_mean(df: DataFrame, cols: list, out: str = "mean") -> DataFrame:
+    """Mean across columns of a row, skipping nulls (null when all are null)."""
+    present = [F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c)), F.col(c).cast("double")) for c in cols]
+    total = reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0.0)) for p in present])
+    n = reduce(lambda a, b: a + b, [p.isNotNull().cast("int") for p in present])
+    return df.withColumn(out, F.when(n > 0, total / n))
+
+
 def distinct_rows(df: DataFrame, cols: list | None = None) -> DataFrame:
     """``SELECT DISTINCT cols``."""
     return (df.select(*cols) if cols else df).distinct()

@@ -615,3 +615,12 @@ def q_expr_days_stale(spark, sf_dir):
     from marketframe.functions.expressions import expr_days_stale
     u = m(spark, sf_dir).updates
     return u.select("instrument_id", "field", expr_days_stale(F.col("last_update"), AS_OF).alias("days_stale"))
+
+
+@register("agg_row_mean", """
+    SELECT code, date, ROUND(CASE WHEN (bid IS NOT NULL)::INT + (ask IS NOT NULL)::INT > 0
+        THEN (COALESCE(bid, 0.0) + COALESCE(1.0 / ask, 0.0)) / ((bid IS NOT NULL)::INT + (ask IS NOT NULL)::INT) END, 10) AS mean
+    FROM m_fx_quotes""")
+def q_agg_row_mean(spark, sf_dir):
+    q = m(spark, sf_dir).fx_quotes.withColumn("ask_direct", F.lit(1.0) / F.col("ask"))
+    return R.agg_row_mean(q, ["bid", "ask_direct"]).select("code", "date", dbl("mean", 10))

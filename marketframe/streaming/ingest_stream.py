@@ -28,7 +28,7 @@ def stream_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str,
     fields = fields or ["close", "totret"]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = vendor_to_observations(batch, fields).withColumn("seq", F.lit(batch_id))
+        rows = vendor_to_observations(batch, fields).drop("scale").withColumn("seq", F.lit(batch_id))
         # The version this batch writes is fixed by its id; a replay starts from the version before it.
         prev = batch_id if batch_id > 0 and current_version(spark, root, table) is not None else None
         if prev:
