@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe.operators.broadcast import config_dim
@@ -11,18 +11,26 @@ from marketframe.schemas import CANONICAL_KEY
 NULL_PRIORITY = 2 ** 31 - 1   # NULLS LAST
 
 
+def source_rank(sources: DataFrame) -> DataFrame:
+    """One long per source ordering by (priority nulls last, name).
+
+    ``sources`` is a configuration table (a handful of vendors), so ranking its
+    names in one window is trivial.
+    """
+    prio = F.coalesce(F.col("priority"), F.lit(NULL_PRIORITY)).cast("long")
+    name_rank = F.dense_rank().over(Window.orderBy("name")).cast("long")
+    return sources.select(F.col("name").alias("source"), (prio * F.lit(1 << 32) + name_rank).alias("rank"))
+
+
 def canonical_obs(observations: DataFrame, sources: DataFrame) -> DataFrame:
     """Keep, per key, the row whose source has the lowest priority number.
 
     Observations with a source missing from ``sources`` are dropped (inner join).
-    Equal priorities are broken by source name.  ``min(struct(...))`` is a plain
-    aggregate, so Spark combines map-side before the shuffle on the key instead
-    of sorting every row as ``row_number`` would.
+    Equal priorities are broken by source name.  ``min_by(value, rank)`` with
+    a single long rank runs as a hash aggregate with map-side combining: no
+    sort of the observations, one shuffle on the key.
     """
-    src = config_dim(sources.select(F.col("name").alias("source"), "priority"))
-    rank = F.struct(F.coalesce(F.col("priority"), F.lit(NULL_PRIORITY)).alias("p"),
-                    F.col("source").alias("s"), F.col("value").alias("v"))
-    return (observations.join(src, "source")
+    ranks = config_dim(source_rank(sources))
+    return (observations.join(ranks, "source")
             .groupBy(*CANONICAL_KEY)
-            .agg(F.min(rank).alias("best"))
-            .select(*CANONICAL_KEY, F.col("best.v").alias("value")))
+            .agg(F.min_by("value", "rank").alias("value")))

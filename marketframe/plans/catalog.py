@@ -30,7 +30,14 @@ def dbl(c, places: int = 5):
     return F.round(F.col(c).cast("double"), places).alias(c) if isinstance(c, str) else c
 
 
+# sf_dir -> folder of staged base tables (set by the bench; queries then read stored Parquet).
+STAGED: dict[str, str] = {}
+
+
 def m(spark, sf_dir) -> Model:
+    if sf_dir in STAGED:
+        from marketframe.plans.model import StoredModel
+        return StoredModel(spark, sf_dir, STAGED[sf_dir])
     return Model(spark, sf_dir)
 
 

@@ -19,14 +19,29 @@ def fx_base(canonical: DataFrame, units: DataFrame) -> DataFrame:
             .select("code", "date", (F.col("value") * F.col("scale")).cast(S.FX_VALUE).alias("value")))
 
 
-def units_ts(canonical: DataFrame, units: DataFrame) -> DataFrame:
+def fx_observations(observations: DataFrame, units: DataFrame) -> DataFrame:
+    """Close observations of instruments that carry a unit, before canonicalising.
+
+    Canonicalisation groups by instrument, so filtering instruments first is
+    exact and keeps the priority aggregate to the (small) FX slice.
+    """
+    ids = config_dim(units.select("instrument_id").distinct())
+    return observations.where(F.col("field") == "close").join(ids, "instrument_id", "left_semi")
+
+
+def units_ts(canonical: DataFrame, units: DataFrame, stage: bool = True) -> DataFrame:
     """Daily value per unit code, forward filled, with day-over-day change.
 
     ``change`` is the ratio to the previous *observed* value; it is 1 on filled
     days and on a code's first day.  Days run from the first to the last date
-    of any code; before a code's first value, ``value`` is null.
+    of any code; before a code's first value, ``value`` is null.  The base
+    (codes × observed days, small) is written once so that the calendar bounds
+    do not recompute the canonical aggregate.
     """
     base = fx_base(canonical, units)
+    if stage:
+        from marketframe.sources.sinks import materialize
+        base = materialize(base, "fx_base")
     with_change = lag_ratio(base, "code", "date", "value", out="change")
     lo = base.select(F.min("date")).scalar()
     hi = base.select(F.max("date")).scalar()

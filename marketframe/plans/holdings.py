@@ -59,20 +59,46 @@ def trading_days(ts_usd: DataFrame, combined: DataFrame, ratio=Decimal("0.5")) -
     return agg_count_distinct_having(ts_usd, combined, ratio).select("date")
 
 
+def index_days(days: DataFrame) -> DataFrame:
+    """Trading days with their 0-based position (``td_idx``), numbered without a
+    single-task window (see ``schedule.dense_index``)."""
+    from marketframe.plans.schedule import dense_index
+    return dense_index(days.select("date").withColumn("_g", F.lit(0)), ["_g"], ["date"], out="td_idx").drop("_g")
+
+
+def next_trading_index(indexed: DataFrame) -> DataFrame:
+    """Every calendar day up to the last trading day -> index of the first trading
+    day on or after it.  Built by exploding each gap between consecutive trading
+    days (equi self-join on the index), so its size is the calendar's."""
+    prev = indexed.select((F.col("td_idx") + 1).alias("td_idx"), F.col("date").alias("prev_date"))
+    j = indexed.join(prev, "td_idx", "left")
+    start = F.coalesce(F.date_add("prev_date", 1), F.col("date"))
+    return j.select(F.explode(F.sequence(start, F.col("date"))).alias("cal_date"), "td_idx")
+
+
 def position_spine(combined: DataFrame, days: DataFrame) -> DataFrame:
     """Every (portfolio, instrument) on every trading day from its first activity on.
 
-    Explodes each pair's day range and keeps trading days with a semi join
-    against the (calendar-sized, size-checked) trading-day table; rows before a
-    pair's first activity could only hold zero units, so they are not made.
+    Each pair looks up the index of its first trading day and explodes the
+    index range up to the last trading day; a join on the index (calendar-sized,
+    size-checked broadcast) turns indexes back into dates.  Exactly the output
+    rows are generated, no pair of input rows is enumerated, and rows before a
+    pair's first activity (zero units) are never made.
     """
     pairs = combined.groupBy(*KEY).agg(F.min("date").alias("first_date"))
-    lo = days.select(F.min("date")).scalar()
-    hi = days.select(F.max("date")).scalar()
-    start = F.greatest(F.col("first_date"), lo)
-    span = F.when(start <= hi, F.sequence(start, hi)).otherwise(F.array().cast("array<date>"))
-    return (pairs.select(*KEY, F.explode(span).alias("date"))
-            .join(bounded_broadcast(days), "date", "left_semi"))
+    indexed = materialize_small(index_days(days), "trading_day_index")
+    lo = indexed.select(F.min("date")).scalar()
+    n_days = indexed.select(F.max("td_idx")).scalar()
+    lookup = bounded_broadcast(next_trading_index(indexed))
+    starts = (pairs.withColumn("cal_date", F.greatest(F.col("first_date"), lo))
+              .join(lookup, "cal_date").select(*KEY, F.col("td_idx").alias("first_idx")))
+    spine = starts.select(*KEY, F.explode(F.sequence(F.col("first_idx"), n_days)).alias("td_idx"))
+    return spine.join(bounded_broadcast(indexed), "td_idx").select(*KEY, "date")
+
+
+def materialize_small(df: DataFrame, name: str) -> DataFrame:
+    from marketframe.sources.sinks import materialize
+    return materialize(df, name)
 
 
 def portfolio_holdings(activity: DataFrame, ts_usd: DataFrame, units: DataFrame,

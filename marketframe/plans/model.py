@@ -16,6 +16,7 @@ from marketframe.sources.sinks import materialize
 
 
 class Model(ModelTables):
+    """Derived views over model tables built from the driver tables."""
 
     @cached_property
     def canonical(self) -> DataFrame:
@@ -25,7 +26,8 @@ class Model(ModelTables):
     # they are written once to the shared checkpoint folder and read back.
     @cached_property
     def units_ts(self) -> DataFrame:
-        return materialize(fx.units_ts(self.canonical, self.units), "units_ts")
+        fx_canonical = canonical_obs(fx.fx_observations(self.observations, self.units), self.sources)
+        return materialize(fx.units_ts(fx_canonical, self.units), "units_ts")
 
     @cached_property
     def ts_usd(self) -> DataFrame:
@@ -57,3 +59,40 @@ class Model(ModelTables):
 
     def equity_tickers(self) -> DataFrame:
         return self.instruments.where(F.col("asset_class") == "equity").select("internal_ticker")
+
+
+# Base tables a deployment keeps as stored Parquet tables.
+BASE_TABLES = ["sources", "fields", "instruments", "portfolios", "units", "instrument_units", "identifiers",
+               "observations", "equity_observations", "fx_observations", "usd_observations", "activity",
+               "updates", "upsert_batch", "vendor_prices", "fx_quotes", "statement", "attributes", "rics",
+               "ric_overrides", "symbol_candidates", "staging_equities", "staging_observations"]
+# Physical layout: partition column and clustering inside files (min/max skipping).
+LAYOUT = {"observations": (["field"], ["instrument_id", "date"]),
+          "activity": ([], ["pf_id", "ts"]),
+          "vendor_prices": ([], ["ticker", "date"])}
+
+
+def stage_base_tables(spark, sf_dir: str, root: str) -> None:
+    """Write the model base tables once as Parquet under ``root`` (what a
+    deployment stores), with observations partitioned by field and clustered by
+    (instrument, date)."""
+    src = Model(spark, sf_dir)
+    for name in BASE_TABLES:
+        df = getattr(src, name)
+        part, cluster = LAYOUT.get(name, ([], []))
+        if cluster:
+            df = df.repartition(*(part or cluster[:1])).sortWithinPartitions(*cluster)
+        w = df.write.mode("overwrite")
+        if part:
+            w = w.partitionBy(*part)
+        w.parquet(f"{root}/{name}")
+
+
+class StoredModel(Model):
+    """Same derived views, reading the base tables from stored Parquet."""
+
+    def __init__(self, spark, sf_dir: str, root: str):
+        super().__init__(spark, sf_dir)
+        self.root = root
+        for name in BASE_TABLES:
+            self.__dict__[name] = spark.read.parquet(f"{root}/{name}")
