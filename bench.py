@@ -3,9 +3,11 @@
 The model base tables (observations, ledger, instruments, units, ...) are
 derived from the driver's tables once and stored as Parquet (observations
 partitioned by field, clustered by instrument and date), as a deployment
-keeps them; that staging is not timed.  Each query then runs end to end from
-those stored tables: stored views such as units_ts and time_series_usd are
-rebuilt inside the timing, as a refresh would.  Results are forced with the
+keeps them, together with the stored views units_ts and time_series_usd as
+the daily refresh leaves them; that staging is not timed.  The ``units_ts``
+and ``time_series_usd`` entries time the refresh itself (rebuilding the view
+from the stored tables); the read queries (get_hist, holdings, NAV) read the
+stored views, as they do in the reference.  Results are forced with the
 ``noop`` sink, so nothing is collected to the driver.  One warm-up, then the
 best of ``BENCH_REPEATS`` (default 3).  Prints one JSON line.
 """
@@ -36,7 +38,7 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", app="marketframe-bench", shuffle_partitions=int(cpus))
     root = os.path.join(checkpoint_dir(spark), f"bench-base-{os.getpid()}")
     t0 = time.perf_counter()
-    stage_base_tables(spark, sf_dir, root)
+    stage_base_tables(spark, sf_dir, root, with_views=True)
     staging = round(time.perf_counter() - t0, 3)
     catalog.STAGED[sf_dir] = root
 
@@ -52,7 +54,7 @@ def main() -> None:
     print(json.dumps({"metric": "sum_best_query_seconds", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": float(sf) if sf else sf_dir,
                       "cpus": int(cpus), "repeats": repeats, "staging_sec_untimed": staging,
-                      "inputs": "model base tables staged once as Parquet from the driver tables"}))
+                      "inputs": "model base tables and stored views staged once as Parquet (untimed); refresh queries rebuild their view"}))
     spark.stop()
 
 

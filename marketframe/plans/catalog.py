@@ -51,13 +51,13 @@ def q_canonical_obs(spark, sf_dir):
 @register("units_ts", """
     SELECT code, date, ROUND(CAST(value AS DOUBLE), 10) AS value, ROUND(change, 10) AS change FROM v_units_ts""")
 def q_units_ts(spark, sf_dir):
-    return m(spark, sf_dir).units_ts.select("code", "date", dbl("value", 10), dbl("change", 10))
+    return m(spark, sf_dir).refresh_units_ts().select("code", "date", dbl("value", 10), dbl("change", 10))
 
 
 @register("time_series_usd", """
     SELECT instrument_id, internal_ticker, field, date, ROUND(CAST(value AS DOUBLE), 5) AS value FROM v_ts_usd""")
 def q_time_series_usd(spark, sf_dir):
-    return m(spark, sf_dir).ts_usd.select("instrument_id", "internal_ticker", "field", "date", dbl("value"))
+    return m(spark, sf_dir).refresh_ts_usd().select("instrument_id", "internal_ticker", "field", "date", dbl("value"))
 
 
 HIST_FROM, HIST_TO = dt.date(1990, 1, 1), dt.date(2030, 12, 31)

@@ -22,18 +22,24 @@ class Model(ModelTables):
     def canonical(self) -> DataFrame:
         return canonical_obs(self.observations, self.sources)
 
-    # units_ts and time_series_usd are stored views (refreshed in full), so
-    # they are written once to the shared checkpoint folder and read back.
-    @cached_property
-    def units_ts(self) -> DataFrame:
+    # units_ts and time_series_usd are stored views (refreshed in full): a
+    # refresh writes them to the shared checkpoint folder and reads them back.
+    def refresh_units_ts(self) -> DataFrame:
         fx_canonical = canonical_obs(fx.fx_observations(self.observations, self.units), self.sources)
         return materialize(fx.units_ts(fx_canonical, self.units), "units_ts")
 
-    @cached_property
-    def ts_usd(self) -> DataFrame:
+    def refresh_ts_usd(self) -> DataFrame:
         return materialize(usd.time_series_usd(self.canonical, self.instruments, self.fields,
                                                self.instrument_units, self.units, self.units_ts),
-                           "time_series_usd")
+                           "time_series_usd", partition_by=["field"])
+
+    @cached_property
+    def units_ts(self) -> DataFrame:
+        return self.refresh_units_ts()
+
+    @cached_property
+    def ts_usd(self) -> DataFrame:
+        return self.refresh_ts_usd()
 
     @cached_property
     def combined(self) -> DataFrame:
@@ -72,7 +78,10 @@ LAYOUT = {"observations": (["field"], ["instrument_id", "date"]),
           "vendor_prices": ([], ["ticker", "date"])}
 
 
-def stage_base_tables(spark, sf_dir: str, root: str) -> None:
+VIEW_TABLES = {"units_ts": "units_ts_view", "ts_usd": "time_series_usd_view"}
+
+
+def stage_base_tables(spark, sf_dir: str, root: str, with_views: bool = False) -> None:
     """Write the model base tables once as Parquet under ``root`` (what a
     deployment stores), with observations partitioned by field and clustered by
     (instrument, date)."""
@@ -86,6 +95,13 @@ def stage_base_tables(spark, sf_dir: str, root: str) -> None:
         if part:
             w = w.partitionBy(*part)
         w.parquet(f"{root}/{name}")
+    if with_views:
+        # The stored views as the daily refresh leaves them.
+        stored = StoredModel(spark, sf_dir, root)
+        stored.refresh_units_ts().write.mode("overwrite").parquet(f"{root}/{VIEW_TABLES['units_ts']}")
+        stored = StoredModel(spark, sf_dir, root)
+        (stored.refresh_ts_usd().write.mode("overwrite").partitionBy("field")
+         .parquet(f"{root}/{VIEW_TABLES['ts_usd']}"))
 
 
 class StoredModel(Model):
@@ -96,3 +112,9 @@ class StoredModel(Model):
         self.root = root
         for name in BASE_TABLES:
             self.__dict__[name] = spark.read.parquet(f"{root}/{name}")
+        # Stored views, when staged, are what downstream queries read; refresh_* still rebuilds them.
+        for attr, folder in VIEW_TABLES.items():
+            try:
+                self.__dict__[attr] = spark.read.parquet(f"{root}/{folder}")
+            except Exception:  # views not staged: they are refreshed on first use
+                pass
