@@ -14,11 +14,11 @@ NULL_PRIORITY = 2 ** 31 - 1   # NULLS LAST
 def source_rank(sources: DataFrame) -> DataFrame:
     """One long per source ordering by (priority nulls last, name).
 
-    ``sources`` is a configuration table (a handful of vendors), so ranking its
-    names in one window is trivial.
+    Names only need ranking among sources of equal priority, so the window is
+    partitioned by priority (no single-partition exchange).
     """
     prio = F.coalesce(F.col("priority"), F.lit(NULL_PRIORITY)).cast("long")
-    name_rank = F.dense_rank().over(Window.orderBy("name")).cast("long")
+    name_rank = F.dense_rank().over(Window.partitionBy(prio).orderBy("name")).cast("long")
     return sources.select(F.col("name").alias("source"), (prio * F.lit(1 << 32) + name_rank).alias("rank"))
 
 

@@ -120,7 +120,7 @@ cte("m_upsert_batch", f"""
     SELECT instrument_id, field, date, source, CAST(value + 2 AS DECIMAL(19,5)), 2
     FROM m_observations WHERE date >= DATE '2001-07-01' AND instrument_id = {_id('EQU', '0')}""")
 cte("m_vendor_prices", """
-    SELECT 'Y' || CAST(user_id AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date,
+    SELECT 'Y' || CAST(user_id * 2 AS VARCHAR) AS ticker, CAST(ts AS DATE) AS date,
            max(value) AS close, min(value) AS adj_close,
            CASE WHEN bool_or(event_type = 'signup') THEN 2.0 ELSE 0.0 END AS stock_splits
     FROM events GROUP BY 1, 2""")

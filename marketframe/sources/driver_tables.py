@@ -203,7 +203,9 @@ class ModelTables:
     @cached_property
     def vendor_prices(self) -> DataFrame:
         ev = self.raw("events")
-        return (ev.groupBy(F.concat(F.lit("Y"), F.col("user_id").cast("string")).alias("ticker"),
+        # Landed tickers are Y<2·user>: some scheduled tickers get no rows (failed pulls),
+        # and some landed tickers map to no instrument (unknown identifiers).
+        return (ev.groupBy(F.concat(F.lit("Y"), (F.col("user_id") * 2).cast("string")).alias("ticker"),
                            F.to_date("ts").alias("date"))
                 .agg(F.max("value").alias("close"), F.min("value").alias("adj_close"),
                      F.when(F.max((F.col("event_type") == "signup").cast("int")) == 1, F.lit(2.0))
