@@ -3,8 +3,8 @@
 Parquet has no MERGE/UPDATE and an overwrite cannot read its own target, so
 each write computes the next state as a DataFrame; ``sources.sinks`` publishes
 it.  At scale the big table is only touched where the batch lands:
-``sinks.upsert_partitions`` restricts ``current`` to the batch's partitions
-before calling these functions.
+``sinks.upsert_partitioned`` reads only the partitions the batch touches,
+merges them with these functions and overwrites just those partitions.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def upsert_observations(current: DataFrame, batch: DataFrame, seq_col: str | Non
                         key: list = S.OBS_KEY) -> DataFrame:
     """Insert new keys, overwrite the value of existing ones; last batch row wins."""
     if seq_col and seq_col in batch.columns:
-        batch = latest_per_key(batch, key, seq_col, ["value"])
+        batch = latest_per_key(batch, key, seq_col, [c for c in current.columns if c not in key])
     batch = batch.select(*current.columns)
     return current.join(batch.select(*key), key, "left_anti").unionByName(batch)
 

@@ -98,3 +98,37 @@ def materialize(df: DataFrame, name: str = "tmp", partition_by: list | None = No
 def write_csv(df: DataFrame, path: str) -> None:
     """Flat CSV export with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def upsert_partitioned(spark: SparkSession, path: str, batch: DataFrame, key: list, partition_cols: list,
+                       seq_col: str | None = "seq") -> int:
+    """W1 + write at scale: merge ``batch`` into a partitioned Parquet table,
+    rewriting only the partitions the batch touches.
+
+    The touched partitions are read with partition pruning, merged with the
+    batch (last batch row per key wins), staged in the checkpoint folder (a
+    job cannot overwrite what it reads) and written back with dynamic
+    partition overwrite; every other partition's files stay as they are.
+    The list of touched partitions is small (one batch covers a few days),
+    so it is collected to build the pruning predicate.  Returns how many
+    partitions were rewritten.
+    """
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from marketframe.operators.writes import upsert_observations
+
+    parts = [tuple(r) for r in batch.select(*partition_cols).distinct().collect()]
+    if not parts:
+        return 0
+    current = spark.read.parquet(path)
+    match = reduce(lambda a, b: a | b, [reduce(lambda x, y: x & y, [F.col(c) == F.lit(v) for c, v in zip(partition_cols, p)])
+                                        for p in parts])
+    touched = current.where(match)
+    nxt = upsert_observations(touched.select(*current.columns), batch.select(*current.columns, *([seq_col] if seq_col else [])),
+                              seq_col, key=key)
+    staged = materialize(nxt, "upsert_partitions")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).parquet(path))
+    return len(parts)

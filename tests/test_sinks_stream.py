@@ -49,3 +49,28 @@ def test_csv_round_trip(spark):
     write_csv(spark.createDataFrame([("a", 1.5), ("b", None)], "k string, v double"), path)
     back = spark.read.schema("k string, v double").option("header", True).csv(path)
     assert sorted((r.k, r.v) for r in back.collect()) == [("a", 1.5), ("b", None)]
+
+
+def test_upsert_rewrites_only_touched_partitions(spark):
+    from decimal import Decimal
+
+    from marketframe.sources.sinks import upsert_partitioned
+    path = _root(spark, "obs_partitioned")
+    rows = [(f"I{i}", "close", dt.date(y, 6, 1), "YAHOO", Decimal(i), y) for i in range(3) for y in (2019, 2020, 2021)]
+    schema = "instrument_id string, field string, date date, source string, value decimal(19,5), year int"
+    spark.createDataFrame(rows, schema).write.partitionBy("field", "year").parquet(path)
+
+    def files(year):
+        d = os.path.join(path, "field=close", f"year={year}")
+        return sorted(f for f in os.listdir(d) if f.endswith(".parquet"))
+
+    before = {y: files(y) for y in (2019, 2020, 2021)}
+    batch = spark.createDataFrame([("I0", "close", dt.date(2021, 6, 1), "YAHOO", Decimal(9), 2021, 1),
+                                   ("I0", "close", dt.date(2021, 6, 1), "YAHOO", Decimal(8), 2021, 2),
+                                   ("I7", "close", dt.date(2021, 7, 1), "YAHOO", Decimal(7), 2021, 1)],
+                                  schema + ", seq int")
+    assert upsert_partitioned(spark, path, batch, ["instrument_id", "field", "date", "source"], ["field", "year"]) == 1
+    assert files(2019) == before[2019] and files(2020) == before[2020] and files(2021) != before[2021]
+    got = {(r.instrument_id, r.year): r.value for r in spark.read.parquet(path).collect()}
+    assert len(got) == 10 and got[("I0", 2021)] == Decimal(8) and got[("I7", 2021)] == Decimal(7)
+    assert got[("I0", 2019)] == Decimal(0)
