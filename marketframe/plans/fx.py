@@ -81,3 +81,35 @@ def fx_midpoint(quotes: DataFrame) -> DataFrame:
     mid = F.coalesce((bid + ask) / 2, bid, ask)
     return (quotes.select("code", "date", F.round(mid, 5).alias("value"))
             .where(F.col("value").isNotNull()))
+
+
+def units_ts_incremental(current: DataFrame, canonical_since: DataFrame, units: DataFrame, since) -> tuple:
+    """C1 refresh after a re-pull: recompute only days from ``start`` on.
+
+    ``canonical_since`` holds the canonical rows dated on or after ``since``
+    (observations changed only there).  ``start`` is ``since``, or the day
+    after the stored calendar's end when new data extends it.  Each code's
+    stored value on ``start - 1`` (the last observed value, forward filled)
+    is the anchor for both the fill and the day-over-day change, so the
+    result equals a full refresh.  Codes new in the batch also get their
+    null rows before ``start``.  Returns ``(units_ts, start)``; ``since``
+    must be after the calendar's first day (else refresh in full).
+    """
+    lo = current.select(F.min("date")).scalar()
+    old_hi = current.select(F.max("date")).scalar()
+    start = F.least(F.lit(since).cast("date"), F.date_add(old_hi, 1))
+    base = fx_base(canonical_since, units).where(F.col("date") >= start)
+    anchor = current.where(F.col("date") == F.date_sub(start, 1)).select("code", "date", "value")
+    rows = anchor.unionByName(base)
+    hi = F.greatest(old_hi, base.select(F.max("date")).scalar())
+    hi = F.coalesce(hi, old_hi)
+    with_change = lag_ratio(rows, "code", "date", "value", out="change")
+    filled = fill_calendar(with_change, "code", "date", ["value", "change"], {"change": 1.0},
+                           F.date_sub(start, 1), hi)
+    fresh = (filled.where(F.col("date") >= start)
+             .select("code", "date", "value", F.coalesce("change", F.lit(1.0)).alias("change")))
+    new_codes = base.select("code").distinct().join(current.select("code").distinct(), "code", "left_anti")
+    head = new_codes.select("code", F.explode(F.sequence(lo, F.date_sub(start, 1))).alias("date"),
+                            F.lit(None).cast(S.FX_VALUE).alias("value"), F.lit(1.0).alias("change"))
+    kept = current.where(F.col("date") < start).select("code", "date", "value", "change")
+    return kept.unionByName(head).unionByName(fresh), start

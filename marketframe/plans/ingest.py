@@ -67,7 +67,10 @@ def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days:
     """Plan -> pull landing -> ingest -> FX refresh -> USD refresh -> portfolios
     -> USD refresh -> stale report, publishing each stored table as a snapshot.
 
-    ``model`` provides the current tables (``marketframe.plans.model.Model``);
+    ``model`` provides the dimensions and, on a first run, the tables;
+    later runs on the same ``root`` continue from its published snapshots and
+    refresh the stored views incrementally (from the re-pulled window for
+    FX/USD, and for the portfolio instruments only after the NAV upsert).
     ``vendor`` is the landed vendor rows (ticker, date, close, adj_close,
     stock_splits).  Returns the published DataFrames by name.
     """
@@ -77,7 +80,7 @@ def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days:
     from marketframe.plans.nav import portfolio_nav_returns
     from marketframe.plans.schedule import stale_report, to_update
     from marketframe.plans.vendor import vendor_to_observations
-    from marketframe.sources.sinks import publish_snapshot, read_snapshot
+    from marketframe.sources.sinks import current_version, materialize, publish_snapshot, read_snapshot
 
     spark = vendor.sparkSession
     plan = to_update(model.updates, model.identifiers, model.instruments)
@@ -85,27 +88,52 @@ def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days:
     since = as_of - dt.timedelta(days=window_days)
     landed = vendor.where(F.col("date") >= F.lit(since)).join(requested, "ticker", "left_semi")
     batch = vendor_to_observations(landed, ["close", "totret"])
-    failures = spark.createDataFrame([], S.INGEST_FAILURES)
-    out = ingest_batch(model.observations, model.updates, failures, model.identifiers, batch, requested,
-                       ["close", "totret"], as_of)
+    has_views = current_version(spark, root, "time_series_usd") is not None
+    current = {n: read_snapshot(spark, root, n) if current_version(spark, root, n) is not None else None
+               for n in ("observations", "updates", "ingest_failures")}
+    def pick(name, default):
+        return current[name] if current[name] is not None else default
+
+    failures = pick("ingest_failures", spark.createDataFrame([], S.INGEST_FAILURES))
+    out = ingest_batch(pick("observations", model.observations), pick("updates", model.updates),
+                       failures, model.identifiers, batch, requested, ["close", "totret"], as_of)
     for name in ("observations", "updates", "ingest_failures"):
         publish_snapshot(out[name], root, name)
     obs = read_snapshot(spark, root, "observations")
 
-    def refresh(observations):
-        can = canonical_obs(observations, model.sources)
-        publish_snapshot(fx.units_ts(can, model.units), root, "units_ts")
-        uts = read_snapshot(spark, root, "units_ts")
-        publish_snapshot(usd.time_series_usd(can, model.instruments, model.fields, model.instrument_units,
-                                             model.units, uts), root, "time_series_usd", partition_by=["field"])
-        return read_snapshot(spark, root, "time_series_usd")
+    def publish_views(uts, ts):
+        publish_snapshot(uts, root, "units_ts")
+        publish_snapshot(ts, root, "time_series_usd", partition_by=["field"])
+        return read_snapshot(spark, root, "units_ts"), read_snapshot(spark, root, "time_series_usd")
+
+    # FX and USD refresh: incremental from the re-pulled window when views exist, else in full.
+    changed_since = batch.select(F.min("date")).first()[0]
+    if has_views and changed_since is not None:
+        old_uts, old_ts = read_snapshot(spark, root, "units_ts"), read_snapshot(spark, root, "time_series_usd")
+        recent = obs.where(F.col("date") >= F.lit(changed_since))
+        uts, start = fx.units_ts_incremental(old_uts, canonical_obs(fx.fx_observations(recent, model.units),
+                                                                    model.sources), model.units, changed_since)
+        uts = materialize(uts, "units_ts_refresh")
+        ts = usd.time_series_usd_incremental(old_ts, canonical_obs(obs.where(F.col("date") >= start), model.sources),
+                                             model.instruments, model.fields, model.instrument_units, model.units,
+                                             uts, start)
+    else:
+        uts = fx.units_ts(canonical_obs(fx.fx_observations(obs, model.units), model.sources), model.units)
+        uts = materialize(uts, "units_ts_refresh")
+        ts = usd.time_series_usd(canonical_obs(obs, model.sources), model.instruments, model.fields,
+                                 model.instrument_units, model.units, uts)
+    uts, ts = publish_views(uts, ts)
 
-    ts = refresh(obs)
+    # Portfolios: NAV rows into observations, then the USD rows of the portfolios only.
     holdings = portfolio_holdings(model.activity, ts, model.units)
-    publish_snapshot(upsert_observations(obs, portfolio_nav_returns(holdings, model.activity), None),
-                     root, "observations")
+    nav_rows = portfolio_nav_returns(holdings, model.activity)
+    publish_snapshot(upsert_observations(obs, nav_rows, None), root, "observations")
     obs = read_snapshot(spark, root, "observations")
-    ts = refresh(obs)
+    ts = usd.time_series_usd_for_instruments(ts, canonical_obs(obs, model.sources), nav_rows.select("instrument_id"),
+                                             model.instruments, model.fields, model.instrument_units, model.units,
+                                             uts)
+    publish_snapshot(ts, root, "time_series_usd", partition_by=["field"])
+    ts = read_snapshot(spark, root, "time_series_usd")
     report = stale_report(read_snapshot(spark, root, "updates"), model.instruments,
                           as_of - dt.timedelta(days=stale_days), as_of)
     publish_snapshot(report, root, "stale_report")

@@ -95,3 +95,29 @@ def backfill_instrument_units(instrument_unit: DataFrame, observations: DataFram
             .select("instrument_id", expr_prefix(F.col("unit"), 3).alias("unit"),
                     F.coalesce("first_date", F.lit(S.DEFAULT_START)).alias("start_date"),
                     F.lit(S.OPEN_END).alias("end_date")))
+
+
+def time_series_usd_incremental(current: DataFrame, canonical_since: DataFrame, instruments: DataFrame,
+                                fields: DataFrame, instrument_units: DataFrame, units: DataFrame,
+                                units_ts: DataFrame, start) -> DataFrame:
+    """C4 refresh after a re-pull: rows dated before ``start`` are kept, the rest
+    are recomputed from ``canonical_since`` (canonical rows on or after
+    ``start``) and the refreshed FX series.  Exact as long as dimensions and
+    older observations did not change (they would call for a full refresh)."""
+    fresh = time_series_usd(canonical_since.where(F.col("date") >= start), instruments, fields, instrument_units,
+                            units, units_ts.where(F.col("date") >= start))
+    kept = current.where(F.col("date") < start).select(*fresh.columns)
+    return kept.unionByName(fresh)
+
+
+def time_series_usd_for_instruments(current: DataFrame, canonical: DataFrame, changed: DataFrame,
+                                    instruments: DataFrame, fields: DataFrame, instrument_units: DataFrame,
+                                    units: DataFrame, units_ts: DataFrame) -> DataFrame:
+    """C4 refresh scoped to the instruments in ``changed`` (one column of ids),
+    e.g. the portfolios after their NAV rows are upserted; the FX series is
+    unchanged, so every other instrument's rows are kept."""
+    ids = bounded_broadcast(changed.select(F.col(changed.columns[0]).alias("instrument_id")).distinct())
+    fresh = time_series_usd(canonical.join(ids, "instrument_id", "left_semi"), instruments, fields,
+                            instrument_units, units, units_ts)
+    kept = current.join(ids, "instrument_id", "left_anti").select(*fresh.columns)
+    return kept.unionByName(fresh)
