@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from marketframe.operators import relational as R
 from marketframe.operators import windows as N
 from marketframe.plans.catalog import dbl, m, register
-from marketframe.sources.driver_tables import AS_OF, padded
+from marketframe.sources.driver_tables import AS_OF
 
-R4 = 4
 CUTOFF = dt.date(2001, 10, 20)
 
 

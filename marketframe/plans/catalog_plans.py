@@ -14,7 +14,7 @@ from marketframe.operators import writes as W
 from marketframe.plans import oracle
 from marketframe.plans.catalog import dbl, m, register
 from marketframe.session import checkpoint_dir
-from marketframe.sources.driver_tables import AS_OF, padded
+from marketframe.sources.driver_tables import AS_OF
 
 AS_OF_TS = dt.datetime(2001, 12, 1)
 STALE_CUTOFF = AS_OF - dt.timedelta(days=5)
