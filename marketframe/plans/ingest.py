@@ -80,7 +80,8 @@ def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days:
     from marketframe.plans.nav import portfolio_nav_returns
     from marketframe.plans.schedule import stale_report, to_update
     from marketframe.plans.vendor import vendor_to_observations
-    from marketframe.sources.sinks import current_version, materialize, publish_snapshot, read_snapshot
+    from marketframe.sources.sinks import (current_version, materialize, publish_snapshot, publish_tables,
+                                           read_snapshot)
 
     spark = vendor.sparkSession
     plan = to_update(model.updates, model.identifiers, model.instruments)
@@ -97,8 +98,8 @@ def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days:
     failures = pick("ingest_failures", spark.createDataFrame([], S.INGEST_FAILURES))
     out = ingest_batch(pick("observations", model.observations), pick("updates", model.updates),
                        failures, model.identifiers, batch, requested, ["close", "totret"], as_of)
-    for name in ("observations", "updates", "ingest_failures"):
-        publish_snapshot(out[name], root, name)
+    # The three ingest outputs switch together (one manifest write).
+    publish_tables({name: out[name] for name in ("observations", "updates", "ingest_failures")}, root)
     obs = read_snapshot(spark, root, "observations")
 
     def publish_views(uts, ts):

@@ -132,3 +132,42 @@ def upsert_partitioned(spark: SparkSession, path: str, batch: DataFrame, key: li
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
     return len(parts)
+
+
+def publish_tables(tables: dict, root: str, partition_by: dict | None = None) -> dict:
+    """W12 for several tables at once: write every table's next version, then
+    switch one manifest (``<root>/_manifest``: ``name=version`` lines) in a
+    single small write, so readers see all new versions or none.  Each
+    table's own pointer is updated afterwards for single-table readers."""
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    manifest = read_manifest(spark, root)
+    versions = {}
+    for name, df in tables.items():
+        v = max(manifest.get(name, 0), current_version(spark, root, name) or 0) + 1
+        w = df.write.mode("overwrite")
+        if partition_by and partition_by.get(name):
+            w = w.partitionBy(*partition_by[name])
+        w.parquet(f"{root}/{name}/v={v}")
+        versions[name] = v
+    manifest.update(versions)
+    _write_text(spark, f"{root}/_manifest", ";".join(f"{k}={v}" for k, v in sorted(manifest.items())))
+    for name, v in versions.items():
+        _write_text(spark, f"{root}/{name}/_current", str(v))
+    return versions
+
+
+def read_manifest(spark: SparkSession, root: str) -> dict:
+    text = _read_text(spark, f"{root}/_manifest")
+    if not text:
+        return {}
+    return {k: int(v) for k, v in (item.split("=") for item in text.split(";") if item)}
+
+
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Read ``table`` at the version the manifest names (its own pointer otherwise)."""
+    v = read_manifest(spark, root).get(table) or current_version(spark, root, table)
+    if v is None:
+        raise FileNotFoundError(f"no published snapshot of {table} under {root}")
+    return spark.read.parquet(f"{root}/{table}/v={v}")

@@ -74,3 +74,13 @@ def test_upsert_rewrites_only_touched_partitions(spark):
     got = {(r.instrument_id, r.year): r.value for r in spark.read.parquet(path).collect()}
     assert len(got) == 10 and got[("I0", 2021)] == Decimal(8) and got[("I7", 2021)] == Decimal(7)
     assert got[("I0", 2019)] == Decimal(0)
+
+
+def test_publish_tables_switches_one_manifest(spark):
+    from marketframe.sources.sinks import publish_tables, read_manifest, read_table
+    root = _root(spark, "multi")
+    v = publish_tables({"a": spark.range(2), "b": spark.range(3)}, root)
+    assert v == {"a": 1, "b": 1} and read_manifest(spark, root) == {"a": 1, "b": 1}
+    publish_tables({"a": spark.range(4)}, root)
+    assert read_manifest(spark, root) == {"a": 2, "b": 1}
+    assert read_table(spark, root, "a").count() == 4 and read_table(spark, root, "b").count() == 3
