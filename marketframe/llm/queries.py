@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from marketframe.llm.decontaminate import OP8_SQL, op8_decontamination
+from marketframe.llm.licenses import OP7_SQL, op7_licenses
 from marketframe.llm.packing import op1_packing
 from marketframe.llm.token_files import op2_token_files
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
+    "op7_licenses": op7_licenses,
+    "op8_decontamination": op8_decontamination,
 }
 
 #: DuckDB SQL over the given tables, where SQL can express the operator.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_licenses": OP7_SQL,
+    "op8_decontamination": OP8_SQL,
+}
