@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from marketframe.session import checkpoint_dir
 
@@ -36,6 +38,30 @@ def row_slices(offsets: np.ndarray, most_bytes: int) -> Iterator[tuple[int, int]
         i = j
 
 
+def add_columns(docs: DataFrame, fields: str, make: Callable[[pa.Array], list[pa.Array]], text: str = "text", slice_bytes: int = 4 << 20) -> DataFrame:
+    """``docs`` plus the columns ``fields`` (a schema string), made from the text column by ``make``
+    for about ``slice_bytes`` of text at a time.  Other columns pass through in a struct, so no name
+    clashes inside; a column of ``docs`` named like a new one is replaced."""
+    added = T.StructType.fromDDL(fields)
+    others = [c for c in docs.columns if c != text]
+    packed = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("row"),
+                         F.col(f"`{text}`").cast("string").alias("text"))
+    schema = T.StructType([*packed.schema.fields, T.StructField("made", added)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(added)
+        for batch in batches:
+            _, offsets = text_buffer(batch.column("text"))
+            for i, j in row_slices(offsets, slice_bytes):
+                part = batch.slice(i, j - i)
+                made = pa.StructArray.from_arrays([a.cast(f.type) for a, f in zip(make(part.column("text")), arrow)], fields=list(arrow))
+                yield pa.RecordBatch.from_arrays([*part.columns, made], names=["row", "text", "made"])
+
+    out, new = packed.mapInArrow(run, schema), added.fieldNames()
+    source = {c: F.col(f"row.c{i}") for i, c in enumerate(others)} | {text: F.col("text")}
+    return out.select(*[source[c].alias(c) for c in docs.columns if c not in new], *[F.col(f"made.`{c}`").alias(c) for c in new])
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from marketframe.llm.decontaminate import OP8_SQL, op8_decontamination
+from marketframe.llm.language import op3_language
 from marketframe.llm.licenses import OP7_SQL, op7_licenses
 from marketframe.llm.packing import op1_packing
+from marketframe.llm.token_counts import op9_token_counts
 from marketframe.llm.token_files import op2_token_files
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
+    "op3_language": op3_language,
     "op7_licenses": op7_licenses,
     "op8_decontamination": op8_decontamination,
+    "op9_token_counts": op9_token_counts,
 }
 
 #: DuckDB SQL over the given tables, where SQL can express the operator.

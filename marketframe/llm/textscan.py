@@ -37,14 +37,20 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def scan_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Folded bytes, word starts, word ends, and for each row the number of its first word (rows + 1).
+#: Bytes outside ASCII white space.
+NOT_SPACE = np.ones(256, bool)
+NOT_SPACE[9:14] = NOT_SPACE[32] = False
+
+
+def scan_words(data: np.ndarray, offsets: np.ndarray, of: np.ndarray = WORD, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes (A-Z folded, if asked), word starts, word ends, and for each row the number of its first
+    word (rows + 1); ``of`` says which bytes are in words.
 
     ``offsets`` are those of the rows in ``data``, from 0 on; no word crosses rows.
     """
-    folded = FOLD[data]
+    folded = FOLD[data] if fold else data
     n = len(folded)
-    inside = WORD[folded]
+    inside = of[folded]
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     edges = offsets[(offsets > 0) & (offsets < n)]
