@@ -6,6 +6,7 @@ from marketframe.llm.decontaminate import OP8_SQL, op8_decontamination
 from marketframe.llm.language import op3_language
 from marketframe.llm.licenses import OP7_SQL, op7_licenses
 from marketframe.llm.packing import op1_packing
+from marketframe.llm.quality import op6_quality
 from marketframe.llm.token_counts import op9_token_counts
 from marketframe.llm.token_files import op2_token_files
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
     "op3_language": op3_language,
+    "op6_quality": op6_quality,
     "op7_licenses": op7_licenses,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
