@@ -28,12 +28,12 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return d, o - o[0]
 
 
-def row_slices(offsets: np.ndarray, most_bytes: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``most_bytes`` of text each; a longer row has a range of its own."""
+def row_slices(offsets: np.ndarray, most_bytes: int, most_rows: int = 1 << 13) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``most_bytes`` of text and at most ``most_rows`` rows; a longer text has a range of its own."""
     n, i = len(offsets) - 1, 0
     while i < n:
         j = int(np.searchsorted(offsets, offsets[i] + most_bytes, side="right")) - 1
-        j = min(n, max(j, i + 1))
+        j = min(n, max(j, i + 1), i + most_rows)
         yield i, j
         i = j
 
@@ -67,19 +67,34 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage ends here,
-    and a lost executor costs a re-read, not a re-computation."""
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Scratch:
+    """Intermediate tables of one job in the shared folder.
 
+    ``store`` writes a table once and reads it back: lineage ends there, and a lost
+    executor costs a re-read, not a re-computation.  ``drop`` deletes tables that are
+    no longer read, ``clear`` all but those of the frames it is given.
+    """
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this operator wrote under the shared folder."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    def __init__(self, spark: SparkSession, job: str):
+        self.spark, self.root, self.paths = spark, shared_path(spark, job), {}
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{len(self.paths)}-{name}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        for f in frames:
+            path, kept = self.paths[id(f)]
+            self.paths[id(f)] = ("", kept)
+            if path:
+                p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+    def clear(self, *keep: DataFrame) -> None:
+        self.drop(*[f for _, f in list(self.paths.values()) if all(f is not k for k in keep)])
 
 
 def remainder(id_column: str, modulus: int):

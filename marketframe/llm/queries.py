@@ -5,6 +5,7 @@ from __future__ import annotations
 from marketframe.llm.decontaminate import OP8_SQL, op8_decontamination
 from marketframe.llm.language import op3_language
 from marketframe.llm.licenses import OP7_SQL, op7_licenses
+from marketframe.llm.near_duplicates import op10_near_duplicates
 from marketframe.llm.packing import op1_packing
 from marketframe.llm.quality import op6_quality
 from marketframe.llm.token_counts import op9_token_counts
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_licenses": op7_licenses,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 #: DuckDB SQL over the given tables, where SQL can express the operator.
