@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from marketframe.llm.decontaminate import OP8_SQL, op8_decontamination
+from marketframe.llm.embeddings import op4_near_vectors
 from marketframe.llm.language import op3_language
 from marketframe.llm.licenses import OP7_SQL, op7_licenses
+from marketframe.llm.lm_scores import op5_lm_scores
 from marketframe.llm.near_duplicates import op10_near_duplicates
 from marketframe.llm.packing import op1_packing
 from marketframe.llm.quality import op6_quality
@@ -15,6 +17,8 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
     "op3_language": op3_language,
+    "op4_near_vectors": op4_near_vectors,
+    "op5_lm_scores": op5_lm_scores,
     "op6_quality": op6_quality,
     "op7_licenses": op7_licenses,
     "op8_decontamination": op8_decontamination,
