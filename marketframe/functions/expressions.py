@@ -55,12 +55,11 @@ def expr_split_ratio(note: Column) -> Column:
 
 
 def expr_sign_rules(typ: Column, units: Column, amount: Column, fee: Column):
-    """Ledger signs: opens pay cash (negative), closes sell units (negative);
-    fees are absolute and subtracted from the cash flow. Returns (units, fee, cashflow)."""
-    fee_abs = F.abs(F.coalesce(fee, F.lit(0)))
-    u = F.when(typ == "close", -F.abs(units)).when(typ == "open", F.abs(units)).otherwise(units)
-    cash = F.when(typ == "open", -F.abs(amount)).otherwise(amount) - fee_abs
-    return u, fee_abs, cash
+    """Ledger signs: closes negate units, opens negate the amount, and the fee (a
+    positive number, none: 0) is taken off the cash flow. Returns (units, cashflow)."""
+    u = F.when(typ == "close", -units).otherwise(units)
+    cash = F.when(typ == "open", -amount).otherwise(amount) - F.coalesce(fee, F.lit(0.0))
+    return u, cash
 
 
 def expr_days_stale(last_update: Column, as_of) -> Column:

@@ -57,8 +57,8 @@ def ric_to_yahoo(df: DataFrame, ric_col: str, overrides: DataFrame | None = None
     rule = expr_ric_to_yahoo(F.col(ric_col))
     if overrides is None:
         return df.withColumn(out, rule)
-    o = F.broadcast(overrides.select(F.col(overrides.columns[0]).alias("_ric"),
-                                     F.col(overrides.columns[1]).alias("_ovr")).dropDuplicates(["_ric"]))
+    o = overrides.select(F.col(overrides.columns[0]).alias("_ric"),
+                         F.col(overrides.columns[1]).alias("_ovr")).dropDuplicates(["_ric"])
     return (df.join(o, F.col(ric_col) == F.col("_ric"), "left")
             .withColumn(out, F.coalesce(F.col("_ovr"), rule)).drop("_ric", "_ovr"))
 
@@ -117,14 +117,28 @@ _DAY_FIRST = ["dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy", "d/M/yyyy", "dd-MM-yyyy", "dd
 _MONTH_FIRST = ["MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy", "M/d/yyyy", "MM-dd-yyyy"]
 
 
-def normalise_dates(x: Column, dayfirst: bool = False) -> Column:
+def normalise_dates(x: Column, dayfirst: bool = False, numeric: bool = False) -> Column:
     """Text or unix seconds to a timestamp; null when nothing parses.
 
-    Numbers are unix seconds; text has ordinal suffixes stripped and is tried
-    against a fixed list of formats (``try_to_timestamp`` never raises).
+    ``numeric`` says that the column is a number: unix seconds, of any size and
+    sign.  Text is never taken for seconds: it is parsed as ISO (with any zone and
+    fraction of a second), else ordinal suffixes are stripped and a fixed list
+    of formats is tried (``try_to_timestamp`` never raises).
     """
-    s = F.regexp_replace(F.trim(x.cast("string")), ORDINAL_SUFFIX, "$1")
+    if numeric:
+        v = x.cast("double")
+        return F.when(~F.isnan(v) & (F.abs(v) < F.lit(9e12)), F.timestamp_seconds(v))
+    s = F.trim(x.cast("string"))
+    iso = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), s.try_cast("timestamp"))
+    plain = F.regexp_replace(s, ORDINAL_SUFFIX, "$1")
     fmts = (_DAY_FIRST + _MONTH_FIRST if dayfirst else _MONTH_FIRST + _DAY_FIRST) + _COMMON_FORMATS
-    parsed = [F.try_to_timestamp(s, F.lit(f)) for f in fmts]
-    numeric = F.when(s.rlike(r"^-?\d{9,11}(\.\d+)?$"), F.timestamp_seconds(s.try_cast("double")))
-    return F.coalesce(numeric, *parsed)
+    return F.coalesce(iso, *[F.try_to_timestamp(plain, F.lit(f)) for f in fmts])
+
+
+def with_timestamps(df: DataFrame, col: str, out: str = "parsed", dayfirst: bool = False) -> DataFrame:
+    """X14 by the type of ``col``, plus ``<out>_error``: why a value that is there gives no timestamp."""
+    kind = df.schema[col].dataType.typeName()
+    number = kind in ("byte", "short", "integer", "long", "float", "double") or kind.startswith("decimal")
+    parsed = F.col(col).cast("timestamp") if kind in ("timestamp", "date") else normalise_dates(F.col(col), dayfirst, number)
+    return (df.withColumn(out, parsed).withColumn(
+        f"{out}_error", F.when(F.col(col).isNotNull() & F.col(out).isNull(), F.concat(F.lit("unreadable date: "), F.col(col).cast("string")))))

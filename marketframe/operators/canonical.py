@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketframe.operators.broadcast import config_dim
 from marketframe.schemas import CANONICAL_KEY
 
 NULL_PRIORITY = 2 ** 31 - 1   # NULLS LAST
@@ -30,7 +29,7 @@ def canonical_obs(observations: DataFrame, sources: DataFrame) -> DataFrame:
     a single long rank runs as a hash aggregate with map-side combining: no
     sort of the observations, one shuffle on the key.
     """
-    ranks = config_dim(source_rank(sources))
+    ranks = source_rank(sources)
     return (observations.join(ranks, "source")
             .groupBy(*CANONICAL_KEY)
             .agg(F.min_by("value", "rank").alias("value")))

@@ -10,10 +10,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.operators.broadcast import bounded_broadcast, config_dim
-
-# Lists longer than this become a broadcast semi join instead of ``isin``.
-ISIN_LIMIT = 1000
 
 
 # ------------------------------------------------------------------ P: projections, filters
@@ -44,17 +40,13 @@ def filter_not_null(df: DataFrame, cols: list, how: str = "any") -> DataFrame:
 
 
 def filter_in_list(df: DataFrame, col: str, values) -> DataFrame:
-    """``col = ANY(values)``; long lists or DataFrames become a semi join."""
+    """``col = ANY(values)``: a predicate for a list, a semi join for a DataFrame."""
     if values is None:
         return df
     if isinstance(values, DataFrame):
         members = values.select(F.col(values.columns[0]).alias(col)).distinct()
-        return df.join(bounded_broadcast(members), col, "left_semi")
-    values = list(values)
-    if len(values) <= ISIN_LIMIT:
-        return df.where(F.col(col).isin(values))
-    members = df.sparkSession.createDataFrame([(v,) for v in values], [col])
-    return df.join(F.broadcast(members), col, "left_semi")
+        return df.join(members, col, "left_semi")
+    return df.where(F.col(col).isin(list(values)))
 
 
 def filter_between(df: DataFrame, col: str, lo, hi) -> DataFrame:
@@ -113,8 +105,8 @@ def scalar_bounds(df: DataFrame, bounds: dict) -> DataFrame:
 
 # ------------------------------------------------------------------ J: joins
 def join_inner_equi(fact: DataFrame, dim: DataFrame, on) -> DataFrame:
-    """Many-to-one inner join to a dimension (broadcast once its size is checked)."""
-    return fact.join(bounded_broadcast(dim), on, "inner")
+    """Many-to-one inner join to a dimension (Spark broadcasts it if its size allows)."""
+    return fact.join(dim, on, "inner")
 
 
 def join_using(left: DataFrame, *others: DataFrame, on: str = "instrument_id") -> DataFrame:
@@ -124,7 +116,7 @@ def join_using(left: DataFrame, *others: DataFrame, on: str = "instrument_id") -
 
 def join_many_to_many_units(canonical: DataFrame, units: DataFrame) -> DataFrame:
     """Observations × every unit code of their instrument (row growth is intended)."""
-    return canonical.join(config_dim(units), "instrument_id")
+    return canonical.join(units, "instrument_id")
 
 
 def join_left_fill(spine: DataFrame, facts: DataFrame, on) -> DataFrame:
@@ -142,7 +134,7 @@ def join_left_mapping(requested: DataFrame, identifiers: DataFrame, source: str,
     """
     ids = identifiers.where(F.col("source") == source).select(F.col("ext_id").alias(col), "instrument_id")
     return requested.select(F.col(requested.columns[0]).cast("string").alias(col)).join(
-        bounded_broadcast(ids), col, "left")
+        ids, col, "left")
 
 
 def join_full_outer(spine: DataFrame, facts: DataFrame, keys: list, fill: dict | None = None) -> DataFrame:
@@ -151,23 +143,6 @@ def join_full_outer(spine: DataFrame, facts: DataFrame, keys: list, fill: dict |
     return coalesce_default(j, fill or {})
 
 
-def join_cross_spine(keys: DataFrame, calendar: DataFrame, date_col: str = "date",
-                     start: Column | None = None) -> DataFrame:
-    """Every key on every calendar date, without a cross join.
-
-    Each key row explodes the day range from ``start`` (default: the first
-    calendar date) to the last calendar date, then a semi join keeps calendar
-    dates.  Bounds are scalar subqueries.  Output size is keys × days, which
-    is the result itself; no pair of input rows is ever enumerated.
-    """
-    lo = calendar.select(F.min(date_col)).scalar()
-    hi = calendar.select(F.max(date_col)).scalar()
-    first = F.greatest(start, lo) if start is not None else lo
-    span = F.when(first <= hi, F.sequence(first, hi)).otherwise(F.array().cast("array<date>"))
-    exploded = keys.select("*", F.explode(span).alias(date_col))
-    return exploded.join(bounded_broadcast(calendar.select(date_col).distinct()), date_col, "left_semi")
-
-
 def join_semi(df: DataFrame, members: DataFrame, on) -> DataFrame:
     """Rows with a match."""
     return df.join(members, on, "left_semi")
@@ -180,7 +155,7 @@ def join_anti(df: DataFrame, members: DataFrame, on) -> DataFrame:
 
 def join_correlated_scalar(instruments: DataFrame, units: DataFrame, n: int = 3) -> DataFrame:
     """Unit scale looked up by the first ``n`` ticker letters (null if none)."""
-    u = config_dim(units.select(F.col("code").alias("_code"), F.col("scale").alias("unit_scale")))
+    u = units.select(F.col("code").alias("_code"), F.col("scale").alias("unit_scale"))
     return (instruments.join(u, F.substring("internal_ticker", 1, n) == F.col("_code"), "left")
             .drop("_code"))
 

@@ -55,10 +55,31 @@ def drop_first_row(df: DataFrame, keys, order) -> DataFrame:
     return df.withColumn("_rn", rn).where(F.col("_rn") > 1).drop("_rn")
 
 
+def dense_index(df: DataFrame, keys, order, out: str = "idx", n_ranges: int | None = None) -> DataFrame:
+    """0-based position of each row within its group in ``order`` order (unique within the group),
+    without pulling a group into one task.
+
+    The rows are range-partitioned on (group, order) and written once, tagged with
+    their slice.  Rows and slice counts both come from that table, so they fit
+    whatever bounds were sampled and whichever task is repeated.  Each slice numbers
+    its rows; the counts of the slices before it are its offset.
+    """
+    from marketframe.sources.sinks import materialize
+    keys, order = ([c] if isinstance(c, str) else list(c) for c in (keys, order))
+    ranges = (df.repartitionByRange(n_ranges, *keys, *order) if n_ranges else df.repartitionByRange(*keys, *order))
+    sliced = materialize(ranges.withColumn("_slice", F.spark_partition_id()), "slices")
+    local = sliced.withColumn("_rn", F.row_number().over(_w(["_slice", *keys], order)) - 1)
+    counts = sliced.groupBy("_slice", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_slice").alias("_of"), *[F.col(k).alias(f"_of_{k}") for k in keys],
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    same = [local["_slice"] == offsets["_of"], *[local[k].eqNullSafe(offsets[f"_of_{k}"]) for k in keys]]
+    return local.join(offsets, same).withColumn(out, F.col("_off") + F.col("_rn")).select(*df.columns, out)
+
+
 def assign_batches(df: DataFrame, keys, order, size: int, out: str = "batch") -> DataFrame:
-    """Number rows of each group by ``order`` and cut them into batches of ``size``."""
-    rn = F.row_number().over(_w(keys, order))
-    return df.withColumn(out, F.floor((rn - 1) / F.lit(size)).cast("int"))
+    """Number the rows of each group by ``order`` and cut them into batches of ``size``."""
+    return dense_index(df, keys, order, "_pos").withColumn(out, F.floor(F.col("_pos") / size).cast("int")).drop("_pos")
 
 
 def reverse_cumprod(df: DataFrame, keys, order_col: str, col: str, out: str) -> DataFrame:

@@ -15,10 +15,29 @@ from pyspark.sql import functions as F
 from marketframe import schemas as S
 
 
-class DuplicateKeyError(ValueError):
+class RowsError(ValueError):
+    """An error about rows: ``rows`` is the DataFrame of all of them, the message shows a few and their number."""
+
+    rows: DataFrame
+
+
+class DuplicateKeyError(RowsError):
+    pass
+
+
+class CheckError(RowsError):
     pass
 
 
+def raise_on_rows(rows: DataFrame, error: type[RowsError], what: str, shown: int = 20) -> None:
+    """Raise ``error`` if there are any ``rows``."""
+    n = rows.count()
+    if n:
+        e = error(f"{what}: {n} rows, of which {[tuple(r) for r in rows.take(shown)]}")
+        e.rows = rows
+        raise e
+
+
 def latest_per_key(batch: DataFrame, key: list, seq_col: str = "seq", value_cols: list | None = None) -> DataFrame:
     """Keep the last row per key of a batch (highest ``seq_col``; ties by the values).
 
@@ -58,20 +77,15 @@ def insert_strict(current: DataFrame, batch: DataFrame, keys: list[list], check:
     """Plain insert that fails on any duplicate of any unique ``keys``."""
     if check:
         for key in keys:
-            bad = strict_conflicts(current, batch, key).limit(20).collect()
-            if bad:
-                raise DuplicateKeyError(f"duplicate {key}: {[tuple(r) for r in bad]}")
+            raise_on_rows(strict_conflicts(current, batch, key), DuplicateKeyError, f"duplicate {key}")
     return current.unionByName(batch.select(*current.columns))
 
 
-def insert_strict_instruments(current: DataFrame, batch: DataFrame, current_units: DataFrame | None = None,
-                              start=S.DEFAULT_START, check: bool = True):
-    """Insert instruments (unique id, name, ticker).  If the batch carries a
-    ``unit`` column, the first ``instrument_units`` row of each is written too,
-    returned as ``(instruments, instrument_units)``."""
+def insert_strict_instruments(current: DataFrame, batch: DataFrame, current_units: DataFrame,
+                              start=S.DEFAULT_START, check: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Insert instruments (unique id, name, ticker) of ``batch``, which carries their ``unit``,
+    and the first ``instrument_units`` row of each.  Returns ``(instruments, instrument_units)``."""
     nxt = insert_strict(current, batch, [["instrument_id"], ["name"], ["internal_ticker"]], check)
-    if current_units is None or "unit" not in batch.columns:
-        return nxt
     first = batch.select("instrument_id", "unit", F.lit(start).cast("date").alias("start_date"),
                          F.lit(S.OPEN_END).alias("end_date"))
     return nxt, current_units.unionByName(first)
@@ -132,8 +146,7 @@ def append_activity(current: DataFrame, batch: DataFrame, instruments: DataFrame
             probes.append(Q.check_foreign_key(batch.where(F.col("instrument_id").isNotNull()), ids,
                                               ["instrument_id"]))
         for p in probes:
-            if not p.isEmpty():
-                raise ValueError(f"ledger batch violates a check: {p.limit(5).collect()}")
+            raise_on_rows(p, CheckError, "ledger batch violates a check")
     return current.unionByName(batch.select(*current.columns))
 
 

@@ -89,7 +89,7 @@ def q_coalesce_default(spark, sf_dir):
 
 @register("replace_blank_null", "SELECT row_no, NULLIF(trim(substr(details, 10)), '') AS tail FROM m_statement")
 def q_replace_blank_null(spark, sf_dir):
-    s = m(spark, sf_dir).statement.select("row_no", F.substring("details", 10, 1 << 20).alias("tail"))
+    s = m(spark, sf_dir).statement.select("row_no", F.col("details").substr(F.lit(10), F.length("details")).alias("tail"))
     return R.replace_blank_null(s, ["tail"])
 
 
@@ -214,14 +214,13 @@ def q_join_correlated_scalar(spark, sf_dir):
 
 
 @register("join_dict_lookup", """
-    SELECT row_no, type, CASE type WHEN 'Open Position' THEN 'open' WHEN 'Position closed' THEN 'close'
-        WHEN 'Deposit' THEN 'deposit' WHEN 'Withdrawal' THEN 'withdrawal' WHEN 'Dividend' THEN 'dividend'
-        WHEN 'Interest Payment' THEN 'interest' WHEN 'corp action: Split' THEN 'split' END AS ledger_type
-    FROM m_statement""")
+    SELECT instrument_id, exchange, CASE exchange WHEN 'NYS' THEN 'New York Stock Exchange' WHEN 'NSQ' THEN 'NASDAQ'
+        WHEN 'LSE' THEN 'London Stock Exchange' WHEN 'PAR' THEN 'Euronext Paris' WHEN 'GER' THEN 'Deutsche Börse (Frankfurt)' END AS exchange_name
+    FROM m_staging_equities""")
 def q_join_dict_lookup(spark, sf_dir):
-    from marketframe.plans.statement import STATEMENT_TYPES_MAP
-    s = m(spark, sf_dir).statement.select("row_no", "type")
-    return R.join_dict_lookup(s, "type", STATEMENT_TYPES_MAP, "ledger_type")
+    from marketframe.functions.ids import EXCHANGE_CODE_TO_NAME
+    e = m(spark, sf_dir).staging_equities.select("instrument_id", "exchange")
+    return R.join_dict_lookup(e, "exchange", EXCHANGE_CODE_TO_NAME, "exchange_name")
 
 
 # ============================================================ A: simple aggregates
@@ -310,8 +309,9 @@ def q_unpivot_columns(spark, sf_dir):
 
 
 @register("unpivot_lateral_values", """
-    SELECT instrument_id, v.field, v.value FROM m_staging_equities
-    CROSS JOIN LATERAL (VALUES ('gics_code', gics_code), ('country_hq', country_hq), ('exchange', exchange)) v(field, value)""")
+    SELECT instrument_id, 'gics_code' AS field, gics_code AS value FROM m_staging_equities
+    UNION ALL SELECT instrument_id, 'country_hq', country_hq FROM m_staging_equities
+    UNION ALL SELECT instrument_id, 'exchange', exchange FROM m_staging_equities""")
 def q_unpivot_lateral_values(spark, sf_dir):
     from marketframe.plans.seed import unpivot_lateral_values
     return unpivot_lateral_values(m(spark, sf_dir).staging_equities)
@@ -343,17 +343,18 @@ def q_calendar_spine(spark, sf_dir):
     return R.calendar_spine(fx_base(md.canonical, md.units))
 
 
-@register("pivot_history", """
-    PIVOT (SELECT date, internal_ticker || '_' || field AS pair, CAST(value AS DOUBLE) AS value
-           FROM v_ts_usd WHERE field = 'close'
-             AND internal_ticker IN (SELECT internal_ticker FROM m_instruments WHERE asset_class = 'equity'))
-    ON pair USING round(avg(value), 5) GROUP BY date""")
+#: Tickers asked for in the wide history, two of which have data at every scale; the columns follow from them.
+PIVOT_TICKERS, PIVOT_FIELDS = ["Supplier#000000001", "Supplier#000000002", "Supplier#000000003"], ["close", "totret"]
+
+
+@register("pivot_history", "SELECT date, " + ", ".join(
+    f"round(avg(CASE WHEN internal_ticker = '{t}' AND field = '{f}' THEN CAST(value AS DOUBLE) END), 5) AS \"{t}_{f}\"" for t in PIVOT_TICKERS for f in PIVOT_FIELDS)
+    + " FROM v_ts_usd WHERE internal_ticker IN (" + ", ".join(f"'{t}'" for t in PIVOT_TICKERS) + ") GROUP BY date")
 def q_pivot_history(spark, sf_dir):
-    from marketframe.plans.hist import get_hist
-    md = m(spark, sf_dir)
-    h = get_hist(md.ts_usd, md.equity_tickers(), ["close"], None, None)
-    key = F.concat_ws("_", "ticker", "field")
-    return h.withColumn("pair", key).groupBy("date").pivot("pair").agg(F.round(F.avg(F.col("value").cast("double")), 5))
+    from marketframe.plans.hist import get_hist, pivot_history
+    h = get_hist(m(spark, sf_dir).ts_usd, PIVOT_TICKERS, PIVOT_FIELDS, None, None).withColumn("value", F.col("value").cast("double"))
+    wide = pivot_history(h, PIVOT_TICKERS, PIVOT_FIELDS)
+    return wide.select("date", *[F.round(F.col(f"`{c}`"), 5).alias(c) for c in wide.columns[1:]])
 
 
 # ============================================================ N: windows
@@ -509,21 +510,17 @@ def q_expr_split_ratio(spark, sf_dir):
 
 
 @register("expr_sign_rules", """
-    SELECT row_no, t AS type,
-           ROUND(CASE WHEN t = 'close' THEN -abs(units) WHEN t = 'open' THEN abs(units) ELSE units END, 5) AS units,
-           ROUND(abs(units / 10), 5) AS fee,
-           ROUND(CASE WHEN t = 'open' THEN -abs(amount) ELSE amount END - abs(units / 10), 5) AS cashflow_usd
+    SELECT row_no, t AS type, round(units * CASE t WHEN 'close' THEN -1 ELSE 1 END, 5) AS units,
+           round(amount * CASE t WHEN 'open' THEN -1 ELSE 1 END - coalesce(fee, 0), 5) AS cashflow_usd
     FROM (SELECT *, CASE type WHEN 'Open Position' THEN 'open' WHEN 'Position closed' THEN 'close'
-                      WHEN 'Deposit' THEN 'deposit' ELSE 'other' END AS t FROM m_statement)""")
+                      WHEN 'Deposit' THEN 'deposit' ELSE 'other' END AS t, CASE WHEN row_no % 3 = 0 THEN abs(units) / 10 END AS fee FROM m_statement)""")
 def q_expr_sign_rules(spark, sf_dir):
     from marketframe.functions.expressions import expr_sign_rules
-    s = m(spark, sf_dir).statement
     t = (F.when(F.col("type") == "Open Position", "open").when(F.col("type") == "Position closed", "close")
          .when(F.col("type") == "Deposit", "deposit").otherwise("other"))
-    s = s.withColumn("t", t)
-    u, fee, cash = expr_sign_rules(F.col("t"), F.col("units"), F.col("amount"), F.col("units") / 10)
-    return s.select("row_no", F.col("t").alias("type"), F.round(u, 5).alias("units"), F.round(fee, 5).alias("fee"),
-                    F.round(cash, 5).alias("cashflow_usd"))
+    s = m(spark, sf_dir).statement.withColumn("t", t).withColumn("fee", F.when(F.col("row_no") % 3 == 0, F.abs(F.col("units")) / 10))
+    units, cash = expr_sign_rules(F.col("t"), F.col("units"), F.col("amount"), F.col("fee"))
+    return s.select("row_no", F.col("t").alias("type"), F.round(units, 5).alias("units"), F.round(cash, 5).alias("cashflow_usd"))
 
 
 _LUHN = """(list_sum(list_transform(range(length(d)), lambda k:
@@ -570,30 +567,44 @@ def q_hex_hash(spark, sf_dir):
     return i.select("instrument_id", hex_hash(F.upper(F.col("name")), 13).alias("hash"))
 
 
-_DATE_TEXT = """(SELECT event_id, ts, CASE event_id % 4
+_DATE_TEXT = """(SELECT event_id, ts, CASE event_id % 6
         WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
         WHEN 1 THEN strftime(ts, '%d/%m/%Y %H:%M:%S')
         WHEN 2 THEN strftime(ts, '%B ') || CAST(day(ts) AS VARCHAR)
                     || CASE WHEN day(ts) IN (1, 21, 31) THEN 'st' WHEN day(ts) IN (2, 22) THEN 'nd'
                             WHEN day(ts) IN (3, 23) THEN 'rd' ELSE 'th' END || strftime(ts, ' %Y')
-        ELSE CAST(epoch(date_trunc('second', ts)) AS BIGINT)::VARCHAR END AS txt FROM events)"""
+        WHEN 3 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+        WHEN 4 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '.250+01:00'
+        ELSE 'on ' || strftime(ts, '%A') END AS txt FROM events)"""
 
 
 @register("normalise_dates", f"""
-    SELECT event_id, txt, CASE WHEN event_id % 4 = 2 THEN date_trunc('day', ts) ELSE date_trunc('second', ts) END AS parsed
-    FROM {_DATE_TEXT}""")
+    SELECT 't' || event_id AS id, txt AS given,
+           CASE event_id % 6 WHEN 2 THEN date_trunc('day', ts) WHEN 4 THEN date_trunc('second', ts) + INTERVAL 250 MILLISECOND - INTERVAL 1 HOUR
+                WHEN 5 THEN NULL ELSE date_trunc('second', ts) END AS parsed,
+           CASE WHEN event_id % 6 = 5 THEN 'unreadable date: ' || txt END AS parsed_error
+    FROM {_DATE_TEXT}
+    UNION ALL
+    SELECT 'n' || event_id, CAST((event_id - 500) * 86400 AS VARCHAR), TIMESTAMP '1970-01-01' + INTERVAL (event_id - 500) DAY, NULL FROM events
+    UNION ALL
+    SELECT 'd' || event_id, CAST(event_id AS VARCHAR) || '.5', TIMESTAMP '1970-01-01' + INTERVAL (event_id * 1000 + 500) MILLISECOND, NULL FROM events""")
 def q_normalise_dates(spark, sf_dir):
-    from marketframe.functions.ids import normalise_dates
+    """Text in six forms, and whole and broken seconds, each column by its type."""
+    from marketframe.functions.ids import with_timestamps
     ev = m(spark, sf_dir).raw("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    d = F.dayofmonth("ts")
+    d, kind = F.dayofmonth("ts"), F.col("event_id") % 6
     suffix = (F.when(d.isin(1, 21, 31), "st").when(d.isin(2, 22), "nd").when(d.isin(3, 23), "rd").otherwise("th"))
-    txt = (F.when(F.col("event_id") % 4 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-           .when(F.col("event_id") % 4 == 1, F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
-           .when(F.col("event_id") % 4 == 2, F.concat(F.date_format("ts", "MMMM "), d.cast("string"), suffix,
-                                                      F.date_format("ts", " yyyy")))
-           .otherwise(F.unix_timestamp("ts").cast("string")))
-    t = ev.select("event_id", txt.alias("txt"))
-    return t.select("event_id", "txt", normalise_dates(F.col("txt"), dayfirst=True).alias("parsed"))
+    txt = (F.when(kind == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).when(kind == 1, F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
+           .when(kind == 2, F.concat(F.date_format("ts", "MMMM "), d.cast("string"), suffix, F.date_format("ts", " yyyy")))
+           .when(kind == 3, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")))
+           .when(kind == 4, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".250+01:00")))
+           .otherwise(F.concat(F.lit("on "), F.date_format("ts", "EEEE"))))
+    def part(mark, value, shown=None):
+        rows = with_timestamps(ev.select("event_id", value.alias("x")), "x", dayfirst=True)
+        return rows.select(F.concat(F.lit(mark), F.col("event_id").cast("string")).alias("id"), (shown if shown is not None else F.col("x").cast("string")).alias("given"),
+                           "parsed", "parsed_error")
+    return (part("t", txt).unionByName(part("n", (F.col("event_id") - 500) * 86400))
+            .unionByName(part("d", F.col("event_id") + 0.5, F.concat(F.col("event_id").cast("string"), F.lit(".5")))))
 
 
 @register("expr_to_numeric", """

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from marketframe import schemas as S
 from marketframe.functions.expressions import expr_pipette, expr_prefix
-from marketframe.operators.broadcast import config_dim
 from marketframe.operators.windows import fill_calendar, lag_ratio
 
 
 def fx_base(canonical: DataFrame, units: DataFrame) -> DataFrame:
     """Scaled close of every unit code (J3: several codes may share one instrument)."""
-    u = config_dim(units.select("instrument_id", "code", "scale"))
+    u = units.select("instrument_id", "code", "scale")
     return (canonical.where(F.col("field") == "close")
             .join(u, "instrument_id")
             .select("code", "date", (F.col("value") * F.col("scale")).cast(S.FX_VALUE).alias("value")))
@@ -25,7 +24,7 @@ def fx_observations(observations: DataFrame, units: DataFrame) -> DataFrame:
     Canonicalisation groups by instrument, so filtering instruments first is
     exact and keeps the priority aggregate to the (small) FX slice.
     """
-    ids = config_dim(units.select("instrument_id").distinct())
+    ids = units.select("instrument_id").distinct()
     return observations.where(F.col("field") == "close").join(ids, "instrument_id", "left_semi")
 
 
@@ -65,7 +64,7 @@ def seed_units(instruments: DataFrame, subunits: DataFrame | None = None) -> Dat
                    F.lit(S.CURRENCY_SCALE).cast(S.UNIT_SCALE).alias("scale"), "instrument_id"))
     if subunits is None:
         return cur
-    sub = (subunits.join(config_dim(cur.select(F.col("code").alias("parent"), "instrument_id")), "parent")
+    sub = (subunits.join(cur.select(F.col("code").alias("parent"), "instrument_id"), "parent")
            .select("code", F.col("scale").cast(S.UNIT_SCALE).alias("scale"), "instrument_id"))
     return cur.unionByName(sub)
 

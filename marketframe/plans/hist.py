@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.operators.relational import filter_between, filter_in_list
+from marketframe.operators.writes import RowsError, raise_on_rows
 
 
-class MissingTickersError(ValueError):
+class MissingTickersError(RowsError):
     pass
 
 
@@ -21,9 +22,9 @@ def _requested(spark, tickers, name="ticker") -> DataFrame:
 def get_hist(ts_usd: DataFrame, tickers, fields, sdate, edate) -> DataFrame:
     """C17: USD history (ticker, field, date, value) for tickers, fields and inclusive dates.
 
-    ``tickers`` is a list (``isin``) or a one-column DataFrame (broadcast semi
-    join once it is long); filters are plain predicates, so they reach the
-    Parquet scan of a stored ``time_series_usd`` snapshot.
+    ``tickers`` is a list (a predicate) or a one-column DataFrame (a semi join);
+    filters are plain predicates, so they reach the Parquet scan of a stored
+    ``time_series_usd`` snapshot.
     """
     df = ts_usd.select(F.col("internal_ticker").alias("ticker"), "field", "date", "value")
     df = filter_in_list(df, "ticker", tickers)
@@ -38,22 +39,21 @@ def missing_tickers(spark, hist: DataFrame, tickers) -> DataFrame:
     return req.join(hist.select("ticker").distinct(), "ticker", "left_anti")
 
 
-def get_hist_checked(spark, ts_usd, tickers, fields, sdate, edate, wide: bool = False) -> DataFrame:
-    """``get_hist`` that raises if any ticker has no data (one small action)."""
+def get_hist_checked(ts_usd, tickers, fields, sdate, edate, wide: bool = False) -> DataFrame:
+    """``get_hist`` as a user calls it: raises if any ticker has no data (the error's ``rows``
+    lists all of them), and gives the wide frame when asked for (``tickers`` a list then)."""
     hist = get_hist(ts_usd, tickers, fields, sdate, edate)
-    missing = [r.ticker for r in missing_tickers(spark, hist, tickers).limit(50).collect()]
-    if missing:
-        raise MissingTickersError(f"No data for tickers: {sorted(missing)}")
-    return pivot_history(hist) if wide else hist
+    raise_on_rows(missing_tickers(ts_usd.sparkSession, hist, tickers), MissingTickersError, "no data for tickers")
+    return pivot_history(hist, tickers, fields) if wide else hist
 
 
-def pivot_history(hist: DataFrame, pairs: list[str] | None = None) -> DataFrame:
-    """Long to wide, one column per ``ticker_field``, mean of duplicates.
+def pivot_history(hist: DataFrame, tickers: list[str], fields: list[str]) -> DataFrame:
+    """Long to wide, one column ``ticker_field`` for each of the requested tickers and
+    fields, in that order: the mean of duplicates, all null where there is no value.
 
-    Pass ``pairs`` to skip the extra job that finds the pivot values; columns
-    that are all null are dropped as in the reference only when ``pairs`` is
-    not given (the values then come from the data itself).
+    One grouped aggregate per column over rows filtered to the request, so the
+    width is what was asked for and no job is needed to find the columns.
     """
-    key = F.concat_ws("_", "ticker", "field")
-    g = hist.withColumn("pair", key).groupBy("date")
-    return (g.pivot("pair", pairs) if pairs is not None else g.pivot("pair")).agg(F.avg("value"))
+    asked = hist.where(F.col("ticker").isin(list(tickers)) & F.col("field").isin(list(fields)))
+    return asked.groupBy("date").agg(*[
+        F.avg(F.when((F.col("ticker") == t) & (F.col("field") == f), F.col("value"))).alias(f"{t}_{f}") for t in tickers for f in fields])

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from marketframe import schemas as S
 from marketframe.functions.expressions import expr_cast_date
-from marketframe.operators.broadcast import bounded_broadcast
 
 KEY = ["pf_id", "instrument_id"]
 
@@ -60,9 +59,8 @@ def trading_days(ts_usd: DataFrame, combined: DataFrame, ratio=Decimal("0.5")) -
 
 
 def index_days(days: DataFrame) -> DataFrame:
-    """Trading days with their 0-based position (``td_idx``), numbered without a
-    single-task window (see ``schedule.dense_index``)."""
-    from marketframe.plans.schedule import dense_index
+    """Trading days with their 0-based position (``td_idx``), numbered without a single-task window."""
+    from marketframe.operators.windows import dense_index
     return dense_index(days.select("date").withColumn("_g", F.lit(0)), ["_g"], ["date"], out="td_idx").drop("_g")
 
 
@@ -76,29 +74,33 @@ def next_trading_index(indexed: DataFrame) -> DataFrame:
     return j.select(F.explode(F.sequence(start, F.col("date"))).alias("cal_date"), "td_idx")
 
 
-def position_spine(combined: DataFrame, days: DataFrame) -> DataFrame:
-    """Every (portfolio, instrument) on every trading day from its first activity on.
+def _on_days(spans: DataFrame, days: DataFrame) -> DataFrame:
+    """One row per trading day in [from_date, to_date) of each span (to_date null: to the last day).
 
-    Each pair looks up the index of its first trading day and explodes the
-    index range up to the last trading day; a join on the index (calendar-sized,
-    size-checked broadcast) turns indexes back into dates.  Exactly the output
-    rows are generated, no pair of input rows is enumerated, and rows before a
-    pair's first activity (zero units) are never made.
+    Both ends become indexes of trading days by an equi-join with the calendar,
+    the index range is exploded, and an equi-join turns indexes back into dates:
+    exactly the output rows are made.
     """
-    pairs = combined.groupBy(*KEY).agg(F.min("date").alias("first_date"))
-    indexed = materialize_small(index_days(days), "trading_day_index")
-    lo = indexed.select(F.min("date")).scalar()
-    n_days = indexed.select(F.max("td_idx")).scalar()
-    lookup = bounded_broadcast(next_trading_index(indexed))
-    starts = (pairs.withColumn("cal_date", F.greatest(F.col("first_date"), lo))
-              .join(lookup, "cal_date").select(*KEY, F.col("td_idx").alias("first_idx")))
-    spine = starts.select(*KEY, F.explode(F.sequence(F.col("first_idx"), n_days)).alias("td_idx"))
-    return spine.join(bounded_broadcast(indexed), "td_idx").select(*KEY, "date")
+    indexed = index_days(days)
+    lo, hi = indexed.select(F.min("date")).scalar(), indexed.select(F.max("date")).scalar()
+    last = indexed.select(F.max("td_idx")).scalar()
+    lookup = next_trading_index(indexed)
+    begin = lookup.select(F.col("cal_date").alias("_from"), F.col("td_idx").alias("_first"))
+    end = lookup.select(F.col("cal_date").alias("_to"), F.col("td_idx").alias("_stop"))
+    # a span that ends on or before the first trading day has no day; one that ends after the last has them all
+    open_end = F.col("to_date").isNull() | (F.col("to_date") > hi)
+    placed = (spans.where(F.col("to_date").isNull() | (F.col("to_date") > lo))
+              .withColumn("_from", F.greatest(F.col("from_date"), lo)).withColumn("_to", F.when(~open_end, F.col("to_date")))
+              .join(begin, "_from").join(end, "_to", "left"))
+    days_of = placed.withColumn("_last", F.coalesce(F.col("_stop") - 1, last)).where(F.col("_first") <= F.col("_last"))
+    exploded = days_of.withColumn("td_idx", F.explode(F.sequence("_first", "_last")))
+    return exploded.join(indexed, "td_idx").drop("_from", "_to", "_first", "_stop", "_last", "td_idx", "from_date", "to_date")
 
 
-def materialize_small(df: DataFrame, name: str) -> DataFrame:
-    from marketframe.sources.sinks import materialize
-    return materialize(df, name)
+def position_spine(combined: DataFrame, days: DataFrame) -> DataFrame:
+    """Every (portfolio, instrument) on every trading day from its first activity on."""
+    pairs = combined.groupBy(*KEY).agg(F.min("date").alias("from_date")).withColumn("to_date", F.lit(None).cast("date"))
+    return _on_days(pairs, days).select(*KEY, "date")
 
 
 def portfolio_holdings(activity: DataFrame, ts_usd: DataFrame, units: DataFrame,
@@ -107,20 +109,18 @@ def portfolio_holdings(activity: DataFrame, ts_usd: DataFrame, units: DataFrame,
     """Units held per portfolio, instrument and trading day, with the USD close
     forward filled over the rows kept.
 
-    Plan: one shuffle on (pf_id, instrument_id) feeds both the union-aggregate
-    (the full outer join of spine and activity) and the running sum; then the
-    left join to prices and the fill window.  Days off the trading calendar
-    still feed the running sum (weekend deposits) but produce no row.
+    The running sum is taken over activity rows only; the next activity ends a
+    balance, so each is an interval of days.  Intervals not above ``eps`` go, and
+    only the others are exploded to trading days: closed positions cost nothing.
+    Activity off the trading calendar (weekend deposits) counts from the next
+    trading day on.  Then the left join to prices and the fill window.
     """
     combined = combined if combined is not None else combined_activity(activity, units)
     days = days if days is not None else trading_days(ts_usd, combined, ratio)
-    spine = position_spine(combined, days).withColumn("units", F.lit(0).cast(S.QTY))
-    rows = (combined.unionByName(spine).repartition(*KEY)
-            .groupBy("pf_id", "instrument_id", "date").agg(F.sum("units").alias("units")))
     w = Window.partitionBy(*KEY).orderBy("date")
-    held = rows.withColumn("units", F.sum("units").over(w))
-    keep = F.col("units") > F.lit(Decimal(str(eps))) if long_only else F.abs(F.col("units")) > F.lit(Decimal(str(eps)))
-    held = held.where(keep).join(bounded_broadcast(days), "date", "left_semi")
+    balances = combined.select(*KEY, F.col("date").alias("from_date"), F.sum("units").over(w).alias("units"), F.lead("date").over(w).alias("to_date"))
+    size = F.col("units") if long_only else F.abs(F.col("units"))
+    held = _on_days(balances.where(size > F.lit(Decimal(str(eps)))), days)
     prices = ts_usd.where(F.col("field") == "close").select("instrument_id", "date", F.col("value").alias("price"))
     priced = held.join(prices, ["instrument_id", "date"], "left")
     fill = Window.partitionBy(*KEY).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)

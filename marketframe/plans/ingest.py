@@ -1,7 +1,7 @@
 """Set-based daily ingest: C18 ingest_batch, C24 daily_run.
 
 One job per step for all tickers at once, replacing the per-ticker loop and
-row-by-row upserts; every step's output is a snapshot (W12) so a failed run
+row-by-row upserts.  Every write goes through commits (W12): a failed run
 resumes from published tables, and a lost executor re-reads files.
 """
 
@@ -16,127 +16,149 @@ from marketframe import schemas as S
 from marketframe.functions.expressions import expr_pipette
 from marketframe.operators.writes import append_failures, touch_updates, upsert_observations
 from marketframe.plans.schedule import get_iid_mapping
-from marketframe.plans.vendor import pull_outcome
+from marketframe.plans.vendor import vendor_to_observations
 
+#: Partitions of the observations and of the USD series, as SQL expressions.
+BY_FIELD_YEAR = ["field", "year(date)"]
 
-def ingest_batch(observations: DataFrame, updates: DataFrame, failures: DataFrame, identifiers: DataFrame,
-                 batch: DataFrame, requested: DataFrame, fields: list[str], as_of,
-                 transform: str = "normal", source: str = "YAHOO") -> dict[str, DataFrame]:
-    """Map vendor ids, transform, upsert, touch the schedule and log failures.
-
-    ``batch``: identifier, field, date, source, value (vendor long rows).
-    Rows with an unknown identifier or a missing / NaN value are not loaded
-    but logged as failures; so are requested tickers with no rows at all.
-    ``transform="currency"`` stores the inverted quote in pipettes and adds
-    the constant USD row for each date.  Returns the next ``observations``,
-    ``updates`` and ``ingest_failures``.
+
+def ingest_rows(identifiers: DataFrame, batch: DataFrame, requested: DataFrame, transform: str = "normal",
+                source: str = "YAHOO") -> tuple[DataFrame, DataFrame]:
+    """Observations to load (with ``seq``) and failures of one pull.
+
+    ``batch``: identifier, field, date, source, value (vendor long rows), and ``seq``,
+    the landed order, by which the last row of a key wins.  ``requested``: ticker and
+    field as scheduled.  Rows with an unknown identifier or a missing or NaN value
+    fail; so do the requested fields of tickers without any row.  ``transform="currency"``
+    stores the inverted quote in pipettes and adds the constant USD row of each date.
     """
-    ids = batch.select("identifier").union(requested.select(F.col(requested.columns[0]).alias("identifier")))
-    mapping = get_iid_mapping(ids.distinct(), identifiers, source).withColumnRenamed("ext_id", "identifier")
-    mapped = batch.join(mapping.dropDuplicates(["identifier"]), "identifier", "left")
+    if "seq" not in batch.columns:
+        batch = batch.withColumn("seq", F.lit(0))
+    ids = batch.select("identifier").union(requested.select(F.col("ticker").alias("identifier"))).distinct()
+    mapping = get_iid_mapping(ids, identifiers, source).withColumnRenamed("ext_id", "identifier").dropDuplicates(["identifier"])
     v = F.col("value").cast("double")
-    if transform == "currency":
-        v = expr_pipette(v, invert=True)
-    mapped = mapped.withColumn("value", v)
+    mapped = batch.join(mapping, "identifier", "left").withColumn("value", expr_pipette(v, invert=True) if transform == "currency" else v)
     bad_value = F.col("value").isNull() | F.isnan("value")
-    unknown = mapped.where(F.col("instrument_id").isNull())
-    missing = mapped.where(F.col("instrument_id").isNotNull() & bad_value)
     good = (mapped.where(F.col("instrument_id").isNotNull() & ~bad_value)
-            .select("instrument_id", "field", "date", "source", F.col("value").cast(S.VALUE).alias("value")))
+            .select(*S.OBS_KEY, F.col("value").cast(S.VALUE).alias("value"), F.col("seq").cast("long").alias("seq")))
     if transform == "currency":
         usd = (good.select("date").distinct()
-               .select(F.lit(S.USD_INSTRUMENT_ID).alias("instrument_id"), F.lit("close").alias("field"), "date",
-                       F.lit("system").alias("source"), F.lit(S.USD_PIPETTES).cast(S.VALUE).alias("value")))
+               .select(F.lit(S.USD_INSTRUMENT_ID).alias("instrument_id"), F.lit("close").alias("field"), "date", F.lit("system").alias("source"),
+                       F.lit(S.USD_PIPETTES).cast(S.VALUE).alias("value"), F.lit(0).cast("long").alias("seq")))
         good = good.unionByName(usd)
-    next_obs = upsert_observations(observations, good.withColumn("seq", F.lit(1)), "seq")
-    next_updates = touch_updates(updates, good, as_of)
-    failed_rows, _ = pull_outcome(requested, batch.select("identifier"), fields, source)
-    fail = (unknown.select(F.lit(None).cast("string").alias("instrument_id"), "field", "source",
-                           F.concat(F.lit("unknown identifier "), F.col("identifier")).alias("error_message"))
-            .unionByName(missing.select("instrument_id", "field", "source",
-                                        F.lit("missing or NaN value").alias("error_message")))
-            .unionByName(failed_rows.join(mapping.withColumnRenamed("identifier", "ticker"), "ticker", "left")
-                         .select("instrument_id", "field", "source", "error_message")))
-    next_failures = append_failures(failures, fail, dt.datetime.combine(as_of, dt.time()) if isinstance(as_of, dt.date)
-                                    and not isinstance(as_of, dt.datetime) else as_of)
-    return {"observations": next_obs, "updates": next_updates, "ingest_failures": next_failures}
+    unknown = mapped.where(F.col("instrument_id").isNull()).select(
+        F.lit(None).cast("string").alias("instrument_id"), "field", "source", F.concat(F.lit("unknown identifier "), F.col("identifier")).alias("error_message"))
+    missing = mapped.where(F.col("instrument_id").isNotNull() & bad_value).select(
+        "instrument_id", "field", "source", F.lit("missing or NaN value").alias("error_message"))
+    absent = requested.join(batch.select(F.col("identifier").alias("ticker")).distinct(), "ticker", "left_anti").distinct()
+    silent = absent.join(mapping.withColumnRenamed("identifier", "ticker"), "ticker", "left").select(
+        "instrument_id", "field", F.lit(source).alias("source"), F.lit("no data returned").alias("error_message"))
+    return good, unknown.unionByName(missing).unionByName(silent)
+
+
+def _midnight(day):
+    return dt.datetime.combine(day, dt.time()) if isinstance(day, dt.date) and not isinstance(day, dt.datetime) else day
+
+
+def ingest_batch(observations: DataFrame, updates: DataFrame, failures: DataFrame, identifiers: DataFrame,
+                 batch: DataFrame, requested: DataFrame, as_of, transform: str = "normal", source: str = "YAHOO") -> dict[str, DataFrame]:
+    """The next ``observations``, ``updates`` and ``ingest_failures`` after one pull (see :func:`ingest_rows`)."""
+    good, failed = ingest_rows(identifiers, batch, requested, transform, source)
+    return {"observations": upsert_observations(observations, good, "seq"), "updates": touch_updates(updates, good, as_of),
+            "ingest_failures": append_failures(failures, failed, _midnight(as_of))}
+
+
+def pull_window(vendor: DataFrame, requested: DataFrame, as_of: dt.date, window_days: int = 30):
+    """Landed rows of the scheduled tickers in the pull window, by asset class and field set.
+
+    ``requested``: ticker, asset_class, field_set.  Yields (asset class is currency, fields,
+    rows, tickers and their scheduled fields).  The window ends before ``as_of`` and starts
+    ``window_days`` earlier, one day more where ``totret`` needs a first row.  There are as
+    many groups as asset classes times field sets, a few.
+    """
+    groups = requested.select((F.col("asset_class") == "currency").alias("currency"), "field_set").distinct().collect()
+    for g in sorted(groups, key=lambda r: (not r.currency, r.field_set)):
+        fields = list(g.field_set)
+        mine = requested.where(((F.col("asset_class") == "currency") == F.lit(g.currency))
+                               & (F.array_join("field_set", ",") == F.lit(",".join(fields)))).select("ticker").distinct()
+        start = as_of - dt.timedelta(days=window_days + ("totret" in fields))
+        rows = vendor.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(as_of))).join(mine, "ticker", "left_semi")
+        yield g.currency, fields, rows, mine.select("ticker", F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"))
 
 
 def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days: int = 30,
               stale_days: int = 5) -> dict:
     """Plan -> pull landing -> ingest -> FX refresh -> USD refresh -> portfolios
-    -> USD refresh -> stale report, publishing each stored table as a snapshot.
-
-    ``model`` provides the dimensions and, on a first run, the tables;
-    later runs on the same ``root`` continue from its published snapshots and
-    refresh the stored views incrementally (from the re-pulled window for
-    FX/USD, and for the portfolio instruments only after the NAV upsert).
-    ``vendor`` is the landed vendor rows (ticker, date, close, adj_close,
-    stock_splits).  Returns the published DataFrames by name.
+    -> USD refresh -> stale report, every stored table published by commits.
+
+    ``model`` provides the dimensions and, on a first run, the tables; later runs on
+    the same ``root`` continue from its published tables.  ``vendor`` is the landed
+    vendor rows (ticker, date, close, adj_close, stock_splits; ``seq`` if keys repeat).
+    Each group of the schedule is pulled with its own fields and window; currencies are
+    inverted into pipettes and bring USD rows.  Observations, and on later runs the USD
+    series, are upserted: only the field-years that have new rows are written.
+    Returns the published DataFrames by name.
     """
+    from functools import reduce
+
     from marketframe.operators.canonical import canonical_obs
     from marketframe.plans import fx, usd
-    from marketframe.plans.holdings import portfolio_holdings
+    from marketframe.plans.holdings import combined_activity, portfolio_holdings, trading_days
     from marketframe.plans.nav import portfolio_nav_returns
     from marketframe.plans.schedule import stale_report, to_update
-    from marketframe.plans.vendor import vendor_to_observations
-    from marketframe.sources.sinks import (current_version, materialize, publish_snapshot, publish_tables,
-                                           read_snapshot)
+    from marketframe.sources.sinks import (commit, materialize, publish_snapshot, publish_tables, read_manifest, read_table,
+                                           stage_append, stage_snapshot, stage_upsert, upsert_table)
 
     spark = vendor.sparkSession
-    plan = to_update(model.updates, model.identifiers, model.instruments)
-    requested = plan.select(F.explode("tickers").alias("ticker")).distinct()
-    since = as_of - dt.timedelta(days=window_days)
-    landed = vendor.where(F.col("date") >= F.lit(since)).join(requested, "ticker", "left_semi")
-    batch = vendor_to_observations(landed, ["close", "totret"])
-    has_views = current_version(spark, root, "time_series_usd") is not None
-    current = {n: read_snapshot(spark, root, n) if current_version(spark, root, n) is not None else None
-               for n in ("observations", "updates", "ingest_failures")}
-    def pick(name, default):
-        return current[name] if current[name] is not None else default
-
-    failures = pick("ingest_failures", spark.createDataFrame([], S.INGEST_FAILURES))
-    out = ingest_batch(pick("observations", model.observations), pick("updates", model.updates),
-                       failures, model.identifiers, batch, requested, ["close", "totret"], as_of)
-    # The three ingest outputs switch together (one manifest write).
-    publish_tables({name: out[name] for name in ("observations", "updates", "ingest_failures")}, root)
-    obs = read_snapshot(spark, root, "observations")
-
-    def publish_views(uts, ts):
-        publish_snapshot(uts, root, "units_ts")
-        publish_snapshot(ts, root, "time_series_usd", partition_by=["field"])
-        return read_snapshot(spark, root, "units_ts"), read_snapshot(spark, root, "time_series_usd")
-
-    # FX and USD refresh: incremental from the re-pulled window when views exist, else in full.
-    changed_since = batch.select(F.min("date")).first()[0]
-    if has_views and changed_since is not None:
-        old_uts, old_ts = read_snapshot(spark, root, "units_ts"), read_snapshot(spark, root, "time_series_usd")
+    known = read_manifest(spark, root)["tables"]
+    if "observations" not in known:
+        publish_tables({"observations": model.observations, "updates": model.updates,
+                        "ingest_failures": spark.createDataFrame([], S.INGEST_FAILURES)}, root, {"observations": BY_FIELD_YEAR})
+
+    plan = to_update(model.updates, model.identifiers, model.instruments, sources=model.sources)
+    requested = materialize(plan.select("asset_class", "field_set", F.explode("tickers").alias("ticker")), "requested")
+    pulled = []
+    for currency, fields, rows, asked in pull_window(vendor, requested, as_of, window_days):
+        pulled.append(ingest_rows(model.identifiers, vendor_to_observations(rows, fields), asked, "currency" if currency else "normal"))
+    if pulled:
+        good = materialize(reduce(DataFrame.unionByName, [g for g, _ in pulled]), "pulled")
+        failed = reduce(DataFrame.unionByName, [f for _, f in pulled])
+        stamped = append_failures(spark.createDataFrame([], S.INGEST_FAILURES), failed, _midnight(as_of))
+        touched = touch_updates(read_table(spark, root, "updates"), good, as_of)
+        # the three ingest outputs switch together
+        commit(spark, root, [stage_upsert(good, root, "observations", S.OBS_KEY, BY_FIELD_YEAR, "seq"),
+                             stage_snapshot(touched, root, "updates"), stage_append(stamped, root, "ingest_failures")])
+        changed_since = good.select(F.min("date")).first()[0]
+    else:
+        changed_since = None
+    obs = read_table(spark, root, "observations")
+
+    # FX and USD: from the re-pulled window on where views exist and reach back before it, else in full
+    first_day = read_table(spark, root, "units_ts").select(F.min("date")).first()[0] if "units_ts" in known else None
+    if first_day is not None and changed_since is not None and changed_since > first_day:
         recent = obs.where(F.col("date") >= F.lit(changed_since))
-        uts, start = fx.units_ts_incremental(old_uts, canonical_obs(fx.fx_observations(recent, model.units),
-                                                                    model.sources), model.units, changed_since)
+        uts, start = fx.units_ts_incremental(read_table(spark, root, "units_ts"),
+                                             canonical_obs(fx.fx_observations(recent, model.units), model.sources), model.units, changed_since)
         uts = materialize(uts, "units_ts_refresh")
-        ts = usd.time_series_usd_incremental(old_ts, canonical_obs(obs.where(F.col("date") >= start), model.sources),
-                                             model.instruments, model.fields, model.instrument_units, model.units,
-                                             uts, start)
+        start = uts.select(start).first()[0]
+        fresh = usd.time_series_usd(canonical_obs(obs.where(F.col("date") >= F.lit(start)), model.sources), model.instruments, model.fields,
+                                    model.instrument_units, model.units, uts.where(F.col("date") >= F.lit(start)))
+        commit(spark, root, [stage_snapshot(uts, root, "units_ts"), stage_upsert(fresh, root, "time_series_usd", S.CANONICAL_KEY, BY_FIELD_YEAR)])
     else:
-        uts = fx.units_ts(canonical_obs(fx.fx_observations(obs, model.units), model.sources), model.units)
-        uts = materialize(uts, "units_ts_refresh")
-        ts = usd.time_series_usd(canonical_obs(obs, model.sources), model.instruments, model.fields,
-                                 model.instrument_units, model.units, uts)
-    uts, ts = publish_views(uts, ts)
-
-    # Portfolios: NAV rows into observations, then the USD rows of the portfolios only.
-    holdings = portfolio_holdings(model.activity, ts, model.units)
-    nav_rows = portfolio_nav_returns(holdings, model.activity)
-    publish_snapshot(upsert_observations(obs, nav_rows, None), root, "observations")
-    obs = read_snapshot(spark, root, "observations")
-    ts = usd.time_series_usd_for_instruments(ts, canonical_obs(obs, model.sources), nav_rows.select("instrument_id"),
-                                             model.instruments, model.fields, model.instrument_units, model.units,
-                                             uts)
-    publish_snapshot(ts, root, "time_series_usd", partition_by=["field"])
-    ts = read_snapshot(spark, root, "time_series_usd")
-    report = stale_report(read_snapshot(spark, root, "updates"), model.instruments,
-                          as_of - dt.timedelta(days=stale_days), as_of)
+        uts = materialize(fx.units_ts(canonical_obs(fx.fx_observations(obs, model.units), model.sources), model.units), "units_ts_refresh")
+        full = usd.time_series_usd(canonical_obs(obs, model.sources), model.instruments, model.fields, model.instrument_units, model.units, uts)
+        publish_tables({"units_ts": uts, "time_series_usd": full}, root, {"time_series_usd": BY_FIELD_YEAR})
+    uts, ts = read_table(spark, root, "units_ts"), read_table(spark, root, "time_series_usd")
+
+    # portfolios: NAV rows into the observations, then their USD rows
+    combined = materialize(combined_activity(model.activity, model.units), "combined")
+    days = materialize(trading_days(ts, combined), "trading_days")
+    nav = materialize(portfolio_nav_returns(portfolio_holdings(model.activity, ts, model.units, combined=combined, days=days), model.activity), "nav")
+    upsert_table(nav, root, "observations", S.OBS_KEY, BY_FIELD_YEAR)
+    owners = model.activity.select(F.col("pf_id").alias("instrument_id")).distinct()
+    of_portfolios = read_table(spark, root, "observations").join(owners, "instrument_id", "left_semi")
+    fresh = usd.time_series_usd(canonical_obs(of_portfolios, model.sources), model.instruments, model.fields, model.instrument_units, model.units, uts)
+    upsert_table(fresh, root, "time_series_usd", S.CANONICAL_KEY, BY_FIELD_YEAR)
+    report = stale_report(read_table(spark, root, "updates"), model.instruments, as_of - dt.timedelta(days=stale_days), as_of)
     publish_snapshot(report, root, "stale_report")
-    return {"observations": obs, "time_series_usd": ts, "stale_report": read_snapshot(spark, root, "stale_report"),
-            "ingest_failures": read_snapshot(spark, root, "ingest_failures")}
+    return {n: read_table(spark, root, n) for n in ("observations", "updates", "units_ts", "time_series_usd", "stale_report", "ingest_failures")}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marketframe.operators.canonical import canonical_obs
 from marketframe.plans import fx, usd
 from marketframe.sources.driver_tables import ModelTables
-from marketframe.sources.sinks import materialize
+from marketframe.sources.sinks import exists, materialize
 
 
 class Model(ModelTables):
@@ -114,7 +114,5 @@ class StoredModel(Model):
             self.__dict__[name] = spark.read.parquet(f"{root}/{name}")
         # Stored views, when staged, are what downstream queries read; refresh_* still rebuilds them.
         for attr, folder in VIEW_TABLES.items():
-            try:
+            if exists(spark, f"{root}/{folder}"):        # else they are refreshed on first use
                 self.__dict__[attr] = spark.read.parquet(f"{root}/{folder}")
-            except Exception:  # views not staged: they are refreshed on first use
-                pass

@@ -3,33 +3,13 @@ C15 check_updates, C16 stale_report (A11, X15)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.functions.expressions import expr_days_stale
-from marketframe.operators.broadcast import bounded_broadcast
 from marketframe.operators.relational import join_left_mapping
-
-
-def dense_index(df: DataFrame, group_cols: list, order_cols: list, out: str = "idx",
-                n_ranges: int | None = None) -> DataFrame:
-    """0-based position of each row within its group in ``order_cols`` order,
-    without pulling a group into one task.
-
-    Rows are range-partitioned on (group, order) so every task holds a
-    contiguous, balanced slice; each slice numbers its rows locally, a small
-    table of slice counts gives each slice its starting offset per group, and
-    the offset is added back (the DataFrame form of ``zipWithIndex``).
-    """
-    n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.repartitionByRange(n, *group_cols, *order_cols).withColumn("_slice", F.spark_partition_id())
-    local = keyed.withColumn("_rn", F.row_number().over(
-        Window.partitionBy("_slice", *group_cols).orderBy(*order_cols)) - 1)
-    counts = keyed.groupBy("_slice", *group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
-        Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(bounded_broadcast(offsets.drop("_n")), ["_slice", *group_cols])
-            .withColumn(out, F.col("_off") + F.col("_rn")).drop("_slice", "_rn", "_off"))
+from marketframe.operators.windows import assign_batches
+from marketframe.sources.scans import validate_source
 
 
 def agg_ordered_array(df: DataFrame, keys: list, col: str, out: str | None = None) -> DataFrame:
@@ -39,27 +19,35 @@ def agg_ordered_array(df: DataFrame, keys: list, col: str, out: str | None = Non
 
 
 def to_update(updates: DataFrame, identifiers: DataFrame, instruments: DataFrame,
-              frequency: str = "daily", source: str = "YAHOO", batch_size: int = 5) -> DataFrame:
+              frequency: str = "daily", source: str = "YAHOO", batch_size: int = 5,
+              sources: DataFrame | None = None) -> DataFrame:
     """Pull plan: (asset class, sorted field set) -> sorted tickers, cut into
     batches of ``batch_size`` (N11) so no array grows with the universe.
 
-    Output: asset_class, field_set (array), batch, tickers (array, sorted).
+    Output: asset_class, field_set (array), batch, tickers (array, sorted).  With
+    ``sources``, a source that is not among them is an error.
     """
+    if sources is not None:
+        validate_source(sources, source)
     ids = identifiers.where(F.col("source") == source).select("instrument_id", F.col("ext_id").alias("ticker"))
     inst = instruments.select("instrument_id", "asset_class")
     u = updates.where((F.col("source") == source) & (F.col("frequency") == frequency)).select("instrument_id", "field")
-    per_ticker = agg_ordered_array(u.join(ids, "instrument_id").join(bounded_broadcast(inst), "instrument_id"),
+    per_ticker = agg_ordered_array(u.join(ids, "instrument_id").join(inst, "instrument_id"),
                                    ["asset_class", "ticker"], "field", "field_set")
-    numbered = dense_index(per_ticker.withColumn("fs_key", F.array_join("field_set", ",")),
-                           ["asset_class", "fs_key"], ["ticker"], out="pos")
-    return (numbered.withColumn("batch", F.floor(F.col("pos") / batch_size).cast("int"))
+    batched = assign_batches(per_ticker.withColumn("fs_key", F.array_join("field_set", ",")),
+                             ["asset_class", "fs_key"], ["ticker"], batch_size)
+    return (batched
             .groupBy("asset_class", "fs_key", "batch")
             .agg(F.first("field_set").alias("field_set"), F.sort_array(F.collect_list("ticker")).alias("tickers"))
             .select("asset_class", "field_set", "batch", "tickers"))
 
 
-def get_iid_mapping(requested: DataFrame, identifiers: DataFrame, source: str) -> DataFrame:
-    """C14: external id -> internal id for one source; unknown ids map to null."""
+def get_iid_mapping(requested: DataFrame, identifiers: DataFrame, source: str,
+                    sources: DataFrame | None = None) -> DataFrame:
+    """C14: external id -> internal id for one source; unknown ids map to null.  With
+    ``sources``, a source that is not among them is an error."""
+    if sources is not None:
+        validate_source(sources, source)
     return join_left_mapping(requested, identifiers, source)
 
 

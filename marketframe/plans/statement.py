@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketframe.functions.expressions import expr_split_note, expr_split_ratio, expr_statement_symbol
-from marketframe.operators.broadcast import bounded_broadcast
+from marketframe.functions.expressions import expr_sign_rules, expr_split_note, expr_split_ratio, expr_statement_symbol
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for right results.
@@ -58,66 +57,85 @@ def resolve_symbol(lookups: DataFrame, candidates: DataFrame, mode: str = "ignor
                                           F.concat(F.lit("No instrument found for "), F.col("lookup"))))
 
 
-def units_before_split(ledger: DataFrame, key: str = "position_id", order: list | None = None) -> DataFrame:
-    """Replace each split row's units by the adjustment
-    ``units held just before the split × (multiplier − 1)``.
+def _split_holdings(ledger: DataFrame, key: str, order: list) -> DataFrame:
+    """N10 for rows of positions that have a split: ``_held``, the units held just before each row.
 
     With M the running product of split multipliers, the holding after any
-    event is M · Σ uᵢ / M(tᵢ) over earlier trades, so two window sums give
-    every split's holding, including earlier split adjustments, without a
-    per-row loop.  ``notes`` holds the ratio text ``a:b``.
+    event is M * sum(units / M) over the trades up to it, so two window sums give
+    every split's holding, including earlier splits, without a per-row loop.
     """
-    order = order or ["ts", "row_no"]
-    is_split = F.col("type") == "split"
-    m = F.when(is_split, expr_split_ratio(F.col("notes"))).otherwise(F.lit(1.0))
     trade = F.when(F.col("type").isin("open", "close"), F.col("units").cast("double")).otherwise(F.lit(0.0))
     base = Window.partitionBy(key).orderBy(*order)
     upto = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = base.rowsBetween(Window.unboundedPreceding, -1)
-    staged = ledger.withColumn("_m", m).withColumn("_t", trade)
-    staged = staged.withColumn("_mcur", F.product("_m").over(upto))
-    staged = staged.withColumn("_c", F.col("_t") / F.col("_mcur"))
-    staged = (staged.withColumn("_mprev", F.coalesce(F.product("_m").over(before), F.lit(1.0)))
-              .withColumn("_sprev", F.coalesce(F.sum("_c").over(before), F.lit(0.0))))
-    adj = F.col("_mprev") * F.col("_sprev") * (F.col("_m") - 1)
-    return (staged.withColumn("units", F.when(is_split, adj).otherwise(F.col("units").cast("double")))
-            .drop("_m", "_t", "_mcur", "_c", "_mprev", "_sprev"))
+    staged = ledger.withColumn("_c", F.try_divide(trade, F.product(F.coalesce("_ratio", F.lit(1.0))).over(upto)))
+    product = F.coalesce(F.product(F.coalesce("_ratio", F.lit(1.0))).over(before), F.lit(1.0))
+    return (staged.withColumn("_held", product * F.coalesce(F.sum("_c").over(before), F.lit(0.0))).drop("_c"))
+
+
+def units_before_split(ledger: DataFrame, key: str = "position_id", order: list | None = None) -> DataFrame:
+    """Replace each split row's units by the adjustment
+    ``units held just before the split x (multiplier - 1)``.
+
+    ``notes`` holds the ratio text ``a:b``.  A ratio that is malformed, zero or
+    negative adjusts nothing: the row's units become null, ``split_error`` says
+    why, and the holding goes on as before.  Only rows of positions with a split are
+    windowed; all others, rows without a position among them, pass by.  A split
+    without a position has no holding to adjust (0 units).
+    """
+    order = order or ["ts", "row_no"]
+    is_split = F.col("type") == "split"
+    ratio = F.when(is_split, expr_split_ratio(F.col("notes")))
+    rows = ledger.withColumn("_ratio", F.when(ratio > 0, ratio))
+    split = rows.where(is_split & F.col(key).isNotNull()).select(key).distinct()
+    known = rows.where(F.col(key).isNotNull())
+    windowed = _split_holdings(known.join(split, key, "left_semi"), key, order)
+    others = known.join(split, key, "left_anti").unionByName(rows.where(F.col(key).isNull())).withColumn("_held", F.lit(0.0))
+    out = windowed.unionByName(others)
+    bad = is_split & F.col("_ratio").isNull()
+    return (out.withColumn("units", F.when(is_split, F.col("_held") * (F.col("_ratio") - 1)).otherwise(F.col("units").cast("double")))
+            .withColumn("split_error", F.when(bad, F.concat(F.lit("unusable split ratio: "), F.coalesce("notes", F.lit("none")))))
+            .drop("_ratio", "_held"))
+
+
+def _with_fees(statement: DataFrame, fee_allocation: str) -> DataFrame:
+    """The fee of a day and position on each of its rows (or its first); rows without a position have none."""
+    day = F.to_date("date")
+    known = statement.where(F.col("position_id").isNotNull()).withColumn("dd", day)
+    known = known.join(agg_fee_by_position(statement), ["dd", "position_id"], "left")
+    if fee_allocation == "first":
+        first = F.row_number().over(Window.partitionBy("dd", "position_id").orderBy("date", "row_no")) == 1
+        known = known.withColumn("fee", F.when(first, F.col("fee")))
+    loose = statement.where(F.col("position_id").isNull()).withColumn("fee", F.lit(None).cast("double"))
+    return known.drop("dd").unionByName(loose)
 
 
 def convert_statement(statement: DataFrame, candidates: DataFrame, identifiers: DataFrame,
                       fee_allocation: str = "all", source: str = "ETORO") -> DataFrame:
     """Broker statement rows to ledger rows
-    (ts, type, position_id, instrument_id, units, fee, cashflow_usd, notes).
+    (ts, type, position_id, instrument_id, units, fee, cashflow_usd, notes, row_no, split_error).
 
     Fees of a day and position are attached to every row of that day and
     position (``fee_allocation="first"``: only to its first row); the type is
-    mapped and unmapped rows dropped; opens pay cash, closes sell units; split
-    rows carry the ratio in ``notes`` and their units become the adjustment.
+    mapped and unmapped rows dropped; signs follow X10; split rows carry the
+    ratio in ``notes`` and their units become the adjustment (N10).
     Symbols are resolved through landed search candidates and the broker's
-    identifiers (both small, size-checked broadcast).
+    identifiers.
     """
-    dd = F.to_date("date")
-    fee_w = Window.partitionBy(dd, "position_id")
-    fee_sum = F.sum(F.when(F.col("type").isin(FEE_TYPES), F.col("amount"))).over(fee_w)
-    fee = F.when(F.col("position_id").isNotNull(), F.abs(fee_sum))
-    s = statement.withColumn("fee", fee)
-    if fee_allocation == "first":
-        first = F.row_number().over(fee_w.orderBy("date", "row_no")) == 1
-        s = s.withColumn("fee", F.when(first, F.col("fee")))
+    s = _with_fees(statement, fee_allocation)
     tmap = F.create_map(*[F.lit(x) for kv in STATEMENT_TYPES_MAP.items() for x in kv])
     s = s.withColumn("type", tmap[F.col("type")]).where(F.col("type").isNotNull())
-    s = s.select(F.col("date").alias("ts"), "type", "position_id", "details", "row_no", "fee",
-                 F.when(F.col("type") == "close", -F.col("units")).otherwise(F.col("units")).alias("units"),
-                 (F.when(F.col("type") == "open", -F.col("amount")).otherwise(F.col("amount"))
-                  - F.coalesce(F.col("fee"), F.lit(0.0))).alias("cashflow_usd"),
+    units, cash = expr_sign_rules(F.col("type"), F.col("units"), F.col("amount"), F.col("fee"))
+    s = s.select(F.col("date").alias("ts"), "type", "position_id", "row_no", "fee", units.alias("units"), cash.alias("cashflow_usd"),
                  F.when(F.col("type") == "split", expr_split_note(F.col("details"))).alias("notes"),
                  F.when(F.col("type") != "deposit", expr_statement_symbol(F.col("details"))).alias("symbol"))
     symbols = s.select(F.col("symbol").alias("lookup")).where(F.col("lookup").isNotNull()).distinct()
     resolved = resolve_symbol(symbols, candidates, "ignore_internal").select(
         F.col("lookup").alias("symbol"), F.col("instrument_key").cast("string").alias("ext_id"))
     ids = identifiers.where(F.col("source") == source).select("ext_id", "instrument_id")
-    mapping = bounded_broadcast(resolved.join(ids, "ext_id", "left").select("symbol", "instrument_id")
-                                .dropDuplicates(["symbol"]))
-    s = s.join(mapping, "symbol", "left")
-    s = units_before_split(s)
-    return s.select("ts", "type", "position_id", "instrument_id", "units", "fee", "cashflow_usd", "notes", "row_no")
+    mapping = resolved.join(ids, "ext_id", "left").select("symbol", "instrument_id").dropDuplicates(["symbol"])
+    # rows without a symbol would all meet in one task: they have nothing to look up
+    named = s.where(F.col("symbol").isNotNull()).join(mapping, "symbol", "left")
+    s = named.unionByName(s.where(F.col("symbol").isNull()).withColumn("instrument_id", F.lit(None).cast("string")))
+    return units_before_split(s).select("ts", "type", "position_id", "instrument_id", "units", "fee", "cashflow_usd",
+                                        "notes", "row_no", "split_error")

@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from marketframe import schemas as S
 from marketframe.functions.expressions import expr_prefix, expr_round_money
-from marketframe.operators.broadcast import bounded_broadcast, config_dim
 
 
 def join_effective_range(facts: DataFrame, ranges: DataFrame, key: str = "instrument_id",
@@ -21,15 +20,15 @@ def join_effective_range(facts: DataFrame, ranges: DataFrame, key: str = "instru
     and the fact side is never shuffled.  Overlapping ranges would multiply
     rows; ``check_no_overlap`` (D6) guards that.
     """
-    r = bounded_broadcast(ranges.withColumnRenamed(key, "_range_key"))
+    r = ranges.withColumnRenamed(key, "_range_key")
     cond = ((F.col(key) == F.col("_range_key")) & (F.col(date_col) >= F.col(start_col))
             & (F.col(date_col) < F.col(end_col)))
     return facts.join(r, cond).drop("_range_key")
 
 
 def _usd_frame(canonical, instruments, fields, instrument_units, units_ts):
-    inst = bounded_broadcast(instruments.select("instrument_id", "internal_ticker", "asset_class"))
-    fld = config_dim(fields.select(F.col("name").alias("field"), "fx_conversion"))
+    inst = instruments.select("instrument_id", "internal_ticker", "asset_class")
+    fld = fields.select(F.col("name").alias("field"), "fx_conversion")
     iu = instrument_units.select("instrument_id", F.col("unit").alias("code"), "start_date", "end_date")
     o = canonical.join(inst, "instrument_id").join(fld, "field")
     o = join_effective_range(o, iu)
@@ -50,7 +49,7 @@ def time_series_usd(canonical: DataFrame, instruments: DataFrame, fields: DataFr
     the FX change instead of multiplying.
     """
     f = _usd_frame(canonical, instruments, fields, instrument_units, units_ts)
-    scale = config_dim(units.select(F.col("code").alias("ccy_code"), F.col("scale").alias("ccy_scale")))
+    scale = units.select(F.col("code").alias("ccy_code"), F.col("scale").alias("ccy_scale"))
     f = f.join(scale, expr_prefix(f["internal_ticker"], 3) == scale["ccy_code"], "left")
     v = F.col("value")
     by_scale = expr_round_money(v * F.col("ccy_scale"))
@@ -116,7 +115,7 @@ def time_series_usd_for_instruments(current: DataFrame, canonical: DataFrame, ch
     """C4 refresh scoped to the instruments in ``changed`` (one column of ids),
     e.g. the portfolios after their NAV rows are upserted; the FX series is
     unchanged, so every other instrument's rows are kept."""
-    ids = bounded_broadcast(changed.select(F.col(changed.columns[0]).alias("instrument_id")).distinct())
+    ids = changed.select(F.col(changed.columns[0]).alias("instrument_id")).distinct()
     fresh = time_series_usd(canonical.join(ids, "instrument_id", "left_semi"), instruments, fields,
                             instrument_units, units, units_ts)
     kept = current.join(ids, "instrument_id", "left_anti").select(*fresh.columns)

@@ -16,32 +16,35 @@ from marketframe.operators.windows import drop_first_row, pct_change, reverse_cu
 FIELD_SCALE = {"close": Decimal("1"), "totret": Decimal("0.01")}
 
 
-def reverse_cumprod_splits(vendor: DataFrame) -> DataFrame:
+def reverse_cumprod_splits(vendor: DataFrame, by: list[str] | None = None) -> DataFrame:
     """``split_mult`` = product of the split factors strictly after each row, per ticker."""
-    return reverse_cumprod(vendor, "ticker", "date", "stock_splits", "split_mult")
+    return reverse_cumprod(vendor, by or ["ticker"], "date", "stock_splits", "split_mult")
 
 
-def vendor_to_observations(vendor: DataFrame, fields: list[str], source: str = "YAHOO") -> DataFrame:
+def vendor_to_observations(vendor: DataFrame, fields: list[str], source: str = "YAHOO", by: list[str] | None = None) -> DataFrame:
     """Landed daily rows (ticker, date, close, adj_close, stock_splits) to long
-    (identifier, field, date, source, value, scale) rows.
+    (identifier, field, date, source, value, scale) rows, and ``seq`` if they have one.
 
     ``close`` is the split-adjusted close times later split factors (raw
     close); ``totret`` is the percent change of the adjusted close, and when it
     is asked for, each ticker's first row is dropped (for every field).  All
-    tickers go through one window job instead of a loop per ticker.
+    tickers go through one window job instead of a loop per ticker.  ``by`` names the
+    columns of one pull window (default: the ticker).
     """
+    by = by or ["ticker"]
     v = filter_not_null(vendor, ["close", "adj_close"], how="all")
     if "close" in fields:
-        v = reverse_cumprod_splits(v).withColumn("raw_close", F.col("close") * F.col("split_mult"))
+        v = reverse_cumprod_splits(v, by).withColumn("raw_close", F.col("close") * F.col("split_mult"))
     if "totret" in fields:
-        v = pct_change(v, "ticker", "date", "adj_close", out="totret").withColumn("totret", F.col("totret") * 100)
-        v = drop_first_row(v, "ticker", "date")
-    wide = v.select(F.col("ticker").alias("identifier"), "date",
+        v = pct_change(v, by, "date", "adj_close", out="totret").withColumn("totret", F.col("totret") * 100)
+        v = drop_first_row(v, by, "date")
+    seq = ["seq"] if "seq" in vendor.columns else []
+    wide = v.select(F.col("ticker").alias("identifier"), "date", *seq,
                     *[F.col("raw_close" if f == "close" else f).alias(f) for f in fields])
-    long = unpivot_columns(wide, ["identifier", "date"], fields, "field", "value")
+    long = unpivot_columns(wide, ["identifier", "date", *seq], fields, "field", "value")
     scale = F.create_map(*[F.lit(x) for kv in FIELD_SCALE.items() for x in kv])
     return long.select("identifier", "field", "date", F.lit(source).alias("source"), "value",
-                       scale[F.col("field")].alias("scale"))
+                       scale[F.col("field")].alias("scale"), *seq)
 
 
 def lseg_to_observations(wide: DataFrame, field: str, id_col: str = "date", source: str = "LSEG") -> DataFrame:

@@ -73,5 +73,3 @@ OPEN_END = dt.date(9999, 12, 31)
 DEFAULT_START = dt.date(1900, 1, 1)
 # Holdings below this many units are treated as closed.
 HOLDING_EPS = "0.00001"
-# Asset-class codes of internal ids.
-ASSET_CLASS_CODES = {"equity": "EQU", "etf": "ETF", "currency": "CUR", "portfolio": "PFX"}

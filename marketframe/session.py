@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,8 +27,8 @@ def get_spark(master: str | None = None, app: str = "marketframe",
               shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's settings.
 
-    ``master`` and ``shuffle_partitions`` are for local runs; on a cluster the
-    submitter's settings win because ``getOrCreate`` reuses its session.
+    ``master`` and ``shuffle_partitions`` are for local runs; a session that is
+    already running keeps the settings it was submitted with.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -36,15 +37,11 @@ def get_spark(master: str | None = None, app: str = "marketframe",
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
+    running = SparkSession.getActiveSession()
+    if running is None:
+        for k, v in conf.items():
+            b = b.config(k, v)
     spark = b.getOrCreate()
-    for k, v in conf.items():
-        if not k.startswith("spark.ui") and "arrow" not in k:
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf of an existing session
-                pass
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
@@ -53,12 +50,17 @@ def get_spark(master: str | None = None, app: str = "marketframe",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master, whose
+    tasks share one machine, may do without: then a scratch folder is made, and
+    removed when Python ends.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="mf-ckpt-", dir=os.environ.get("MF_SCRATCH", "/tmp"))
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="mf-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

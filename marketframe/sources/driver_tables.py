@@ -119,7 +119,9 @@ class ModelTables:
                               F.struct(F.lit("YAHOO").alias("source"), F.concat(F.lit("Y"), key).alias("ext_id")),
                               F.struct(F.lit("ETORO").alias("source"), key.alias("ext_id")),
                               F.struct(F.lit("ISIN").alias("source"), isin.alias("ext_id")))).alias("i")
-                          ).select("instrument_id", "i.source", "i.ext_id")
+                          ).select("instrument_id", "i.source", "i.ext_id").unionByName(
+            self.raw("nation").select(padded("CUR", "n_nationkey").alias("instrument_id"), F.lit("YAHOO").alias("source"),
+                                      F.concat(F.lit("X"), F.col("n_nationkey").cast("string")).alias("ext_id")))
 
     # ----------------------------------------------------------------- facts
     @cached_property
@@ -185,7 +187,10 @@ class ModelTables:
         return sup.select(padded("EQU", "s_suppkey").alias("instrument_id"),
                           F.explode(fields).alias("field"), F.lit("YAHOO").alias("source"),
                           F.when(k % 11 == 0, "weekly").otherwise("daily").alias("frequency"),
-                          F.date_add(F.lit(dt.date(2001, 10, 1)), (k % 60).cast("int")).alias("last_update"))
+                          F.date_add(F.lit(dt.date(2001, 10, 1)), (k % 60).cast("int")).alias("last_update")).unionByName(
+            self.raw("nation").select(padded("CUR", "n_nationkey").alias("instrument_id"), F.lit("close").alias("field"),
+                                      F.lit("YAHOO").alias("source"), F.lit("daily").alias("frequency"),
+                                      F.lit(dt.date(2001, 11, 20)).alias("last_update")))
 
     @cached_property
     def upsert_batch(self) -> DataFrame:
@@ -205,7 +210,11 @@ class ModelTables:
         ev = self.raw("events")
         # Landed tickers are Y<2·user>: some scheduled tickers get no rows (failed pulls),
         # and some landed tickers map to no instrument (unknown identifiers).
-        return (ev.groupBy(F.concat(F.lit("Y"), (F.col("user_id") * 2).cast("string")).alias("ticker"),
+        # One user in ten stands for a currency ticker X<nation>.
+        user = F.col("user_id")
+        ticker = (F.when(user % 10 == 3, F.concat(F.lit("X"), (user % 25).cast("string")))
+                  .otherwise(F.concat(F.lit("Y"), (user * 2).cast("string"))))
+        return (ev.groupBy(ticker.alias("ticker"),
                            F.to_date("ts").alias("date"))
                 .agg(F.max("value").alias("close"), F.min("value").alias("adj_close"),
                      F.when(F.max((F.col("event_type") == "signup").cast("int")) == 1, F.lit(2.0))
@@ -229,10 +238,11 @@ class ModelTables:
                .when(et == "click", "Position closed").when(et == "view", "Commission")
                .otherwise("corp action: Split"))
         details = F.concat(F.lit("SYM"), (F.col("user_id") % 20).cast("string"), F.lit("/USD"),
-                           F.when(et == "error", F.lit(" 2:1")).otherwise(F.lit("")))
+                           F.when(et != "error", F.lit("")).when(F.col("event_id") % 6 == 0, F.lit(" 0:1"))
+                           .when(F.col("event_id") % 6 == 1, F.lit(" x")).otherwise(F.lit(" 2:1")))
         return ev.select(F.col("ts").cast("timestamp").alias("date"), typ.alias("type"), details.alias("details"),
                          F.col("value").alias("units"), (F.col("value") * 10).alias("amount"),
-                         F.col("user_id").cast("string").alias("position_id"),
+                         F.when(F.col("user_id") % 10 != 7, F.col("user_id").cast("string")).alias("position_id"),
                          F.col("event_id").alias("row_no"))
 
     @cached_property

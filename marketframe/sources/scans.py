@@ -92,35 +92,28 @@ def scan_vendor_prices(spark: SparkSession, path: str, fields: list[str], sdate,
             .where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(edate))))
 
 
-# Named read queries with ``:param`` markers and ``IDENTIFIER(:name)`` tables.
+# Named read queries: values are ``:param`` markers, tables are names in braces.  Fields are
+# asked for one by one, so that the predicate reaches the scan.
 NAMED_QUERIES = {
     "usd_ts": """
-        SELECT internal_ticker AS ticker, field, date, value
-        FROM IDENTIFIER(:series)
-        WHERE internal_ticker IN (SELECT internal_ticker FROM IDENTIFIER(:tickers))
-          AND array_contains(:fields, field)
-          AND date BETWEEN :sdate AND :edate""",
-    "check_updates": """
-        SELECT i.instrument_id, i.name, u.field, u.last_update
-        FROM IDENTIFIER(:instruments) AS i JOIN IDENTIFIER(:updates) AS u USING (instrument_id)
-        WHERE u.last_update <= :cutoff_date""",
+        WITH asked AS (SELECT DISTINCT internal_ticker FROM {tickers})
+        SELECT s.internal_ticker AS ticker, s.field, s.date, s.value
+        FROM {series} s LEFT SEMI JOIN asked a ON a.internal_ticker = s.internal_ticker
+        WHERE s.field IN (:field_1, :field_2) AND s.date >= :first_day AND s.date <= :last_day""",
+    "stale_rows": """
+        SELECT due.instrument_id, names.name, due.field, due.last_update
+        FROM (SELECT instrument_id, field, last_update FROM {updates} WHERE last_update <= :cutoff) due
+        JOIN {instruments} names ON names.instrument_id = due.instrument_id""",
 }
 
 
 def table_scan_params(spark: SparkSession, name: str, params: dict, identifiers: dict) -> DataFrame:
-    """Run a named query with bound values and bound table identifiers.
+    """Run a named query with bound values and tables.
 
-    ``identifiers`` maps a marker to a DataFrame (registered as a temporary
-    view) or to a table name; values are bound by Spark, never spliced.
+    ``identifiers`` maps a marker to a DataFrame; Spark binds the values, never
+    spliced, and keeps the DataFrames' views for the call only.
     """
-    args = dict(params)
-    for marker, table in identifiers.items():
-        if isinstance(table, DataFrame):
-            view = f"mf_{marker}_{abs(hash((name, marker, id(table)))) % 10**9}"
-            table.createOrReplaceTempView(view)
-            table = view
-        args[marker] = table
-    return spark.sql(NAMED_QUERIES[name], args=args)
+    return spark.sql(NAMED_QUERIES[name], args=dict(params), **identifiers)
 
 
 class UnknownSourceError(ValueError):

@@ -1,83 +1,217 @@
-"""Sinks: W12 publish_snapshot, W13 write_csv, materialize, partition-scoped upsert.
-
-Snapshots live under a root folder as ``<root>/<table>/v=<n>/`` plus a one-row
-pointer ``<root>/<table>/_current`` (a tiny text file) naming the published
-version.  Writing a version never touches the one readers use; switching the
-pointer is a single small file write, so readers see the old or the new
-snapshot, never a half-written one.
+"""Sinks: W12 published tables, partition-scoped upserts, W13 write_csv, materialize.
+
+Tables live under a root folder.  A commit is one small immutable file
+``<root>/_commits/<n>.json`` that lists, for every table, the folder of each of
+its partitions.  Data folders are never written twice: a write makes new folders
+for the partitions it touches, and the next commit names these beside the
+untouched ones.  Readers take the highest complete commit, so they see all tables
+of a commit or none, also while a write runs or after a crash.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketframe.session import checkpoint_dir
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _read_text(spark, path: str) -> str | None:
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
+    jvm, stream = spark.sparkContext._jvm, fs.open(p)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        return reader.readLine()
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream)).readLine() or ""
     finally:
         stream.close()
 
 
-def _write_text(spark, path: str, text: str) -> None:
+def _create(spark: SparkSession, path: str, text: str) -> None:
+    """Write a new file; fails if there is one of that name, so one of two writers wins."""
     fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + f".tmp-{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
+    out = fs.create(p, False)
     try:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> int | None:
-    v = _read_text(spark, f"{root}/{table}/_current")
-    return int(v) if v else None
+@dataclass
+class Staged:
+    """Written folders of a table that the next commit is to name; ``whole``: they replace all others."""
 
+    table: str
+    parts: dict[str, str]
+    whole: bool
+    schema: str
+    partition_by: list[str]
 
-def publish_snapshot(df: DataFrame, root: str, table: str, partition_by: list | None = None,
-                     version: int | None = None) -> int:
-    """Write ``df`` as the next version of ``table`` and switch the pointer to it.
 
-    Passing ``version`` (e.g. derived from a stream's batch id) makes a replay
-    overwrite the same version instead of adding one: idempotent.
-    """
+def read_manifest(spark: SparkSession, root: str) -> dict:
+    """The highest complete commit: ``commit``, ``tables`` and ``applied``."""
+    for name in reversed(_names(spark, f"{root}/_commits")):
+        try:
+            return json.loads(_read_text(spark, f"{root}/_commits/{name}"))
+        except ValueError:                       # a commit that was cut short never happened
+            continue
+    return {"commit": 0, "tables": {}, "applied": {}}
+
+
+def commit(spark: SparkSession, root: str, staged: list[Staged], applied: dict | None = None) -> dict[str, int]:
+    """Make staged writes visible, all at once.  Returns the new version of each table."""
+    manifest, versions = read_manifest(spark, root), {}
+    for s in staged:
+        old = manifest["tables"].get(s.table, {"version": 0, "parts": {}})
+        versions[s.table] = old["version"] + 1
+        manifest["tables"][s.table] = {"version": versions[s.table], "schema": s.schema, "partition_by": s.partition_by,
+                                       "parts": s.parts if s.whole else old["parts"] | s.parts}
+    manifest["applied"] |= applied or {}
+    taken = _names(spark, f"{root}/_commits")
+    manifest["commit"] = int(taken[-1].removesuffix(".json")) + 1 if taken else 1
+    _create(spark, f"{root}/_commits/{manifest['commit']:012d}.json", json.dumps(manifest))
+    return versions
+
+
+def _write_parts(df: DataFrame, folder: str, partition_by: list[str]) -> dict[str, str]:
+    """Write ``df`` under a new folder, split by SQL expressions; the folder of each partition, by its values.
+    The columns themselves stay in the files."""
     spark = df.sparkSession
-    cur = current_version(spark, root, table)
-    v = version if version is not None else (cur or 0) + 1
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{root}/{table}/v={v}")
-    _write_text(spark, f"{root}/{table}/_current", str(v))
-    return v
+    if not partition_by:
+        df.write.parquet(folder)
+        return {"": folder}
+    marks = [f"_p{i}" for i in range(len(partition_by))]
+    marked = df.select("*", *[F.expr(e).cast("string").alias(m) for e, m in zip(partition_by, marks)])
+    marked.repartition(*marks).write.partitionBy(*marks).parquet(folder)
+    found = [""]
+    for _ in marks:
+        found = [f"{f}/{n}" for f in found for n in _names(spark, folder + f) if "=" in n]
+    return {f: folder + f for f in found}
+
+
+def _folder(root: str, table: str) -> str:
+    return f"{root}/{table}/data-{uuid.uuid4().hex}"
+
+
+def stage_snapshot(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> Staged:
+    """Write all of a table's next version."""
+    by = partition_by or []
+    return Staged(table, _write_parts(df, _folder(root, table), by), True, df.schema.json(), by)
+
+
+def publish_tables(tables: dict[str, DataFrame], root: str, partition_by: dict[str, list[str]] | None = None) -> dict[str, int]:
+    """W12 for several tables at once: readers see all the new versions or none."""
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    return commit(spark, root, [stage_snapshot(df, root, name, (partition_by or {}).get(name)) for name, df in tables.items()])
+
+
+def publish_snapshot(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> int:
+    """Publish ``df`` as the next version of ``table``."""
+    return publish_tables({table: df}, root, {table: partition_by or []})[table]
+
+
+def current_version(spark: SparkSession, root: str, table: str) -> int | None:
+    found = read_manifest(spark, root)["tables"].get(table)
+    return found and found["version"]
+
+
+def _read_parts(spark: SparkSession, entry: dict, keys: set[str] | None = None) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    folders = [f for k, f in sorted(entry["parts"].items()) if keys is None or k in keys]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
-def read_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Read the published version of ``table`` (pointer first)."""
-    v = current_version(spark, root, table)
-    if v is None:
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The published version of ``table``."""
+    entry = read_manifest(spark, root)["tables"].get(table)
+    if entry is None:
         raise FileNotFoundError(f"no published snapshot of {table} under {root}")
-    return spark.read.parquet(f"{root}/{table}/v={v}")
+    return _read_parts(spark, entry)
+
+
+read_snapshot = read_table
+
+
+def stage_upsert(batch: DataFrame, root: str, table: str, key: list[str], partition_by: list[str],
+                 seq_col: str | None = None) -> Staged:
+    """W1 + write at scale: merge ``batch`` into a published table, touching only the partitions it has rows in.
+
+    The batch is written once, split as the table is; its folders name the partitions
+    to read (a null partition value is a folder like any other).  Each is merged (the
+    last batch row of a key wins) and written anew; the others' folders stay as they are.
+    A table that isn't there yet starts with the batch.
+    """
+    from marketframe.operators.writes import latest_per_key, upsert_observations
+    spark = batch.sparkSession
+    columns = [c for c in batch.columns if c != seq_col]
+    if seq_col:
+        batch = latest_per_key(batch, key, seq_col, [c for c in columns if c not in key]).select(*columns)
+    entry = read_manifest(spark, root)["tables"].get(table)
+    landed = _write_parts(batch, _folder(root, table), entry["partition_by"] if entry else partition_by)
+    if entry is None:
+        return Staged(table, landed, True, batch.schema.json(), partition_by)
+    touched = {k for k in landed if k in entry["parts"]}
+    added = {k: f for k, f in landed.items() if k not in touched}
+    if touched:
+        current = _read_parts(spark, entry, touched)
+        new = _read_parts(spark, entry | {"parts": landed}, touched).select(*current.columns)
+        added |= _write_parts(upsert_observations(current, new, None, key=key), _folder(root, table), entry["partition_by"])
+    return Staged(table, added, False, entry["schema"], entry["partition_by"])
+
+
+def upsert_table(batch: DataFrame, root: str, table: str, key: list[str], partition_by: list[str], seq_col: str | None = None) -> int:
+    """Stage an upsert and commit it; the table's new version."""
+    return commit(batch.sparkSession, root, [stage_upsert(batch, root, table, key, partition_by, seq_col)])[table]
+
+
+def stage_append(rows: DataFrame, root: str, table: str) -> Staged:
+    """Add rows to an unpartitioned log table in a folder of their own."""
+    folder = _folder(root, table)
+    rows.write.parquet(folder)
+    return Staged(table, {folder.rsplit("/", 1)[1]: folder}, False, rows.schema.json(), [])
+
+
+def expire(spark: SparkSession, root: str, keep: int = 10) -> int:
+    """Delete commits but the last ``keep``, and data folders that none of these names; how many folders went."""
+    names = _names(spark, f"{root}/_commits")
+    kept = []
+    for name in names[-keep:]:
+        try:
+            kept.append(json.loads(_read_text(spark, f"{root}/_commits/{name}")))
+        except ValueError:
+            continue
+    used = {f[len(f"{root}/{t}/"):].split("/")[0] for m in kept for t, e in m["tables"].items() for f in e["parts"].values()}
+    gone = 0
+    for table in {t for m in kept for t in m["tables"]}:
+        for name in _names(spark, f"{root}/{table}"):
+            if name not in used:
+                fs, p = _fs(spark, f"{root}/{table}/{name}")
+                gone += fs.delete(p, True)
+    for name in names[:-keep]:
+        fs, p = _fs(spark, f"{root}/_commits/{name}")
+        fs.delete(p, False)
+    return gone
 
 
 def materialize(df: DataFrame, name: str = "tmp", partition_by: list | None = None) -> DataFrame:
@@ -88,86 +222,13 @@ def materialize(df: DataFrame, name: str = "tmp", partition_by: list | None = No
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "materialized", f"{name}-{uuid.uuid4().hex}")
-    w = df.write.mode("overwrite")
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Flat CSV export with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)
-
-
-def upsert_partitioned(spark: SparkSession, path: str, batch: DataFrame, key: list, partition_cols: list,
-                       seq_col: str | None = "seq") -> int:
-    """W1 + write at scale: merge ``batch`` into a partitioned Parquet table,
-    rewriting only the partitions the batch touches.
-
-    The touched partitions are read with partition pruning, merged with the
-    batch (last batch row per key wins), staged in the checkpoint folder (a
-    job cannot overwrite what it reads) and written back with dynamic
-    partition overwrite; every other partition's files stay as they are.
-    The list of touched partitions is small (one batch covers a few days),
-    so it is collected to build the pruning predicate.  Returns how many
-    partitions were rewritten.
-    """
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-
-    from marketframe.operators.writes import upsert_observations
-
-    parts = [tuple(r) for r in batch.select(*partition_cols).distinct().collect()]
-    if not parts:
-        return 0
-    current = spark.read.parquet(path)
-    match = reduce(lambda a, b: a | b, [reduce(lambda x, y: x & y, [F.col(c) == F.lit(v) for c, v in zip(partition_cols, p)])
-                                        for p in parts])
-    touched = current.where(match)
-    nxt = upsert_observations(touched.select(*current.columns), batch.select(*current.columns, *([seq_col] if seq_col else [])),
-                              seq_col, key=key)
-    staged = materialize(nxt, "upsert_partitions")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))
-    return len(parts)
-
-
-def publish_tables(tables: dict, root: str, partition_by: dict | None = None) -> dict:
-    """W12 for several tables at once: write every table's next version, then
-    switch one manifest (``<root>/_manifest``: ``name=version`` lines) in a
-    single small write, so readers see all new versions or none.  Each
-    table's own pointer is updated afterwards for single-table readers."""
-    if not tables:
-        return {}
-    spark = next(iter(tables.values())).sparkSession
-    manifest = read_manifest(spark, root)
-    versions = {}
-    for name, df in tables.items():
-        v = max(manifest.get(name, 0), current_version(spark, root, name) or 0) + 1
-        w = df.write.mode("overwrite")
-        if partition_by and partition_by.get(name):
-            w = w.partitionBy(*partition_by[name])
-        w.parquet(f"{root}/{name}/v={v}")
-        versions[name] = v
-    manifest.update(versions)
-    _write_text(spark, f"{root}/_manifest", ";".join(f"{k}={v}" for k, v in sorted(manifest.items())))
-    for name, v in versions.items():
-        _write_text(spark, f"{root}/{name}/_current", str(v))
-    return versions
-
-
-def read_manifest(spark: SparkSession, root: str) -> dict:
-    text = _read_text(spark, f"{root}/_manifest")
-    if not text:
-        return {}
-    return {k: int(v) for k, v in (item.split("=") for item in text.split(";") if item)}
-
-
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Read ``table`` at the version the manifest names (its own pointer otherwise)."""
-    v = read_manifest(spark, root).get(table) or current_version(spark, root, table)
-    if v is None:
-        raise FileNotFoundError(f"no published snapshot of {table} under {root}")
-    return spark.read.parquet(f"{root}/{table}/v={v}")

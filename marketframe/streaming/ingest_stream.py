@@ -1,52 +1,72 @@
-"""T1 stream_ingest: landed vendor files -> observations snapshot, exactly once per file.
-
-Structured Streaming tracks which landed files were processed in its
-checkpoint; each micro-batch converts its rows (C10), upserts them into the
-current observations snapshot (W1) and publishes the result as snapshot
-version ``batch_id + 1`` (W12).  A replayed batch after a crash rewrites the
-same version from the same input, so the sink is idempotent.  Each landed
-file is one complete pull window of its tickers, so the per-ticker windows of
-C10 see the whole window inside one batch.
+"""T1 stream_ingest: landed vendor files -> published observations, exactly once per file.
+
+Structured Streaming tracks which landed files were processed in its checkpoint.
+Each micro-batch is written in one commit (W12) that also records the batch's
+number, so a batch replayed after a crash finds itself applied and changes
+nothing.  Only the partitions that a batch touches are written.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketframe.operators.writes import upsert_observations
+from marketframe import schemas as S
+from marketframe.operators.writes import append_failures
+from marketframe.plans.ingest import BY_FIELD_YEAR, ingest_rows
 from marketframe.plans.vendor import vendor_to_observations
 from marketframe.sources.scans import VENDOR_PRICES
-from marketframe.sources.sinks import current_version, publish_snapshot, read_snapshot
+from marketframe.sources.sinks import commit, materialize, read_manifest, read_table, stage_append, stage_upsert
 
-KEY = ["identifier", "field", "date", "source"]
+#: The landing may be split by pull (``pull=.../`` folders); rows of one pull and ticker are one window.
+LANDED = T.StructType([*VENDOR_PRICES.fields, T.StructField("pull", T.StringType())])
+LANDED_KEY = ["pull", "ticker", "date"]
 
 
-def stream_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str,
-                  fields: list[str] | None = None, files_per_batch: int = 1, table: str = "observations"):
-    """Start the stream (``availableNow``: drain what has landed, then stop)."""
+def stream_ingest(spark: SparkSession, landing: str, root: str, checkpoint: str, identifiers: DataFrame,
+                  fields: list[str] | None = None, files_per_batch: int = 100, table: str = "observations", name: str = "vendor"):
+    """Start the stream (``availableNow``: drain what has landed, then stop).
+
+    Landed rows are kept in ``<table>_landed``, so a pull window whose rows come in
+    several files is converted as one whole (C10): its first row is dropped once.
+    Vendor ids are mapped through ``identifiers``; rows with an unknown id or without a
+    value go to ``<table>_failures`` and never replace a good value (C18).
+    """
     fields = fields or ["close", "totret"]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = vendor_to_observations(batch, fields).drop("scale").withColumn("seq", F.lit(batch_id))
-        # The version this batch writes is fixed by its id; a replay starts from the version before it.
-        prev = batch_id if batch_id > 0 and current_version(spark, root, table) is not None else None
-        if prev:
-            current = spark.read.parquet(f"{root}/{table}/v={prev}")
-        else:
-            current = rows.limit(0).drop("seq")
-        nxt = upsert_observations(current, rows, "seq", key=KEY)
-        publish_snapshot(nxt, root, table, version=batch_id + 1)
-
-    return (spark.readStream.schema(VENDOR_PRICES).option("maxFilesPerTrigger", files_per_batch)
+        if read_manifest(spark, root)["applied"].get(name, -1) >= batch_id:
+            return
+        values = [c for c in LANDED.fieldNames() if c not in LANDED_KEY]
+        rows = batch.withColumn("pull", F.coalesce("pull", F.lit("")))
+        rows = rows.groupBy(*LANDED_KEY).agg(F.max(F.struct(*values)).alias("v")).select(*LANDED_KEY, "v.*")     # of repeated rows the largest
+        rows = materialize(rows, "landed")
+        landed = stage_upsert(rows, root, f"{table}_landed", LANDED_KEY, ["pull"])
+        windows = rows.select("pull", "ticker").distinct()
+        whole = rows
+        if f"{table}_landed" in read_manifest(spark, root)["tables"]:        # earlier rows of the same windows
+            old = read_table(spark, root, f"{table}_landed").join(windows, ["pull", "ticker"], "left_semi")
+            whole = whole.unionByName(old.join(rows, LANDED_KEY, "left_anti"))
+        long = vendor_to_observations(whole, fields, by=["pull", "ticker"])
+        nothing = spark.createDataFrame([], "ticker string, field string")
+        good, failed = ingest_rows(identifiers, long, nothing)
+        staged = [landed, stage_upsert(good, root, table, S.OBS_KEY, BY_FIELD_YEAR, "seq")]
+        stamp = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=batch_id)     # the same in a replay
+        staged.append(stage_append(append_failures(spark.createDataFrame([], S.INGEST_FAILURES), failed, stamp), root, f"{table}_failures"))
+        commit(spark, root, staged, {name: batch_id})
+
+    return (spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files_per_batch)
             .parquet(landing).writeStream.foreachBatch(apply)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def run_to_end(spark: SparkSession, landing: str, root: str, checkpoint: str, **kw) -> DataFrame:
+def run_to_end(spark: SparkSession, landing: str, root: str, checkpoint: str, identifiers: DataFrame, **kw) -> DataFrame:
     """Run ``stream_ingest`` until the landing is drained; return the published table."""
-    q = stream_ingest(spark, landing, root, checkpoint, **kw)
+    q = stream_ingest(spark, landing, root, checkpoint, identifiers, **kw)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return read_snapshot(spark, root, kw.get("table", "observations"))
+    return read_table(spark, root, kw.get("table", "observations"))

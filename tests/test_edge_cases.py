@@ -108,21 +108,96 @@ def test_statement_fee_and_signs(spark):
     assert rows["deposit"].instrument_id is None and rows["deposit"].cashflow_usd == 500.0
 
 
-def test_dense_index_matches_row_number(spark):
-    from marketframe.plans.schedule import dense_index
-    df = spark.range(0, 997).select((F.col("id") % 3).alias("g"), F.format_string("t%05d", (F.col("id") * 7919) % 997).alias("t"))
-    got = dense_index(df, ["g"], ["t"], out="i", n_ranges=7).collect()
-    by_g = {}
-    for r in got:
-        by_g.setdefault(r.g, []).append((r.t, r.i))
-    for rows in by_g.values():
-        rows.sort()
-        assert [i for _, i in rows] == list(range(len(rows)))
+def test_dense_index_equals_row_number_at_volume(spark):
+    """Many rows with payload, so that range bounds are sampled: the positions, not just their count."""
+    from pyspark.sql import Window
+
+    from marketframe.operators.windows import assign_batches, dense_index
+    n = 240_000
+    df = spark.range(n, numPartitions=6).select((F.col("id") % 3).alias("g"), F.format_string("t%07d", (F.col("id") * 7919) % n).alias("t"),
+                                                F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("payload"))
+    got = dense_index(df, ["g"], ["t"], out="i", n_ranges=8)
+    want = F.row_number().over(Window.partitionBy("g").orderBy("t")) - 1
+    assert got.withColumn("want", want).where("i != want").count() == 0 and got.count() == n and got.columns == ["g", "t", "payload", "i"]
+    batches = assign_batches(df, ["g"], ["t"], 5).groupBy("g", "batch").count()
+    assert batches.where("count != 5").count() == 0 and batches.count() == n // 5
+
+
+def test_dense_index_of_null_groups(spark):
+    from marketframe.operators.windows import dense_index
+    df = spark.createDataFrame([(None, "a"), (None, "b"), ("g", "a")], "g string, t string")
+    assert sorted((str(r.g), r.t, r.i) for r in dense_index(df, "g", "t", "i").collect()) == [("None", "a", 0), ("None", "b", 1), ("g", "a", 0)]
+
+
+def test_to_update_at_thousands_of_tickers(spark):
+    from marketframe.plans.schedule import to_update
+    n = 5000
+    ids = spark.range(n).select(F.format_string("E%05d", "id").alias("instrument_id"), F.lit("YAHOO").alias("source"), F.format_string("Y%05d", "id").alias("ext_id"))
+    updates = ids.select("instrument_id", F.lit("close").alias("field"), "source", F.lit("daily").alias("frequency"), F.lit(dt.date(2024, 1, 1)).alias("last_update"))
+    inst = ids.select("instrument_id", F.lit("equity").alias("asset_class"))
+    plan = to_update(updates, ids, inst).collect()
+    assert len(plan) == n // 5 and all(len(r.tickers) == 5 for r in plan) and len({t for r in plan for t in r.tickers}) == n
+
+
+def test_unknown_source_is_an_error(spark, model):
+    import pytest
+
+    from marketframe.plans.schedule import get_iid_mapping, to_update
+    from marketframe.sources.scans import UnknownSourceError
+    with pytest.raises(UnknownSourceError):
+        to_update(model.updates, model.identifiers, model.instruments, source="YAHO", sources=model.sources)
+    with pytest.raises(UnknownSourceError):
+        get_iid_mapping(model.identifiers.select("ext_id"), model.identifiers, "YAHO", model.sources)
 
 
 def test_normalise_dates(spark):
-    from marketframe.functions.ids import normalise_dates
-    df = spark.createDataFrame([("2024-03-15",), ("15/03/2024",), ("March 15th 2024",), ("1710460800",), ("junk",)], "x string")
-    got = [r.t for r in df.select(normalise_dates(F.col("x"), dayfirst=True).alias("t")).collect()]
-    assert got[:4] == [dt.datetime(2024, 3, 15)] * 3 + [dt.datetime(2024, 3, 15)]
-    assert got[4] is None
+    from marketframe.functions.ids import normalise_dates, with_timestamps
+    day = dt.datetime(2024, 3, 15)
+    text = ["2024-03-15", "15/03/2024", "March 15th 2024", "2024-03-15T00:00:00Z", "2024-03-15T01:00:00.5+01:00", "20240315", "junk", None]
+    df = spark.createDataFrame([(x,) for x in text], "x string")
+    got = [(r.t, r.t_error) for r in with_timestamps(df, "x", "t", dayfirst=True).collect()]
+    assert [t for t, _ in got] == [day, day, day, day, day + dt.timedelta(seconds=0.5), day, None, None]
+    assert [e for _, e in got] == [None] * 6 + ["unreadable date: junk", None]
+    numbers = spark.createDataFrame([(86400, 1710460800.0), (-1, 0.25), (0, float("nan"))], "n long, d double")
+    got = numbers.select(normalise_dates(F.col("n"), numeric=True).alias("n"), normalise_dates(F.col("d"), numeric=True).alias("d")).collect()
+    epoch = dt.datetime(1970, 1, 1)
+    assert [r.n for r in got] == [dt.datetime(1970, 1, 2), epoch - dt.timedelta(seconds=1), epoch]
+    assert [r.d for r in got] == [day, epoch + dt.timedelta(seconds=0.25), None]
+
+
+def test_split_with_bad_ratios_and_no_position(spark):
+    from marketframe.plans.statement import units_before_split
+    rows = [("P", 1, "open", 10.0, None), ("P", 2, "split", None, "2:1"), ("P", 3, "split", None, "0:1"), ("P", 4, "split", None, "bad"), ("P", 5, "close", -5.0, None),
+            ("P", 6, "split", None, "1:3"), (None, 7, "open", 3.0, None), (None, 8, "split", None, "2:1"), ("Q", 9, "open", 4.0, None)]
+    df = spark.createDataFrame(rows, "position_id string, ts int, type string, units double, notes string").withColumn("row_no", F.col("ts"))
+    got = {r.ts: (r.units, r.split_error) for r in units_before_split(df).collect()}
+    assert got[2] == (10.0, None) and got[3] == (None, "unusable split ratio: 0:1") and got[4][0] is None
+    assert abs(got[6][0] + 10.0) < 1e-9 and got[8] == (0.0, None) and got[7][0] == 3.0 and got[9][0] == 4.0
+
+
+def test_missing_tickers_error_has_them_all(spark):
+    import pytest
+
+    from marketframe.plans.hist import MissingTickersError, get_hist_checked
+    ts = spark.createDataFrame([("I", "T0", "close", dt.date(2024, 1, 1), 1.0)], "instrument_id string, internal_ticker string, field string, date date, value double")
+    with pytest.raises(MissingTickersError) as e:
+        get_hist_checked(ts, [f"T{i}" for i in range(80)], ["close"], None, None)
+    assert e.value.rows.count() == 79 and "79 rows" in str(e.value)
+    wide = get_hist_checked(ts, ["T0"], ["close", "totret"], None, None, wide=True)
+    assert wide.columns == ["date", "T0_close", "T0_totret"] and wide.first()[1:] == (1.0, None)
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    import pytest
+
+    from marketframe.session import checkpoint_dir
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Cluster)

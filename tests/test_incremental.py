@@ -48,14 +48,61 @@ def test_daily_run_second_run_is_incremental_and_stable(spark, model):
 
     from marketframe.plans.ingest import daily_run
     from marketframe.session import checkpoint_dir
-    from marketframe.sources.sinks import current_version
+    from marketframe.sources.sinks import current_version, read_manifest
     root = os.path.join(checkpoint_dir(spark), "tests", f"daily-{uuid.uuid4().hex}")
     vendor = model.vendor_prices
     as_of = vendor.select(F.max("date")).first()[0]
-    first = daily_run(model, vendor, as_of, root)["time_series_usd"]
     cols = ["instrument_id", "field", "date", "value"]
-    a = _rows(first, cols)
-    v = current_version(spark, root, "time_series_usd")
+    a = _rows(daily_run(model, vendor, as_of, root)["time_series_usd"], cols)
+    v, parts = current_version(spark, root, "time_series_usd"), read_manifest(spark, root)["tables"]["observations"]["parts"]
     second = daily_run(model, vendor, as_of, root)["time_series_usd"]     # same landing again: idempotent
     assert current_version(spark, root, "time_series_usd") > v
     assert _rows(second, cols) == a
+    # years without pulled or portfolio rows keep their folders
+    now = read_manifest(spark, root)["tables"]["observations"]["parts"]
+    touched = {k for k in parts if now[k] != parts[k]}
+    assert set(now) == set(parts) and touched != set(parts)
+
+
+class Small:
+    """One currency and two equities; one equity is scheduled for closes alone."""
+
+    def __init__(self, spark, model):
+        from marketframe import schemas as S
+        day = dt.date(2023, 12, 1)
+        frame = spark.createDataFrame
+        self.sources, self.fields, self.activity = model.sources, model.fields, model.activity.limit(0)
+        self.instruments = frame([("CUR1", "Euro", "currency", "EURUSD"), ("EQU1", "One", "equity", "ONE"), ("EQU2", "Two", "equity", "TWO"),
+                                  (S.USD_INSTRUMENT_ID, "Dollar", "currency", "USDUSD")], S.INSTRUMENTS)
+        self.identifiers = frame([("CUR1", "YAHOO", "EUR=X"), ("EQU1", "YAHOO", "ONE"), ("EQU2", "YAHOO", "TWO")], S.IDENTIFIERS)
+        self.updates = frame([("CUR1", "close", "YAHOO", "daily", day), ("EQU1", "close", "YAHOO", "daily", day), ("EQU2", "close", "YAHOO", "daily", day),
+                              ("EQU2", "totret", "YAHOO", "daily", day)], S.UPDATES)
+        scale = "cast(0.00001 as decimal(10,7)) as scale"
+        self.units = frame([("EUR", "CUR1"), ("USD", S.USD_INSTRUMENT_ID)], "code string, instrument_id string").selectExpr("code", scale, "instrument_id")
+        self.instrument_units = self.instruments.select("instrument_id", F.lit("USD").alias("unit"), F.lit(S.DEFAULT_START).alias("start_date"), F.lit(S.OPEN_END).alias("end_date"))
+        self.observations = frame([], S.OBSERVATIONS)
+
+
+def test_daily_run_currencies_windows_and_scheduled_fields(spark, model):
+    import os
+    import uuid
+
+    from marketframe import schemas as S
+    from marketframe.plans.ingest import daily_run
+    from marketframe.session import checkpoint_dir
+    root = os.path.join(checkpoint_dir(spark), "tests", f"daily-{uuid.uuid4().hex}")
+    as_of = dt.date(2024, 2, 1)
+    start = as_of - dt.timedelta(days=30)
+    days = [start - dt.timedelta(days=1), start, start + dt.timedelta(days=1), as_of]
+    rows = [(t, d, v + i, v + i, 0.0, 1) for t, v in (("EUR=X", 0.5), ("ONE", 10.0), ("TWO", 20.0)) for i, d in enumerate(days)]
+    rows += [("ONE", start, 77.0, 77.0, 0.0, 2)]         # the later row of a key wins, though smaller ones come first
+    vendor = spark.createDataFrame(rows, "ticker string, date date, close double, adj_close double, stock_splits double, seq int")
+    vendor = vendor.where("not (ticker = 'ONE' and seq = 1 and date = date'2024-01-02')").unionByName(
+        spark.createDataFrame([("ONE", start, 99.0, 99.0, 0.0, 1)], vendor.schema))
+    out = daily_run(Small(spark, model), vendor, as_of, root)
+    got = {(r.instrument_id, r.field, r.date): float(r.value) for r in out["observations"].collect()}
+    assert got[("CUR1", "close", days[1])] == round(1e5 / 1.5, 5) and got[(S.USD_INSTRUMENT_ID, "close", days[1])] == 100000.0
+    assert got[("EQU1", "close", days[1])] == 77.0 and ("EQU1", "totret", days[2]) not in got      # closes alone: first close kept
+    assert ("EQU2", "close", days[0]) not in got and ("EQU2", "close", days[1]) in got and ("EQU2", "totret", days[1]) in got
+    assert not any(d in (days[0], as_of) for _, _, d in got)                                         # window: start kept, end exclusive
+    assert out["ingest_failures"].count() == 0

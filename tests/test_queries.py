@@ -1,16 +1,15 @@
 """Registered queries against their DuckDB oracles on sf0.001, plus properties on the model."""
 import math
 import os
+import uuid
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from marketframe.plans.catalog import ORACLE, QUERIES
 
-CORE = ["canonical_obs", "units_ts", "time_series_usd", "get_hist", "portfolio_holdings", "portfolio_nav_returns",
-        "upsert_observations", "convert_statement", "to_update", "stale_report", "vendor_to_observations",
-        "join_asof_forward", "check_no_overlap", "create_instrument_id", "fx_midpoint"]
+SF_SMALL = "/root/testdata/sf0.001"
 
 
 def _norm(v):
@@ -34,26 +33,38 @@ def duck():
     return con
 
 
-def _selected():
-    """Core queries by default; every registered query with MF_FULL_ORACLE=1."""
-    if os.environ.get("MF_FULL_ORACLE"):
-        import __spark_entry__ as E
-        return sorted(E.oracle_sql())
-    return CORE
-
-
-@pytest.mark.parametrize("name", _selected())
-def test_query_matches_oracle(spark, duck, name):
-    import __spark_entry__ as E
-    df = E.queries()[name](spark, SF_SMALL)
+@pytest.fixture(scope="module")
+def staged(spark):
+    """The model's base tables and stored views written once, as a deployment keeps them."""
+    from marketframe.plans import catalog
+    from marketframe.plans.model import stage_base_tables
+    from marketframe.session import checkpoint_dir
+    root = os.path.join(checkpoint_dir(spark), "tests", f"base-{uuid.uuid4().hex}")
+    stage_base_tables(spark, SF_SMALL, root, with_views=True)
+    catalog.STAGED[SF_SMALL] = root
+    yield
+    del catalog.STAGED[SF_SMALL]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_matches_oracle(spark, duck, staged, name):
+    df = QUERIES[name](spark, SF_SMALL)
     rows, cols = [tuple(r) for r in df.collect()], df.columns
-    res = duck.execute(E.oracle_sql()[name])
+    res = duck.execute(ORACLE[name])
     ocols = [x[0] for x in res.description]
     orows = res.fetchall()
-    assert sorted(cols) == sorted(ocols)
+    assert rows and sorted(cols) == sorted(ocols)
     assert _canon(rows, cols) == _canon(orows, ocols)
 
 
+@pytest.mark.parametrize("name", ["time_series_usd", "portfolio_holdings"])
+def test_query_from_the_given_tables_matches_oracle(spark, duck, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    rows, cols = [tuple(r) for r in df.collect()], df.columns
+    res = duck.execute(ORACLE[name])
+    assert _canon(rows, cols) == _canon(res.fetchall(), [x[0] for x in res.description])
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
@@ -61,9 +72,13 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_listed(spark):
-    import __spark_entry__ as E
-    assert set(E.queries()) - set(E.oracle_sql()) == {"daily_run"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_holdings_make_no_rows_of_closed_positions(model):
+    plan = model.holdings
+    assert plan.where("units <= 0.00001").count() == 0
 
 
 def test_one_row_per_canonical_key(model):

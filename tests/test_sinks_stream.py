@@ -12,35 +12,105 @@ def _root(spark, name):
     return os.path.join(checkpoint_dir(spark), "tests", f"{name}-{uuid.uuid4().hex}")
 
 
-def test_publish_snapshot_versions_and_pointer(spark):
+def _folders(spark, root, table):
+    from marketframe.sources.sinks import read_manifest
+    return read_manifest(spark, root)["tables"][table]["parts"]
+
+
+def test_publish_snapshot_versions(spark):
     from marketframe.sources.sinks import current_version, publish_snapshot, read_snapshot
     root = _root(spark, "snap")
     v1 = publish_snapshot(spark.range(3), root, "t")
     v2 = publish_snapshot(spark.range(5), root, "t")
     assert (v1, v2) == (1, 2) and current_version(spark, root, "t") == 2
     assert read_snapshot(spark, root, "t").count() == 5
-    assert publish_snapshot(spark.range(7), root, "t", version=2) == 2      # replay rewrites the same version
-    assert read_snapshot(spark, root, "t").count() == 7
 
 
-def test_stream_ingest_is_idempotent_per_batch(spark):
+def test_readers_see_the_last_publish_however_it_was_made(spark):
+    from marketframe.sources.sinks import publish_snapshot, publish_tables, read_snapshot, read_table
+    root = _root(spark, "mixed")
+    publish_tables({"a": spark.range(2), "b": spark.range(3)}, root)
+    publish_snapshot(spark.range(9), root, "a")
+    assert read_table(spark, root, "a").count() == read_snapshot(spark, root, "a").count() == 9
+    assert read_table(spark, root, "b").count() == 3
+
+
+def test_a_commit_cut_short_never_happened(spark):
+    from marketframe.sources.sinks import _create, publish_snapshot, read_manifest, read_table
+    root = _root(spark, "crash")
+    publish_snapshot(spark.range(2), root, "t")
+    _create(spark, f"{root}/_commits/{2:012d}.json", '{"commit": 2, "tab')
+    assert read_table(spark, root, "t").count() == 2
+    publish_snapshot(spark.range(4), root, "t")
+    assert read_table(spark, root, "t").count() == 4 and read_manifest(spark, root)["commit"] == 3
+
+
+def test_two_writers_of_one_commit_cannot_both_win(spark):
+    import pytest
+    from marketframe.sources.sinks import _create
+    root = _root(spark, "race")
+    _create(spark, f"{root}/_commits/x.json", "1")
+    with pytest.raises(Exception):
+        _create(spark, f"{root}/_commits/x.json", "2")
+
+
+def test_expire_keeps_what_the_last_commits_name(spark):
+    from marketframe.sources.sinks import expire, publish_snapshot, read_table
+    root = _root(spark, "expire")
+    for n in range(1, 5):
+        publish_snapshot(spark.range(n), root, "t")
+    assert expire(spark, root, keep=2) == 2 and read_table(spark, root, "t").count() == 4
+
+
+LANDED = "ticker string, date date, close double, adj_close double, stock_splits double"
+
+
+def _ids(spark):
+    from marketframe import schemas as S
+    return spark.createDataFrame([("EQUA", "YAHOO", "A"), ("EQUB", "YAHOO", "B")], S.IDENTIFIERS)
+
+
+def test_stream_ingest_across_files_and_replays(spark):
+    from marketframe.sources.sinks import publish_snapshot, read_manifest, read_table
     from marketframe.streaming.ingest_stream import run_to_end, stream_ingest
-    from marketframe.sources.sinks import current_version
-    rows = [("A", dt.date(2024, 1, d), 10.0 + d, 10.0 + d, 0.0) for d in range(1, 6)] + \
-           [("B", dt.date(2024, 1, d), 20.0 + d, 20.0 + d, 2.0 if d == 3 else 0.0) for d in range(1, 6)]
-    landing = _root(spark, "landing")
-    df = spark.createDataFrame(rows, "ticker string, date date, close double, adj_close double, stock_splits double")
-    df.repartition(2, "ticker").write.parquet(landing)
-    root, ckpt = _root(spark, "root"), _root(spark, "ckpt")
-    out = run_to_end(spark, landing, root, ckpt)
-    assert out.count() == 2 * 4 * 2     # two tickers, first row dropped, two fields
-    v = current_version(spark, root, "observations")
-    # A restart with the same checkpoint finds nothing new and publishes nothing.
-    q = stream_ingest(spark, landing, root, ckpt)
-    q.awaitTermination()
-    assert current_version(spark, root, "observations") == v
-    closes = {(r.identifier, r.date.day): r.value for r in out.where(F.col("field") == "close").collect()}
-    assert closes[("B", 2)] == 22.0 * 2.0 and closes[("B", 3)] == 23.0
+    rows = [("A", dt.date(2024, 1, d), 10.0 + d, 10.0 + d, 0.0) for d in range(1, 7)] + \
+           [("B", dt.date(2024, 1, d), 20.0 + d, 20.0 + d, 2.0 if d == 3 else 0.0) for d in range(1, 7)] + \
+           [("Z", dt.date(2024, 1, d), 1.0, 1.0, 0.0) for d in range(1, 3)]
+    landing, root, ckpt = _root(spark, "landing"), _root(spark, "root"), _root(spark, "ckpt")
+    frame = spark.createDataFrame(rows, LANDED)
+    # every ticker's window is split over two files, one a micro-batch; a published table is already there
+    frame.where("day(date) <= 3").coalesce(1).write.parquet(landing)
+    frame.where("day(date) > 3").coalesce(1).write.mode("append").parquet(landing)
+    from decimal import Decimal
+
+    from marketframe import schemas as S
+    kept = spark.createDataFrame([("EQUX", "close", dt.date(2020, 1, 1), "YAHOO", Decimal(5))], S.OBSERVATIONS)
+    publish_snapshot(kept, root, "observations", ["field", "year(date)"])
+    before = _folders(spark, root, "observations")
+    out = run_to_end(spark, landing, root, ckpt, _ids(spark), files_per_batch=1)
+    got = {(r.instrument_id, r.field, r.date.day): float(r.value) for r in out.collect()}
+    assert len(got) == 2 * 5 * 2 + 1                     # one first row less for each ticker, not one for each file
+    assert got[("EQUB", "close", 2)] == 44.0 and got[("EQUB", "close", 3)] == 23.0 and got[("EQUX", "close", 1)] == 5.0
+    assert ("EQUA", "totret", 4) in got and len([k for k in got if k[0] == "EQUA" and k[1] == "totret"]) == 5
+    assert {k: f for k, f in _folders(spark, root, "observations").items() if k in before and "2020" in k} == before
+    failures = read_table(spark, root, "observations_failures")
+    assert failures.where("error_message = 'unknown identifier Z'").count() > 0
+    # a restart finds nothing new; a replayed batch finds itself applied
+    commit = read_manifest(spark, root)["commit"]
+    stream_ingest(spark, landing, root, ckpt, _ids(spark)).awaitTermination()
+    stream_ingest(spark, landing, root, _root(spark, "ckpt2"), _ids(spark)).awaitTermination()
+    assert read_manifest(spark, root)["commit"] == commit
+
+
+def test_stream_never_replaces_a_value_by_nothing(spark):
+    from marketframe.streaming.ingest_stream import run_to_end
+    landing, root, ckpt = _root(spark, "landing"), _root(spark, "root"), _root(spark, "ckpt")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    spark.createDataFrame([("A", d, 10.0, 10.0, 0.0) for d in days], LANDED).write.parquet(f"{landing}/pull=p1")
+    run_to_end(spark, landing, root, ckpt, _ids(spark), fields=["close"])
+    spark.createDataFrame([("A", d, float("nan"), 10.0, 0.0) for d in days], LANDED).write.parquet(f"{landing}/pull=p2")
+    out = run_to_end(spark, landing, root, ckpt, _ids(spark), fields=["close"])
+    assert sorted(float(r.value) for r in out.collect()) == [10.0] * 3
 
 
 def test_csv_round_trip(spark):
@@ -51,36 +121,32 @@ def test_csv_round_trip(spark):
     assert sorted((r.k, r.v) for r in back.collect()) == [("a", 1.5), ("b", None)]
 
 
-def test_upsert_rewrites_only_touched_partitions(spark):
+def test_upsert_writes_only_touched_partitions(spark):
     from decimal import Decimal
 
-    from marketframe.sources.sinks import upsert_partitioned
-    path = _root(spark, "obs_partitioned")
-    rows = [(f"I{i}", "close", dt.date(y, 6, 1), "YAHOO", Decimal(i), y) for i in range(3) for y in (2019, 2020, 2021)]
-    schema = "instrument_id string, field string, date date, source string, value decimal(19,5), year int"
-    spark.createDataFrame(rows, schema).write.partitionBy("field", "year").parquet(path)
-
-    def files(year):
-        d = os.path.join(path, "field=close", f"year={year}")
-        return sorted(f for f in os.listdir(d) if f.endswith(".parquet"))
-
-    before = {y: files(y) for y in (2019, 2020, 2021)}
-    batch = spark.createDataFrame([("I0", "close", dt.date(2021, 6, 1), "YAHOO", Decimal(9), 2021, 1),
-                                   ("I0", "close", dt.date(2021, 6, 1), "YAHOO", Decimal(8), 2021, 2),
-                                   ("I7", "close", dt.date(2021, 7, 1), "YAHOO", Decimal(7), 2021, 1)],
+    from marketframe.sources.sinks import publish_snapshot, read_table, upsert_table
+    root, by = _root(spark, "obs"), ["field", "year(date)"]
+    key = ["instrument_id", "field", "date", "source"]
+    schema = "instrument_id string, field string, date date, source string, value decimal(19,5)"
+    rows = [(f"I{i}", "close", dt.date(y, 6, 1), "YAHOO", Decimal(i)) for i in range(3) for y in (2019, 2020, 2021)] + [("I9", None, dt.date(2021, 6, 1), "YAHOO", Decimal(1))]
+    publish_snapshot(spark.createDataFrame(rows, schema), root, "obs", by)
+    before = _folders(spark, root, "obs")
+    batch = spark.createDataFrame([("I0", "close", dt.date(2021, 6, 1), "YAHOO", Decimal(9), 1), ("I0", "close", dt.date(2021, 6, 1), "YAHOO", Decimal(8), 2),
+                                   ("I7", "close", dt.date(2021, 7, 1), "YAHOO", Decimal(7), 1), ("I8", None, dt.date(2021, 6, 1), "YAHOO", Decimal(2), 1)],
                                   schema + ", seq int")
-    assert upsert_partitioned(spark, path, batch, ["instrument_id", "field", "date", "source"], ["field", "year"]) == 1
-    assert files(2019) == before[2019] and files(2020) == before[2020] and files(2021) != before[2021]
-    got = {(r.instrument_id, r.year): r.value for r in spark.read.parquet(path).collect()}
-    assert len(got) == 10 and got[("I0", 2021)] == Decimal(8) and got[("I7", 2021)] == Decimal(7)
-    assert got[("I0", 2019)] == Decimal(0)
+    upsert_table(batch, root, "obs", key, by, "seq")
+    after = _folders(spark, root, "obs")
+    assert {k for k in before if before[k] != after[k]} == {k for k in before if "2021" in k} and set(after) == set(before)
+    got = {(r.instrument_id, r.date.year): r.value for r in read_table(spark, root, "obs").collect()}
+    assert len(got) == 12 and got[("I0", 2021)] == Decimal(8) and got[("I7", 2021)] == Decimal(7)
+    assert got[("I9", 2021)] == Decimal(1) and got[("I8", 2021)] == Decimal(2)       # a null partition value keeps its rows
 
 
 def test_publish_tables_switches_one_manifest(spark):
     from marketframe.sources.sinks import publish_tables, read_manifest, read_table
     root = _root(spark, "multi")
     v = publish_tables({"a": spark.range(2), "b": spark.range(3)}, root)
-    assert v == {"a": 1, "b": 1} and read_manifest(spark, root) == {"a": 1, "b": 1}
+    assert v == {"a": 1, "b": 1}
     publish_tables({"a": spark.range(4)}, root)
-    assert read_manifest(spark, root) == {"a": 2, "b": 1}
+    assert {k: t["version"] for k, t in read_manifest(spark, root)["tables"].items()} == {"a": 2, "b": 1}
     assert read_table(spark, root, "a").count() == 4 and read_table(spark, root, "b").count() == 3
