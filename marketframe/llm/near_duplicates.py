@@ -188,39 +188,88 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, similarity: float) ->
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
 
 
-def _left_over(members: DataFrame, similar_share: float = 0.5) -> DataFrame:
-    """Candidate pairs (a, b) inside the same band, of different components, whose sketches agree on half
-    of the samples (a pair of similarity 0.8 fails that once in 10^8 times).
+class _Roots:
+    """Components inside a block, merged as links are found."""
 
-    ``members``: key, node, root, sketch.  In every band the rows outside its largest
-    component are compared with all rows of the band, in blocks of about 1,024 rows
-    by 1,024; only the pairs found leave a block.
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def of(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            x = y
+        return x
+
+    def merge(self, x: int, y: int) -> None:
+        self.up[max(x, y)] = min(x, y)
+
+
+def _block_links(key: int, left: list[tuple], right: list[tuple], weights: Weights, similarity: float) -> list[tuple[int, int]]:
+    """Links that join components, between rows (node, root, sketch, bands, text) of two sides of a band.
+
+    A pair counts in the first band it shares.  For each left row the right rows of
+    other components whose sketches agree often enough are verified, the likeliest
+    first; once a link joins a component, its other rows need no test.
+    """
+    rows = [*left, *right]
+    s = Shingles.of(*text_buffer(pa.array([r[4] for r in rows], pa.large_string())))
+    w = weights(s)
+    total = np.bincount(s.row, w, len(rows))
+    sketch = np.array([np.frombuffer(r[2], np.uint8) for r in right])
+    bands = np.array([r[3] for r in right])
+    node = np.array([r[0] for r in right])
+    samples = sketch.shape[1]
+    least = similarity - 4 * (similarity * (1 - similarity) / samples) ** 0.5
+    roots, links = _Roots(), []
+    for i, (n, root, mine, own_bands, _) in enumerate(left):
+        alike = (sketch == np.frombuffer(mine, np.uint8)).mean(1)
+        shared = bands == np.array(own_bands)
+        first = shared.argmax(1) == own_bands.index(key)
+        chosen = np.flatnonzero((alike >= least) & first & (node != n))
+        chosen = chosen[np.argsort(-alike[chosen], kind="stable")]
+        h, hw = s.hashes[s.first[i]: s.first[i + 1]], w[s.first[i]: s.first[i + 1]]
+        for k in range(0, len(chosen), 64):
+            part = [c for c in chosen[k: k + 64].tolist() if roots.of(right[c][1]) != roots.of(root)]
+            if not part:
+                continue
+            begin, end = s.first[:-1][len(left) + np.array(part)], s.first[1:][len(left) + np.array(part)]
+            at = np.concatenate([np.arange(a, b) for a, b in zip(begin, end)])
+            of = np.repeat(np.arange(len(part)), end - begin)
+            slot = np.minimum(np.searchsorted(h, s.hashes[at]), len(h) - 1)
+            both = np.bincount(of, np.where(h[slot] == s.hashes[at], np.minimum(hw[slot], w[at]), 0.0), len(part))
+            like = both / (total[i] + total[len(left) + np.array(part)] - both)
+            for c in np.flatnonzero(like >= similarity).tolist():
+                x, y = roots.of(root), roots.of(right[part[c]][1])
+                if x != y:
+                    roots.merge(x, y)
+                    links.append((min(n, right[part[c]][0]), max(n, right[part[c]][0])))
+    return links
+
+
+def _left_over(members: DataFrame, weights, similarity: float) -> DataFrame:
+    """Links (a, b) between members of one band that are of different components.
+
+    ``members``: key, node, root, sketch, bands, text.  In every band the rows outside its
+    largest component are compared with all rows of the band, in blocks of about
+    1,024 by 1,024; only links leave a block.
     """
     by_root = members.groupBy("key", "root").agg(F.count("*").alias("n"))
     bands = by_root.groupBy("key").agg(F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("main_n")).where("n > main_n")
     bands = bands.select("key", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("all_blocks"), F.ceil((F.col("n") - F.col("main_n")) / BLOCK).cast("int").alias("rest_blocks"))
     rows = members.join(bands, "key").withColumn("slot", F.pmod(F.xxhash64("node"), F.lit(1 << 30)))
-    rest = rows.where("root != main").select("key", (F.col("slot") % F.col("rest_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("j"), F.lit(True).alias("rest"), "node", "root", "sketch")
-    full = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"), (F.col("slot") % F.col("all_blocks")).cast("int").alias("j"), F.lit(False).alias("rest"), "node", "root", "sketch")
+    what = ["node", "root", "sketch", "bands", "text"]
+    rest = rows.where("root != main").select("key", (F.col("slot") % F.col("rest_blocks")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("j"), F.lit(True).alias("rest"), *what)
+    full = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"), (F.col("slot") % F.col("all_blocks")).cast("int").alias("j"), F.lit(False).alias("rest"), *what)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
 
         def found() -> pa.RecordBatch:
-            left, right = [r for r in held if r[0]], [r for r in held if not r[0]]
-            out_a, out_b = [], []
-            if left and right:
-                sketch = np.array([np.frombuffer(r[3], np.uint8) for r in right])
-                node, root = np.array([r[1] for r in right]), np.array([r[2] for r in right])
-                for _, n, c, x in left:
-                    hit = node[((sketch == np.frombuffer(x, np.uint8)).mean(1) >= similar_share) & (root != c)]
-                    out_a += np.minimum(hit, n).tolist()
-                    out_b += np.maximum(hit, n).tolist()
-            return pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+            left, right = [r[1:] for r in held if r[0]], [r[1:] for r in held if not r[0]]
+            links = _block_links(key[0], left, right, weights.value, similarity) if left and right else []
+            return pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("key", "i", "j", "rest", "node", "root", "sketch")]
-            for k, i, j, *row in zip(*columns):
+            for k, i, j, *row in zip(*[batch.column(c).to_pylist() for c in ("key", "i", "j", "rest", *what)]):
                 if (k, i, j) != key:
                     yield found()
                     held, key = [], (k, i, j)
@@ -243,9 +292,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     its class is null and it is kept.  Other columns are not read; an empty table gives no rows.
 
     Copies meet by their digest and only the first goes on.  In every band its members are
-    tested against the first of them.  Where that leaves a band with members of different
+    tested against its head.  Where that leaves a band with members of different
     components, these are compared too, so no pair of the band is left out but those
-    already in one component.  Nothing is collected but the 2^18 document frequencies.
+    already in one component (and those whose 56 samples agree four standard
+    deviations less often than ``similarity`` has it).  Nothing is collected but the 2^18 document frequencies.
     """
     scratch = Scratch(docs.sparkSession, "near-duplicates")
     stored = scratch.store
@@ -258,9 +308,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     nodes = stored(signed.groupBy("copy").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
 
     banded = nodes.select(F.explode("bands").alias("key"), "node")
-    heads = banded.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    shared = stored(banded.join(heads, "key"), "shared")             # members of bands that several texts have
-    tested = stored(shared.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    counts = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(banded.join(counts, "key"), "shared")            # members of bands that several texts have
+    # the head of a band is the member that meets most texts in all its bands: of copies, the text they were made from
+    met = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    heads = shared.join(met, "node").groupBy("key").agg(F.max_by("node", F.struct(F.col("met"), -F.col("node"))).alias("head"))
+    tested = shared.join(heads, "key").where("node != head").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"))
+    tested = stored(tested.distinct(), "pairs")
 
     wanted = nodes.select("copy", F.col("node").alias("doc_id")).join(shared.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
     texts = stored(rows.join(wanted, ["copy", "doc_id"], "left_semi").select("doc_id", "text"), "texts")
@@ -270,13 +324,14 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     # bands of two are done; in the others, what is not yet of one component
     open_bands = shared.where("n > 2").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     unlike = open_bands.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    sketches = nodes.groupBy("node").agg(F.first("sketch").alias("sketch"))
-    members = stored(open_bands.join(unlike, "key", "left_semi").join(sketches, "node"), "members")
-    more = stored(_left_over(members).join(tested, ["a", "b"], "left_anti"), "pairs")
+    known = nodes.groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    mixed_bands = stored(open_bands.join(unlike, "key", "left_semi"), "mixed")
+    members = mixed_bands.join(known, "node").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+    more = _left_over(stored(members, "members"), sent, similarity)
     # rows of one id are one document, whatever their texts
     repeated = ids.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     same_id = ids.join(repeated, "doc_id", "left_semi").join(copies, "copy").where("doc_id != node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    added = stored(_verified(more, texts, sent, similarity).unionAll(same_id), "links")
+    added = stored(more.unionAll(same_id), "links")
     if not added.isEmpty():
         roots = components(added.unionAll(roots.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))), scratch)
     scratch.clear(ids, roots)

@@ -130,14 +130,35 @@ def test_classes_equal_brute_force(spark):
     assert near_duplicates(frame.limit(0)).count() == 0 and deduplicated(frame.limit(0)).count() == 0
 
 
-def test_left_over_pairs_of_a_band(spark):
-    rng = np.random.default_rng(2)
-    base = rng.integers(0, 256, (3, 56), dtype=np.uint8)
-    rows = [(7, i, i if i % 40 == 3 else 0, base[1 if i in (3, 43, 83) else 2 if i == 123 else 0].tobytes()) for i in range(200)]
-    rows = [r for r in rows if r[1] != 0] + [(9, 500, 500, base[0].tobytes()), (9, 501, 501, base[0].tobytes())]
-    got = _left_over(spark.createDataFrame([(k, n, r, bytearray(x)) for k, n, r, x in rows], "key long, node long, root long, sketch binary")).collect()
-    expected = {(min(a[1], b[1]), max(a[1], b[1])) for a in rows for b in rows if a[0] == b[0] and a[2] != b[2] and a[3] == b[3]}
-    assert {(r.a, r.b) for r in got} == expected and len(got) == len(expected)
+def test_left_over_links_of_a_band(spark):
+    """Whatever is already joined, all links between different components of a band are found."""
+    rng = random.Random(6)
+    base = words(rng, 120)
+    texts = [edited(rng, base, rng.choice([1, 3, 6])) for _ in range(60)] + [words(rng, 120) for _ in range(10)]
+    s = shingles(texts)
+    samples = Sampler()(s, FLAT(s))
+    keys = band_keys(samples)
+    sketch = (samples & np.uint64(255)).astype(np.uint8)
+    rows = [(int(k), n, n if n % 3 else 0, bytearray(sketch[n].tobytes()), keys[n].tolist(), t) for n, t in enumerate(texts) for k in keys[n]]
+    members = spark.createDataFrame(rows, "key long, node long, root long, sketch binary, bands array<long>, text string")
+    got = [(r.a, r.b) for r in _left_over(members, spark.sparkContext.broadcast(FLAT), 0.8).collect()]
+    plain = {(i, j) for i in range(70) for j in range(i + 1, 70) if plain_jaccard(texts[i], texts[j]) >= 0.8 and set(keys[i]) & set(keys[j])}
+    assert set(got) <= plain
+    start = [(n, 0) for n in range(70) if n % 3 == 0]
+    assert joined(start + got) == joined(start + list(plain))
+
+
+def joined(links):
+    root = list(range(70))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in links:
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(70)]
 
 
 def test_op10_against_brute_force(spark):
