@@ -392,7 +392,7 @@ _register_search("resolve_symbol_second_key", "ignore_internal", "NOT is_interna
     WITH RECURSIVE ev AS (
         SELECT o_custkey AS position_id, l_shipdate AS ts, l_orderkey * 10 + l_linenumber AS row_no,
                CASE WHEN l_linenumber = 7 THEN 'split' ELSE 'open' END AS type, CAST(l_quantity AS DOUBLE) AS units,
-               CASE l_returnflag WHEN 'A' THEN 3.0 / 2 WHEN 'N' THEN 2.0 END AS mult FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+               CASE l_returnflag WHEN 'A' THEN 4.0 WHEN 'N' THEN 2.0 END AS mult FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
     seq AS (SELECT *, row_number() OVER (PARTITION BY position_id ORDER BY ts, row_no) AS k FROM ev),
     fold AS (SELECT position_id, k, CASE WHEN type = 'open' THEN units ELSE 0.0 END AS hold, CAST(0 AS DOUBLE) AS held FROM seq WHERE k = 1
              UNION ALL
@@ -402,14 +402,14 @@ _register_search("resolve_symbol_second_key", "ignore_internal", "NOT is_interna
            s.type = 'split' AND s.mult IS NULL AS flagged
     FROM seq s JOIN fold f ON f.position_id = s.position_id AND f.k = s.k""")
 def q_units_before_split(spark, sf_dir):
-    """Positions of their own: a customer's order lines, every seventh line a split of 3:2, 2:1 or a zero ratio."""
+    """Positions of their own: a customer's order lines, every seventh line a split of 4:1, 2:1 or a zero ratio."""
     from marketframe.plans.statement import units_before_split
     md = m(spark, sf_dir)
     li = md.raw("lineitem").join(md.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     split = F.col("l_linenumber") == 7
     ledger = li.select(F.col("o_custkey").alias("position_id"), F.col("l_shipdate").alias("ts"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_no"),
                        F.when(split, "split").otherwise("open").alias("type"), F.col("l_quantity").cast("double").alias("units"),
-                       F.when(split, F.when(F.col("l_returnflag") == "A", "3:2").when(F.col("l_returnflag") == "N", "2:1").otherwise("0:1")).alias("notes"))
+                       F.when(split, F.when(F.col("l_returnflag") == "A", "4:1").when(F.col("l_returnflag") == "N", "2:1").otherwise("0:1")).alias("notes"))
     out = units_before_split(ledger)
     return out.select("row_no", "type", "position_id", dbl("units"), F.col("split_error").isNotNull().alias("flagged"))
 

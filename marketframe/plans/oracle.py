@@ -4,8 +4,8 @@ The driver registers its Parquet tables as views; these CTEs rebuild the
 model tables from them with the same rules as ``sources.driver_tables`` and
 then derive every view from its definition in another way than the Spark code:
 ``arg_min`` for priorities, as-of joins for fills, previous values and flows,
-balances joined to trading days for holdings.  So they check it independently.  ``sql(body, deps)`` prepends the CTEs the
-body needs, in dependency order.
+balances joined to trading days for holdings.  So they check it independently.
+``sql(body)`` prepends the CTEs the body needs, in dependency order.
 """
 
 from __future__ import annotations
