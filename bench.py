@@ -9,7 +9,7 @@ and ``time_series_usd`` entries time the refresh itself (rebuilding the view
 from the stored tables); the read queries (get_hist, holdings, NAV) read the
 stored views, as they do in the reference.  Results are forced with the
 ``noop`` sink, so nothing is collected to the driver.  One warm-up, then the
-best of ``BENCH_REPEATS`` (default 3).  Prints one JSON line.
+best of ``BENCH_REPEATS`` (default 2).  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -22,13 +22,14 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["canonical_obs", "units_ts", "time_series_usd", "portfolio_holdings",
-            "portfolio_nav_returns", "get_hist", "upsert_observations"]
+            "portfolio_nav_returns", "get_hist", "upsert_observations", "convert_statement", "to_update",
+            "stream_ingest", "daily_run"]
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
 
     from marketframe.plans import catalog
