@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +43,11 @@ def sampled_chunks(text: bytes, most: int) -> bytes:
     return b"".join(padded[c * CHUNK_STEP * BLOCK:][: CHUNK + WIDTH] for c in picks)
 
 
+def all_chunks(text: bytes) -> np.ndarray:
+    """Every chunk of a text, a row each, as ``score`` sees them."""
+    return np.frombuffer(sampled_chunks(text, len(text) + 1), np.uint8).reshape(-1, CHUNK + WIDTH)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
@@ -63,15 +67,19 @@ class QualityNetwork:
         return cls({"embed": draw(0.5, 256, EMBEDDING), "filters": draw((WIDTH * EMBEDDING) ** -0.5, WIDTH * EMBEDDING, FILTERS), "bias": np.zeros(FILTERS, np.float32),
                     "hidden": draw(FILTERS ** -0.5, FILTERS, HIDDEN), "hidden_bias": np.zeros(HIDDEN, np.float32), "unit": draw(HIDDEN ** -0.5, HIDDEN), "unit_bias": np.zeros(1, np.float32), "top": np.array([2.0, 2.0, -2.0], np.float32)})
 
-    def gradients(self, chunks: np.ndarray, doc: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean cross-entropy of documents with these chunks (rows of bytes)."""
+    def gradients(self, chunks: np.ndarray, doc: np.ndarray, label: np.ndarray, size: int = 1024) -> dict[str, np.ndarray]:
+        """Of the mean cross-entropy of documents with these chunks (rows of bytes, document by document).
+
+        The chunks pass in slices of ``size``: first their maxima and units, then, with each
+        document's mean and maximum known, their gradients."""
         w, n = self.weights, len(label)
         places = np.arange(0, CHUNK, STRIDE)[:, None] + np.arange(WIDTH)
-        seen = w["embed"][chunks[:, places]].reshape(len(chunks), len(places), -1)
-        response = seen @ w["filters"]
-        best = response.argmax(1)
-        rows = np.arange(len(chunks))[:, None]
-        pooled = response[rows, best, np.arange(FILTERS)] + w["bias"]
+        best, pooled = np.empty((len(chunks), FILTERS), np.int64), np.empty((len(chunks), FILTERS), w["filters"].dtype)
+        for i in range(0, len(chunks), size):
+            part = chunks[i: i + size]
+            response = w["embed"][part[:, places]].reshape(len(part), len(places), -1) @ w["filters"]
+            best[i: i + size] = response.argmax(1)
+            pooled[i: i + size] = np.take_along_axis(response, best[i: i + size, None], 1)[:, 0] + w["bias"]
         active = np.maximum(pooled, 0)
         hidden = np.tanh(active @ w["hidden"] + w["hidden_bias"])
         unit = _sigmoid(hidden @ w["unit"] + w["unit_bias"])
@@ -90,12 +98,15 @@ class QualityNetwork:
         out["hidden"], out["hidden_bias"] = active.T @ d_hidden, d_hidden.sum(0)
         d_pooled = (d_hidden @ w["hidden"].T) * (pooled > 0)
         out["bias"] = d_pooled.sum(0)
-        at_best = seen[rows, best]                                   # chunk, filter, window
-        out["filters"] = np.einsum("cf,cfx->xf", d_pooled, at_best)
-        d_seen = (d_pooled[:, :, None] * w["filters"].T).reshape(len(chunks), FILTERS, WIDTH, EMBEDDING)
-        bytes_seen = chunks[rows[:, :, None], places[best]]
-        out["embed"] = np.zeros_like(w["embed"])
-        np.add.at(out["embed"], bytes_seen.ravel(), d_seen.reshape(-1, EMBEDDING))
+        out["filters"], out["embed"] = np.zeros_like(w["filters"]), np.zeros_like(w["embed"])
+        for i in range(0, len(chunks), size):
+            part, d_part = chunks[i: i + size], d_pooled[i: i + size]
+            bytes_seen = part[np.arange(len(part))[:, None, None], places[best[i: i + size]]]     # chunk, filter, window
+            at_best = w["embed"][bytes_seen].reshape(len(part), FILTERS, -1)
+            out["filters"] += np.einsum("cf,cfx->xf", d_part, at_best)
+            d_seen = (d_part[:, :, None] * w["filters"].T).reshape(-1, EMBEDDING)
+            for e in range(EMBEDDING):
+                out["embed"][:, e] += np.bincount(bytes_seen.ravel(), d_seen[:, e], 256)
         return out
 
     def fit(self, documents: list[np.ndarray], labels: np.ndarray, steps: int, batch: int, seed: int) -> None:
@@ -155,12 +166,13 @@ class Constant:
         return np.full(len(offsets) - 1, self.share)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, chunks: int = 8, steps: int = 600, batch: int = 32, seed: int = 7) -> QualityNetwork | Constant:
+def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, steps: int = 600, batch: int = 32, seed: int = 7) -> QualityNetwork | Constant:
     """Learn ``quality`` (0 or 1) of ``labels`` (doc_id, quality) from the texts of ``docs``.
 
     The network is fitted on the driver on a bounded sample: of each label the
-    ``per_label`` rows whose id hashes lowest, and of each text up to ``chunks`` chunks
-    spread over it (6 MB in all).  Its prior is the share of the labels over all rows.
+    ``per_label`` rows whose id hashes lowest, each with all chunks of its text, so that
+    a text has the same mean and maximum here as in scoring.  The sampled texts are held
+    on the driver.  Its prior is the share of the labels over all rows.
     Rows without a 0 or 1, and ids without a document, teach nothing; of an id labelled
     twice each label counts.  Without rows of both labels every text scores label 1's
     share, 1 if there are none.
@@ -175,19 +187,15 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, chunks: int
         part = known.where(F.col("quality") == k).orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(per_label)
         sample = part if sample is None else sample.unionAll(part)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([sampled_chunks((t or "").encode(), chunks) for t in b.column(2).to_pylist()], pa.binary())], names=["doc_id", "quality", "chunks"])
-
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
             .join(F.broadcast(sample), "doc_id")                     # 2 * per_label ids
-            .select("doc_id", "quality", "text").mapInArrow(cut, "doc_id long, quality int, chunks binary").collect())
-    rows.sort(key=lambda r: (r.doc_id, r.quality, bytes(r.chunks)))
+            .select("doc_id", "quality", "text").collect())
+    rows.sort(key=lambda r: (r.doc_id, r.quality, r.text))
     targets = np.array([r.quality for r in rows])
     if len(set(targets.tolist())) < 2:
         return Constant((ones + 1) / (zeros + ones + 1))
     network = QualityNetwork.fresh(seed)
-    network.fit([np.frombuffer(r.chunks, np.uint8).reshape(-1, CHUNK + WIDTH) for r in rows], targets, steps, batch, seed)
+    network.fit([all_chunks(r.text.encode()) for r in rows], targets, steps, batch, seed)
     network.shift = float(np.log(ones / zeros))
     return network
 

@@ -102,3 +102,26 @@ def test_edges(spark):
     got = score_quality(docs, model)
     assert got.columns == ["doc_id", "text", "quality_score"] and len({r.quality_score for r in got.collect()}) == 3
     assert score_quality(docs.limit(0), model).count() == 0
+
+
+def test_training_sees_the_chunks_that_scoring_sees(spark, monkeypatch):
+    """Every chunk of a long labelled text reaches the fit, and the slices of the gradients change nothing."""
+    rng = np.random.default_rng(4)
+    texts = ["", "a", "x" * 256, "y" * 257] + ["".join(map(chr, rng.integers(97, 123, n))) for n in (900, 5000, 14_000)]
+    seen = {}
+
+    def fit(self, documents, labels, *rest):
+        seen.update(documents=documents, labels=labels)
+
+    monkeypatch.setattr(QualityNetwork, "fit", fit)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train(docs, spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, quality int"))
+    network = QualityNetwork.fresh(3)
+    for text, chunks in zip(texts, seen["documents"]):
+        units = np.array([plain_units_of_chunk(network, c) for c in chunks])
+        assert len(units) == chunk_count(np.array(max(1, -(-len(text) // BLOCK))))
+        assert np.abs(units - plain_units(network, text.encode())).max() < 1e-6
+    chunks, doc = np.concatenate(seen["documents"]), np.repeat(np.arange(len(texts)), [len(c) for c in seen["documents"]])
+    whole, parts = (network.gradients(chunks, doc, seen["labels"].astype(np.float64), size) for size in (1 << 20, 7))
+    for name, g in whole.items():
+        assert np.abs(g - parts[name]).max() <= 1e-5 + 1e-4 * np.abs(g).max(), name
