@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.operators.relational import filter_between, filter_in_list
+from marketframe.operators.windows import dense_index
 from marketframe.operators.writes import RowsError, raise_on_rows
 
 
@@ -57,3 +58,20 @@ def pivot_history(hist: DataFrame, tickers: list[str], fields: list[str]) -> Dat
     asked = hist.where(F.col("ticker").isin(list(tickers)) & F.col("field").isin(list(fields)))
     return asked.groupBy("date").agg(*[
         F.avg(F.when((F.col("ticker") == t) & (F.col("field") == f), F.col("value"))).alias(f"{t}_{f}") for t in tickers for f in fields])
+
+
+def pivot_history_pages(hist: DataFrame, tickers: DataFrame, fields: list[str], size: int = 4) -> DataFrame:
+    """R4 for any number of tickers: one row per date and page of ``size`` tickers.
+
+    ``tickers`` (one column, not null) are ranked by name; a ticker's page is its rank
+    divided by ``size``, its slot the remainder.  Columns: ``date``, ``page`` and, slot by
+    slot, ``ticker_<slot>`` and ``<field>_<slot>`` (the mean of duplicates).  A page has a
+    row for a date on which one of its tickers has a value of ``fields``; the ticker of a
+    slot without one is null there.
+    """
+    asked = _requested(hist.sparkSession, tickers).distinct().withColumn("_all", F.lit(0))
+    ranked = dense_index(asked, "_all", "ticker", "_rank").select("ticker", F.floor(F.col("_rank") / size).cast("long").alias("page"), (F.col("_rank") % size).cast("int").alias("_slot"))
+    found = hist.where(F.col("field").isin(list(fields))).join(ranked, "ticker")
+    return found.groupBy("date", "page").agg(*[c for k in range(size) for c in [
+        F.max(F.when(F.col("_slot") == k, F.col("ticker"))).alias(f"ticker_{k}"),
+        *[F.avg(F.when((F.col("_slot") == k) & (F.col("field") == f), F.col("value"))).alias(f"{f}_{k}") for f in fields]]])

@@ -201,3 +201,16 @@ def test_checkpoint_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         checkpoint_dir(Cluster)
+
+
+def test_pivot_pages_hold_every_ticker_and_value(spark):
+    from marketframe.plans.hist import pivot_history_pages
+    rows = [(f"T{i:02d}", f, dt.date(2020, 1, d), float(100 * i + d)) for i in range(11) if i != 6 for f in ("close", "totret") for d in (1, 2) if (i, d) != (3, 2)]
+    hist = spark.createDataFrame(rows, "ticker string, field string, date date, value double")
+    tickers = spark.createDataFrame([(f"T{i:02d}",) for i in range(11)] + [("T01",)], "ticker string")
+    wide = pivot_history_pages(hist, tickers, ["close", "totret"], 4).collect()
+    assert sorted((str(r.date), r.page) for r in wide) == [(f"2020-01-0{d}", p) for d in (1, 2) for p in (0, 1, 2)]
+    back = [(r[f"ticker_{k}"], f, r.date, r[f"{f}_{k}"]) for r in wide for k in range(4) for f in ("close", "totret") if r[f"{f}_{k}"] is not None]
+    assert sorted(back) == sorted(rows)
+    assert all((r.ticker_2 is None) == (r.page == 1) for r in wide)
+    assert pivot_history_pages(hist, tickers.limit(0), ["close"], 4).count() == 0
