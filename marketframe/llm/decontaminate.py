@@ -25,14 +25,14 @@ class Windows:
 
     vocabulary: np.ndarray              # sorted word hashes
     by_length: dict[int, np.ndarray]    # windows of each length, a row each
-    items: dict[int, list[list[str]]]   # for each of them, the items that have it
+    items: dict[int, list[list[str | None]]]   # for each of them, the items that have it
 
     @classmethod
-    def of(cls, ids: list[str], texts: list[str | None], size: int) -> "Windows":
+    def of(cls, ids: list[str | None], texts: list[str | None], size: int) -> "Windows":
         data, offsets = text_buffer(pa.array(texts, pa.string()))
         folded, starts, ends, first = scan_words(data, offsets)
         vocabulary, numbers = np.unique(word_hashes(folded, starts, ends), return_inverse=True)
-        found: dict[tuple, set[str]] = {}
+        found: dict[tuple, set[str | None]] = {}
         for k, item in enumerate(ids):
             words = (numbers[first[k]: first[k + 1]] + 1).tolist()
             for i in range(max(len(words) - size + 1, min(1, len(words)))):
@@ -41,7 +41,7 @@ class Windows:
         for length in sorted({len(w) for w in found}):
             mine = [w for w in found if len(w) == length]
             by_length[length] = np.array(mine, np.int64)
-            items[length] = [sorted(found[w]) for w in mine]
+            items[length] = [list(found[w]) for w in mine]
         return cls(vocabulary, by_length, items)
 
 
@@ -111,7 +111,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, cl
     whole shorter item.  Returns per row ``doc`` (a struct of all columns of ``docs``
     but text, so no name can clash), ``text`` (with ``clean``, without the merged spans),
     ``n_words``, ``spans`` (merged hit words, from and to) and ``items`` (item_ids as
-    strings, sorted).  Null and empty texts have no words and stay as they are; repeated
+    strings, sorted; items without an id are one null, last).  Null and empty texts have no words and stay as they are; repeated
     rows are searched alike; an empty benchmark hits nothing; an empty table gives no rows.
 
     Documents are not shuffled: each task indexes its rows in shards of about
@@ -119,8 +119,8 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, cl
     tasks in blocks of about ``block_bytes`` of items, one pass each.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null and item_id is not null")
-    total = items.agg(F.sum(F.octet_length("text") + F.octet_length("item_id"))).first()[0] or 0
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    total = items.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item_id"), F.lit(0)))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     out = docs.select(F.struct(*others).alias("doc") if others else F.struct(F.lit(0).alias("_")).alias("doc"), F.col("text").cast("string").alias("text"),
@@ -168,7 +168,7 @@ def _search_shard(batch: pa.RecordBatch, windows: Windows, clean: bool) -> pa.Re
     if clean and cuts:
         text = pa.array([_without(t.encode(), cuts[r]) if r in cuts else t for r, t in enumerate(text.to_pylist())], text.type)
     new = {"text": text, "n_words": pa.array(np.diff(first), pa.int64()), "spans": pa.array(spans, batch.schema.field("spans").type),
-           "items": pa.array([sorted(x) for x in found], batch.schema.field("items").type)}
+           "items": pa.array([sorted(x, key=lambda item: (item is None, item)) for x in found], batch.schema.field("items").type)}
     return pa.RecordBatch.from_arrays([new.get(name, batch.column(name)) for name in batch.schema.names], schema=batch.schema)
 
 

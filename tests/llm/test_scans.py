@@ -112,3 +112,17 @@ def test_license_scan_edges(spark):
     assert got.columns == ["doc_id", "text", "license_scan"]
     assert sorted((r.license_scan.n_words, r.license_scan.score) for r in got.collect()) == [(0, 0.0), (2, 1.0), (2, 1.0)]
     assert scan_licenses(d.limit(0)).count() == 0
+
+
+def test_benchmark_rows_without_an_id_hit_as_in_sql(spark, same_as_sql, tmp_path):
+    import pandas as pd
+    long = " ".join(f"w{i}" for i in range(14))
+    docs = [(1, "a " + long + " z"), (2, "short one"), (3, "nothing here"), (4, "short one " + long)]
+    items = [(None, long), (7, "short one"), (None, "short one"), (8, None)]
+    given = {"documents": pd.DataFrame(docs, columns=["doc_id", "text"]), "benchmark": pd.DataFrame({"item_id": pd.array([i for i, _ in items], "Int64"), "text": [t for _, t in items]})}
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    same_as_sql(op8_decontamination(spark, str(tmp_path)), OP8_SQL, given=given)
+    clean = {r.doc_id: r.text for r in decontaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert clean[1] == "a  z" and clean[3] == "nothing here" and "w3" not in clean[4]
