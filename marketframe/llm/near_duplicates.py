@@ -317,16 +317,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     tested = stored(tested.distinct(), "pairs")
 
     wanted = nodes.select("copy", F.col("node").alias("doc_id")).join(shared.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts = stored(rows.join(wanted, ["copy", "doc_id"], "left_semi").select("doc_id", "text"), "texts")
+    texts = stored(rows.join(wanted, ["copy", "doc_id"], "left_semi").select("doc_id", "copy", "text"), "texts")
     links = stored(_verified(tested, texts, sent, similarity), "links")
     roots = components(links, scratch)
 
     # bands of two are done; in the others, what is not yet of one component
     open_bands = shared.where("n > 2").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     unlike = open_bands.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    known = nodes.groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
-    mixed_bands = stored(open_bands.join(unlike, "key", "left_semi"), "mixed")
-    members = mixed_bands.join(known, "node").join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+    mixed_bands = stored(open_bands.join(unlike, "key", "left_semi").dropDuplicates(["key", "node"]), "mixed")
+    # an id may stand for several texts: those that are in the band, each with its own sketch and bands
+    members = mixed_bands.join(nodes, "node").where("array_contains(bands, key)").join(texts.select("copy", "text").dropDuplicates(["copy"]), "copy").drop("copy")
     more = _left_over(stored(members, "members"), sent, similarity)
     # rows of one id are one document, whatever their texts
     repeated = ids.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")

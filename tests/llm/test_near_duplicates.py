@@ -168,3 +168,17 @@ def test_op10_against_brute_force(spark):
     assert len(got) == len(docs)
     for d, c in got.items():                     # the weights move a similarity by a few hundredths
         assert got[sure[d]] == c and likely[c] == likely[d]
+
+
+def test_an_id_of_several_texts_keeps_their_bands_apart(spark):
+    """Each text of a repeated id is compared by its own bands: the classes are those of the texts under ids of their own."""
+    rng = random.Random(12)
+    bases = [words(rng, 120) for _ in range(6)]
+    near = [edited(rng, bases[i % 6], 2 + i % 4) for i in range(90)]
+    other = [words(rng, 40) for _ in near]
+    apart = [(i, t) for i, t in enumerate(near)] + [(1000 + i, t) for i, t in enumerate(other)]
+    under_one = [(d % 1000, t) for d, t in apart]
+    expected = {r.doc_id: r.class_id for r in near_duplicates(spark.createDataFrame(apart, "doc_id long, text string")).collect()}
+    assert all(expected[1000 + i] == 1000 + i for i in range(len(near))) and len({expected[i] for i in range(len(near))}) > 6
+    got = near_duplicates(spark.createDataFrame(under_one, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id) for r in got) == sorted((i, expected[i]) for i in [*range(len(near))] * 2)
