@@ -182,3 +182,14 @@ def test_an_id_of_several_texts_keeps_their_bands_apart(spark):
     assert all(expected[1000 + i] == 1000 + i for i in range(len(near))) and len({expected[i] for i in range(len(near))}) > 6
     got = near_duplicates(spark.createDataFrame(under_one, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.class_id) for r in got) == sorted((i, expected[i]) for i in [*range(len(near))] * 2)
+
+
+def test_a_left_over_pair_of_few_agreeing_samples_is_verified():
+    """Half of the samples agree, less than four deviations below 0.8, but the texts link."""
+    from marketframe.llm.near_duplicates import _block_links
+    text, sketch = words(random.Random(5), 60), bytes(BANDS * ROWS)
+    other = bytes(29) + bytes([1]) * 27                        # 29 of 56 agree: 0.518
+    bands = [[1] + [10 * side + k for k in range(1, BANDS)] for side in (1, 2)]
+    row = lambda node, s, b, t: (node, node, s, b, t)
+    assert _block_links(1, [row(4, sketch, bands[0], text)], [row(7, other, bands[1], text + " end")], FLAT, 0.8) == [(4, 7)]
+    assert _block_links(1, [row(4, sketch, bands[0], text)], [row(7, other, bands[1], words(random.Random(6), 60))], FLAT, 0.8) == []
