@@ -18,8 +18,9 @@ from marketframe.session import checkpoint_dir
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes and row offsets (rows + 1) of a string column; a null row is empty."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    """Bytes (UTF-8 of a string) and row offsets (rows + 1) of a string or binary column; a null row is empty."""
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = pc.fill_null(column.cast(pa.large_binary() if binary else pa.large_string()), b"" if binary else "")
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
@@ -38,14 +39,14 @@ def row_slices(offsets: np.ndarray, most_bytes: int, most_rows: int = 1 << 13) -
         i = j
 
 
-def add_columns(docs: DataFrame, fields: str, make: Callable[[pa.Array], list[pa.Array]], text: str = "text", slice_bytes: int = 4 << 20) -> DataFrame:
+def add_columns(docs: DataFrame, fields: str, make: Callable[[pa.Array], list[pa.Array]], text: str = "text", slice_bytes: int = 4 << 20, cast: str = "string") -> DataFrame:
     """``docs`` plus the columns ``fields`` (a schema string), made from the text column by ``make``
-    for about ``slice_bytes`` of text at a time.  Other columns pass through in a struct, so no name
+    for about ``slice_bytes`` of text at a time (``cast`` to binary: of bytes).  Other columns pass through in a struct, so no name
     clashes inside; a column of ``docs`` named like a new one is replaced."""
     added = T.StructType.fromDDL(fields)
     others = [c for c in docs.columns if c != text]
     packed = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]).alias("row"),
-                         F.col(f"`{text}`").cast("string").alias("text"))
+                         F.col(f"`{text}`").cast(cast).alias("text"))
     schema = T.StructType([*packed.schema.fields, T.StructField("made", added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

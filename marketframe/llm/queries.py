@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from marketframe.llm.bpe_automaton import op11_bpe_automaton
 from marketframe.llm.decontaminate import OP8_SQL, op8_decontamination
 from marketframe.llm.embeddings import op4_near_vectors
 from marketframe.llm.language import op3_language
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_bpe_automaton": op11_bpe_automaton,
 }
 
 #: DuckDB SQL over the given tables, where SQL can express the operator.
