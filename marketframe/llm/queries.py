@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from marketframe.llm.bpe_automaton import op11_bpe_automaton
+from marketframe.llm.collocations import OP13_SQL, op13_collocations
 from marketframe.llm.decontaminate import OP8_SQL, op8_decontamination
 from marketframe.llm.embeddings import op4_near_vectors
 from marketframe.llm.language import op3_language
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_bpe_automaton": op11_bpe_automaton,
+    "op13_collocations": op13_collocations,
 }
 
 #: DuckDB SQL over the given tables, where SQL can express the operator.
 ORACLE: dict[str, str] = {
     "op7_licenses": OP7_SQL,
     "op8_decontamination": OP8_SQL,
+    "op13_collocations": OP13_SQL,
 }
