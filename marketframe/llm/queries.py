@@ -11,6 +11,7 @@ from marketframe.llm.licenses import OP7_SQL, op7_licenses
 from marketframe.llm.lm_scores import op5_lm_scores
 from marketframe.llm.near_duplicates import op10_near_duplicates
 from marketframe.llm.packing import op1_packing
+from marketframe.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from marketframe.llm.quality import op6_quality
 from marketframe.llm.token_counts import op9_token_counts
 from marketframe.llm.token_files import op2_token_files
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_bpe_automaton": op11_bpe_automaton,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_collocations": op13_collocations,
 }
 
@@ -34,5 +36,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op7_licenses": OP7_SQL,
     "op8_decontamination": OP8_SQL,
+    "op12_prefix_trie": OP12_SQL,
     "op13_collocations": OP13_SQL,
 }
