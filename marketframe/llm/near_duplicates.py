@@ -343,13 +343,19 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each class of near-duplicates: one row of its smallest doc_id.
-    A row without doc_id stays only if no row with one has its text, and then once per text."""
-    kept = near_duplicates(docs, similarity).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept_id")).distinct()
-    with_id = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    copy = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    known = docs.where("doc_id is not null").select(copy.alias("_known")).distinct()
-    alone = docs.where("doc_id is null").withColumn("_copy", copy).join(known, F.col("_copy") == F.col("_known"), "left_anti")
-    return with_id.unionByName(alone.dropDuplicates(["_copy"]).drop("_copy"))
+
+    Of several rows with that id the one whose text has the smallest digest stays, of equal texts the one whose columns
+    (maps aside) have the smallest hash.  A row without doc_id stays only if no row with one has its text, and
+    then once per text.  Columns of any names pass through.
+    """
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("copy"), F.xxhash64(*hashed).alias("tie"))
+    kept = near_duplicates(docs, similarity).where("kept and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
+    with_id = rows.join(kept, "id", "left_semi").groupBy("id").agg(F.min_by("row", F.struct("copy", "tie")).alias("row"))
+    known = rows.where("id is not null").select("copy").distinct()
+    alone = rows.where("id is null").join(known, "copy", "left_anti").groupBy("copy").agg(F.min_by("row", "tie").alias("row"))
+    return with_id.select("row.*").unionByName(alone.select("row.*"))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from marketframe.llm import language, quality
 from marketframe.llm.arrow import Scratch
-from marketframe.llm.near_duplicates import near_duplicates
+from marketframe.llm.near_duplicates import deduplicated, near_duplicates
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -101,13 +101,26 @@ def test_run_and_entry(spark, stages):
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in __spark_entry__.oracle_sql()
 
 
+ODD = ["quality_score", "lang_pred", "lang_score", "row", "made", "copy", "id", "tie", "_copy", "_known", "_kept_id", "key", "node", "_0", "c0", "words"]
+
+
 def test_stages_take_empty_and_odd_tables(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, quality_score string"
-    odd = spark.createDataFrame([(1, None, None, None, None, "x"), (2, "", "en", "s", 0, None), (2, "", "en", "s", 0, None), (None, "no id at all here", "en", "s", 17, "x"),
-                                 (3, "word " * 5000, "en", "s", 25000, "x")], schema)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in ODD)
+    own = [f"own {c}" for c in ODD]
+    odd = spark.createDataFrame([(1, None, None, None, None, *own), (2, "", "en", "s", 0, *own), (2, "", "en", "s", 0, *own), (None, "no id at all here", "en", "s", 17, *own),
+                                 (3, "word " * 5000, "en", "s", 25000, *own)], schema)
     for docs in (odd, odd.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
             made = stage(spark, docs, SF)
-            assert made.count() <= max(docs.count(), 20)
+            found = made.collect()
+            assert len(found) <= max(docs.count(), 20)
             if name != "packing":
                 assert made.dtypes == docs.dtypes
+                assert all([r[c] for c in ODD] == own for r in found)
+
+
+def test_of_rows_with_one_id_the_same_stays(spark):
+    rows = [(1, "one text", "a"), (1, "another text", "b"), (1, "one text", "c"), (None, "no id", "d"), (None, "no id", "e")]
+    kept = [sorted(map(tuple, deduplicated(spark.createDataFrame(part, "doc_id long, text string, tie string").repartition(n)).collect()), key=str)
+            for part, n in ((rows, 1), (rows[::-1], 4))]
+    assert kept[0] == kept[1] and len(kept[0]) == 2
