@@ -1,11 +1,13 @@
 """From raw documents to packed training sequences: five stages over the documents table.
 
-Every stage takes all that the one before kept; all but the last return the columns of documents.
+Every stage takes all that the one before kept; all but the last return the columns of documents, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe.llm import language, quality
@@ -18,18 +20,25 @@ from marketframe.llm.packing import pack_documents
 SURE = 0.5
 
 
+def _accepted(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], by: Column) -> DataFrame:
+    """Rows of ``docs`` for which ``by`` holds after ``judge`` has added its columns.  While it does, the columns but
+    the text have names of their own, so none of ``docs`` is read or replaced."""
+    own = {c: c if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)}
+    judged = judge(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]))
+    return judged.where(by).select(*[F.col(n).alias(c) for c, n in own.items()])
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score, learnt from all labels, is at least 0.7; null and empty texts are scored too."""
     model = quality.train(docs, read_table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(docs, model)
-    return scored.where(F.col("quality_score") >= quality.THRESHOLD).select(*docs.columns)
+    return _accepted(docs, lambda d: quality.score_quality(d, model), F.col("quality_score") >= quality.THRESHOLD)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the documents' own ``lang`` teaches; texts without a letter, and those
     that no language fits with probability 0.5, go."""
-    found = language.identify(docs, language.train(docs))
-    return found.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= SURE)).select(*docs.columns)
+    model = language.train(docs)
+    return _accepted(docs, lambda d: language.identify(d, model), (F.col("lang_pred") != "und") & (F.col("lang_score") >= SURE))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
