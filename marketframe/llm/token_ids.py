@@ -3,8 +3,8 @@
 A BPE tokenizer first cuts a text into pieces that never merge.  ``ChunkEncoder``
 cuts a text at boundaries which such a cut always respects, has the library
 encode each distinct chunk once, and joins the ids.  Texts outside the alphabet
-for which the boundaries are certain go to the library whole (Latin-1 text is in
-NFC already), so ids always equal ``Tokenizer.encode(text, add_special_tokens=False)``.
+for which the boundaries are certain, and texts that hold the string of an added token,
+go to the library whole (Latin-1 text is in NFC already), so ids always equal ``Tokenizer.encode(text, add_special_tokens=False)``.
 """
 
 from __future__ import annotations
@@ -49,10 +49,11 @@ class ChunkEncoder:
     def __init__(self, path: str, cache_chunks: int = 800_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # special strings in a text are ordinary text
         self.cache: dict[str, bytes] = {}
         self.cache_chunks = cache_chunks
         spec = json.loads(self.tokenizer.to_str())
+        added = [re.escape(a["content"]) for a in spec["added_tokens"]]
+        self.added = re.compile("|".join(added), re.IGNORECASE).search if added else lambda text: None
         pre, norm, model = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}, spec["model"]
         plain_bpe = model.get("type") == "BPE" and not model.get("dropout") and not model.get("ignore_merges") and not model.get("continuing_subword_prefix")
         spaced = plain_bpe and not norm and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
@@ -92,7 +93,7 @@ class ChunkEncoder:
             if self.pattern is not None:
                 try:
                     text.encode("latin-1")
-                    certain = not _ODD.search(text)
+                    certain = not _ODD.search(text) and not self.added(text)
                 except UnicodeEncodeError:
                     certain = False
                 if certain:

@@ -18,12 +18,11 @@ from marketframe.llm.token_ids import ChunkEncoder
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = ["", None, "Hello, world! it's  don't 'something' ''s 've\n\n x\t y", "São Ñandú élan ÀÉ ²½ªº µm", "日本語 text Ωmega Σς", "a" * 5000,
-         "zero​width nb\xa0sp \x85 soft\xadhyphen \x1c sep", "<|endoftext|> and <|startoftext|>", "  lead", "trail  ", "1234 5,6.7 $$$ *** a1b2", "I'LL WE'Re o'clock", "İstanbul ﬁ é"]
+         "zero​width nb\xa0sp \x85 soft\xadhyphen \x1c sep", "<|endoftext|> and <|startoftext|>", "a <|endoftext|> b <|startoftext|>", "A<|ENDOFTEXT|> <|endoftext|", "é <|endoftext|>\n\n日本", "  lead", "trail  ", "1234 5,6.7 $$$ *** a1b2", "I'LL WE'Re o'clock", "İstanbul ﬁ é"]
 
 
 def reference(path, texts):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
@@ -35,7 +34,7 @@ def test_encoder_equals_library(path, cache):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from(list("abZ' \n\t.,1é²ñ\xa0\xad_-Ω")), max_size=30), max_size=4))
+@given(st.lists(st.lists(st.sampled_from([*"abZ' \n\t.,1é²ñ\xa0\xad_-Ω", "<|endoftext|>", "<|"]), max_size=30).map("".join), max_size=4))
 def test_encoder_equals_library_on_any_text(texts):
     for path in (WORDS, BYTES):
         e = _kept.setdefault(path, ChunkEncoder(path))
@@ -48,7 +47,6 @@ _kept, _lib = {}, {}
 def reference_kept(path, texts):
     if path not in _lib:
         _lib[path] = Tokenizer.from_file(path)
-        _lib[path].encode_special_tokens = True
     return [_lib[path].encode(x, add_special_tokens=False).ids for x in texts]
 
 
