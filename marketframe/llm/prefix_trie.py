@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from marketframe.llm.arrow import Scratch, read_table
 
 #: Suffixes (of distinct conversations, by blocks of ids) that a container holds before it bursts.
-CONTAINER = 4096
+CONTAINER = 256
 #: Conversations of one path are put together by blocks of so many ids.
 BLOCK = 4096
 #: What belongs to a conversation meets its turns by stretches of so many turns, as one may hold a third of all.
@@ -200,7 +200,7 @@ def prefix_trie(turns: DataFrame, sizes: DataFrame, scratch: Scratch, container:
     ended = [suffixes.where("size(path) = 0")]
     root = spark.range(1).select(F.expr(_ROOT).alias("key"), F.lit(0).cast("long").alias("at"), F.lit(None).cast("long").alias("parent"), F.array().cast("array<binary>").alias("heads"),
                                  F.array().cast(_PATH).alias("chain"), F.lit(whole.n).cast("long").alias("n"), F.lit(whole.first).cast("long").alias("first"))
-    heads = [root]
+    heads = [scratch.store(root, "root")]
     equal = "array_position(transform(sequence(1, least(size(low), size(high))), i -> low[i - 1].turn = high[i - 1].turn), false)"
     while True:
         full = pending.groupBy("key").agg(F.count("*").alias("rows"), F.sum("n").alias("n"), F.min("first").alias("first"), F.min("path").alias("low"), F.max("path").alias("high"),
