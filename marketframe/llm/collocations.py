@@ -23,7 +23,7 @@ IN_WORDS[[9, 32]] = False
 #: The filter of frequent words and pairs has 16 bits for each of them, and at most so many (32 MB): beyond, it lets more
 #: infrequent phrases through, which are counted as well and dropped by their counts.
 MOST_FILTER_BITS = 1 << 28
-_SLICE = 4 << 20
+_SLICE = 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _RUN = f"lang string, {', '.join(f'w{i} long' for i in range(1, LONGEST + 1))}, n long, word string"
 
