@@ -3,8 +3,8 @@
 Parquet has no MERGE/UPDATE and an overwrite cannot read its own target, so
 each write computes the next state as a DataFrame; ``sources.sinks`` publishes
 it.  At scale the big table is only touched where the batch lands:
-``sinks.upsert_partitioned`` reads only the partitions the batch touches,
-merges them with these functions and overwrites just those partitions.
+``sinks.stage_upsert`` reads only the partitions the batch changes, merges
+them with these functions and writes just those anew.
 """
 
 from __future__ import annotations

@@ -96,9 +96,21 @@ def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days:
     vendor rows (ticker, date, close, adj_close, stock_splits; ``seq`` if keys repeat).
     Each group of the schedule is pulled with its own fields and window; currencies are
     inverted into pipettes and bring USD rows.  Observations, and on later runs the USD
-    series, are upserted: only the field-years that have new rows are written.
-    Returns the published DataFrames by name.
+    series, are upserted: only the field-years that have new or other rows are written, so a
+    second run of the same day writes none of them.  A job that writes the same parts meanwhile ends one
+    of the two with :class:`~marketframe.sources.sinks.CommitConflict`.  Intermediate tables are deleted at the end, and
+    data that only commits before the last ten name.  Returns the published DataFrames by name.
     """
+    from marketframe.sources.sinks import expire, intermediates, read_table
+    spark = vendor.sparkSession
+    with intermediates(spark):
+        _run_day(model, vendor, as_of, root, window_days, stale_days)
+    expire(spark, root)
+    return {n: read_table(spark, root, n) for n in ("observations", "updates", "units_ts", "time_series_usd", "stale_report", "ingest_failures")}
+
+
+def _run_day(model, vendor: DataFrame, as_of: dt.date, root: str, window_days: int, stale_days: int) -> None:
+    """The steps of :func:`daily_run`, each published by a commit."""
     from functools import reduce
 
     from marketframe.operators.canonical import canonical_obs
@@ -127,7 +139,7 @@ def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days:
         touched = touch_updates(read_table(spark, root, "updates"), good, as_of)
         # the three ingest outputs switch together
         commit(spark, root, [stage_upsert(good, root, "observations", S.OBS_KEY, BY_FIELD_YEAR, "seq"),
-                             stage_snapshot(touched, root, "updates"), stage_append(stamped, root, "ingest_failures")])
+                             stage_snapshot(touched, root, "updates", version=read_manifest(spark, root)["tables"]["updates"]["version"]), stage_append(stamped, root, "ingest_failures")])
         changed_since = good.select(F.min("date")).first()[0]
     else:
         changed_since = None
@@ -161,4 +173,3 @@ def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days:
     upsert_table(fresh, root, "time_series_usd", S.CANONICAL_KEY, BY_FIELD_YEAR)
     report = stale_report(read_table(spark, root, "updates"), model.instruments, as_of - dt.timedelta(days=stale_days), as_of)
     publish_snapshot(report, root, "stale_report")
-    return {n: read_table(spark, root, n) for n in ("observations", "updates", "units_ts", "time_series_usd", "stale_report", "ingest_failures")}

@@ -6,6 +6,10 @@ its partitions.  Data folders are never written twice: a write makes new folders
 for the partitions it touches, and the next commit names these beside the
 untouched ones.  Readers take the highest complete commit, so they see all tables
 of a commit or none, also while a write runs or after a crash.
+
+Writers may run side by side.  A staged merge remembers the folder that each of its
+partitions was merged from; a commit that finds another folder there raises
+:class:`CommitConflict` and changes nothing, so no writer's rows are lost.
 """
 
 from __future__ import annotations
@@ -13,8 +17,12 @@ from __future__ import annotations
 import json
 import os
 import uuid
-from dataclasses import dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,15 +64,30 @@ def _create(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def _delete(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.delete(p, True)
+
+
+class CommitConflict(RuntimeError):
+    """Another commit has changed what a staged write was made from."""
+
+
 @dataclass
 class Staged:
-    """Written folders of a table that the next commit is to name; ``whole``: they replace all others."""
+    """Written folders of a table that the next commit is to name; ``whole``: they replace all others.
+
+    ``merged_from``: the folder each part was merged from (None: there was none); ``version``: the version of
+    the table that the write was made from, where it was made from all of it.
+    """
 
     table: str
     parts: dict[str, str]
     whole: bool
     schema: str
     partition_by: list[str]
+    merged_from: dict[str, str | None] = field(default_factory=dict)
+    version: int | None = None
 
 
 def read_manifest(spark: SparkSession, root: str) -> dict:
@@ -77,31 +100,57 @@ def read_manifest(spark: SparkSession, root: str) -> dict:
     return {"commit": 0, "tables": {}, "applied": {}}
 
 
-def commit(spark: SparkSession, root: str, staged: list[Staged], applied: dict | None = None) -> dict[str, int]:
-    """Make staged writes visible, all at once.  Returns the new version of each table."""
-    manifest, versions = read_manifest(spark, root), {}
+def _next_manifest(manifest: dict, staged: list[Staged], applied: dict | None) -> tuple[dict, dict[str, int]]:
+    tables, versions = dict(manifest["tables"]), {}
     for s in staged:
-        old = manifest["tables"].get(s.table, {"version": 0, "parts": {}})
+        old = tables.get(s.table, {"version": 0, "parts": {}})
+        moved = [p for p, folder in s.merged_from.items() if old["parts"].get(p) != folder]
+        if moved or s.version not in (None, old["version"]):
+            raise CommitConflict(f"{s.table} was written by another commit meanwhile: {moved or 'the whole table'}")
+        if not (s.parts or s.whole) and old["version"]:      # nothing to change
+            versions[s.table] = old["version"]
+            continue
         versions[s.table] = old["version"] + 1
-        manifest["tables"][s.table] = {"version": versions[s.table], "schema": s.schema, "partition_by": s.partition_by,
-                                       "parts": s.parts if s.whole else old["parts"] | s.parts}
-    manifest["applied"] |= applied or {}
-    taken = _names(spark, f"{root}/_commits")
-    manifest["commit"] = int(taken[-1].removesuffix(".json")) + 1 if taken else 1
-    _create(spark, f"{root}/_commits/{manifest['commit']:012d}.json", json.dumps(manifest))
-    return versions
+        tables[s.table] = {"version": versions[s.table], "schema": s.schema, "partition_by": s.partition_by,
+                           "parts": s.parts if s.whole else old["parts"] | s.parts}
+    return manifest | {"tables": tables, "applied": manifest["applied"] | (applied or {})}, versions
+
+
+def commit(spark: SparkSession, root: str, staged: list[Staged], applied: dict | None = None) -> dict[str, int]:
+    """Make staged writes visible, all at once.  Returns the new version of each table.
+
+    Raises :class:`CommitConflict`, with nothing changed, if a part or table that a write was merged from is no longer
+    the published one.  A commit that another writer overtakes is checked again against that writer's.
+    """
+    while True:
+        taken = _names(spark, f"{root}/_commits")            # before the manifest: a later commit takes this number
+        manifest, versions = _next_manifest(read_manifest(spark, root), staged, applied)
+        manifest["commit"] = int(taken[-1].removesuffix(".json")) + 1 if taken else 1
+        path = f"{root}/_commits/{manifest['commit']:012d}.json"
+        try:
+            _create(spark, path, json.dumps(manifest))
+            return versions
+        except Py4JJavaError:
+            if not exists(spark, path):
+                raise
 
 
 def _write_parts(df: DataFrame, folder: str, partition_by: list[str]) -> dict[str, str]:
     """Write ``df`` under a new folder, split by SQL expressions; the folder of each partition, by its values.
-    The columns themselves stay in the files."""
+    The columns themselves stay in the files.
+
+    Rows are rebalanced: small partitions share a task, a large one is split over tasks of about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.  Files are sorted by instrument and day, so reads of a few
+    instruments skip row groups, after upserts too.
+    """
     spark = df.sparkSession
+    order = [c for c in ("instrument_id", "date") if c in df.columns]
     if not partition_by:
         df.write.parquet(folder)
         return {"": folder}
     marks = [f"_p{i}" for i in range(len(partition_by))]
     marked = df.select("*", *[F.expr(e).cast("string").alias(m) for e, m in zip(partition_by, marks)])
-    marked.repartition(*marks).write.partitionBy(*marks).parquet(folder)
+    marked.hint("rebalance", *[F.col(m) for m in marks]).sortWithinPartitions(*marks, *order).write.partitionBy(*marks).parquet(folder)
     found = [""]
     for _ in marks:
         found = [f"{f}/{n}" for f in found for n in _names(spark, folder + f) if "=" in n]
@@ -112,10 +161,10 @@ def _folder(root: str, table: str) -> str:
     return f"{root}/{table}/data-{uuid.uuid4().hex}"
 
 
-def stage_snapshot(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> Staged:
-    """Write all of a table's next version."""
+def stage_snapshot(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None, version: int | None = None) -> Staged:
+    """Write all of a table's next version; ``version``: the one that ``df`` was made from, where it was."""
     by = partition_by or []
-    return Staged(table, _write_parts(df, _folder(root, table), by), True, df.schema.json(), by)
+    return Staged(table, _write_parts(df, _folder(root, table), by), True, df.schema.json(), by, version=version)
 
 
 def publish_tables(tables: dict[str, DataFrame], root: str, partition_by: dict[str, list[str]] | None = None) -> dict[str, int]:
@@ -158,38 +207,68 @@ def stage_upsert(batch: DataFrame, root: str, table: str, key: list[str], partit
     """W1 + write at scale: merge ``batch`` into a published table, touching only the partitions it has rows in.
 
     The batch is written once, split as the table is; its folders name the partitions
-    to read (a null partition value is a folder like any other).  Each is merged (the
-    last batch row of a key wins) and written anew; the others' folders stay as they are.
-    A table that isn't there yet starts with the batch.
+    to read (a null partition value is a folder like any other).  Each in which the batch has a
+    row that is not there as it is, is merged (the last batch row of a key wins) and written anew; the
+    others' folders stay as they are.  A table that isn't there yet starts with the batch.
     """
     from marketframe.operators.writes import latest_per_key, upsert_observations
     spark = batch.sparkSession
     columns = [c for c in batch.columns if c != seq_col]
-    if seq_col:
+    if seq_col in batch.columns:
         batch = latest_per_key(batch, key, seq_col, [c for c in columns if c not in key]).select(*columns)
     entry = read_manifest(spark, root)["tables"].get(table)
     landed = _write_parts(batch, _folder(root, table), entry["partition_by"] if entry else partition_by)
     if entry is None:
-        return Staged(table, landed, True, batch.schema.json(), partition_by)
-    touched = {k for k in landed if k in entry["parts"]}
-    added = {k: f for k, f in landed.items() if k not in touched}
+        return Staged(table, landed, True, batch.schema.json(), partition_by, version=0)
+    new = _changed_parts(spark, entry, landed)
+    touched = {k for k in new if k in entry["parts"]}
+    added = {k: f for k, f in landed.items() if k in new - touched}
     if touched:
         current = _read_parts(spark, entry, touched)
-        new = _read_parts(spark, entry | {"parts": landed}, touched).select(*current.columns)
-        added |= _write_parts(upsert_observations(current, new, None, key=key), _folder(root, table), entry["partition_by"])
-    return Staged(table, added, False, entry["schema"], entry["partition_by"])
+        rows = _read_parts(spark, entry | {"parts": landed}, touched).select(*current.columns)
+        added |= _write_parts(upsert_observations(current, rows, None, key=key), _folder(root, table), entry["partition_by"])
+    return Staged(table, added, False, entry["schema"], entry["partition_by"], {k: entry["parts"].get(k) for k in added})
+
+
+def _changed_parts(spark: SparkSession, entry: dict, landed: dict[str, str]) -> set[str]:
+    """The parts in which ``landed`` has a row that the published table doesn't have as it is."""
+    shared = {k for k in landed if k in entry["parts"]}
+    if not shared:
+        return set(landed)
+    current = _read_parts(spark, entry, shared)
+    rows = _read_parts(spark, entry | {"parts": landed}, shared)
+    there = current.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(current.columns)])
+    same = [F.col(c).eqNullSafe(F.col(f"_c{i}")) for i, c in enumerate(current.columns)]
+    folders = rows.select("*", F.col("_metadata.file_path").alias("_file")).join(there, same, "left_anti").select(F.regexp_extract("_file", "^(.*)/", 1).alias("f")).distinct()
+    inside = lambda path: path[path.rindex("/data-"):]
+    changed = {inside(unquote(r.f)) for r in folders.collect()}  # at most as many as parts
+    return {k for k in landed if k not in shared or inside(landed[k]) in changed}
+
+
+def upsert_table(batch: DataFrame, root: str, table: str, key: list[str], partition_by: list[str], seq_col: str | None = None,
+                 attempts: int = 5) -> int:
+    """Stage an upsert and commit it, anew if another writer was first; the table's new version."""
+    for left in range(attempts - 1, -1, -1):
+        try:
+            return commit(batch.sparkSession, root, [stage_upsert(batch, root, table, key, partition_by, seq_col)])[table]
+        except CommitConflict:
+            if not left:
+                raise
 
 
-def upsert_table(batch: DataFrame, root: str, table: str, key: list[str], partition_by: list[str], seq_col: str | None = None) -> int:
-    """Stage an upsert and commit it; the table's new version."""
-    return commit(batch.sparkSession, root, [stage_upsert(batch, root, table, key, partition_by, seq_col)])[table]
+def stage_append(rows: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> Staged:
+    """Add rows to a table in folders of their own; nothing that is there is read or written."""
+    folder, by = _folder(root, table), partition_by or []
+    name = folder.rsplit("/", 1)[1]
+    return Staged(table, {f"{k}#{name}": f for k, f in _write_parts(rows, folder, by).items()}, False, rows.schema.json(), by)
 
 
-def stage_append(rows: DataFrame, root: str, table: str) -> Staged:
-    """Add rows to an unpartitioned log table in a folder of their own."""
-    folder = _folder(root, table)
-    rows.write.parquet(folder)
-    return Staged(table, {folder.rsplit("/", 1)[1]: folder}, False, rows.schema.json(), [])
+def read_partitions(spark: SparkSession, root: str, table: str, like: Staged) -> DataFrame | None:
+    """The published rows of an appended table that lie in the partitions of a staged append; None: there are none."""
+    entry = read_manifest(spark, root)["tables"].get(table)
+    mine = {k.split("#")[0] for k in like.parts}
+    keys = {k for k in entry["parts"] if k.split("#")[0] in mine} if entry else set()
+    return _read_parts(spark, entry, keys) if keys else None
 
 
 def expire(spark: SparkSession, root: str, keep: int = 10) -> int:
@@ -206,11 +285,9 @@ def expire(spark: SparkSession, root: str, keep: int = 10) -> int:
     for table in {t for m in kept for t in m["tables"]}:
         for name in _names(spark, f"{root}/{table}"):
             if name not in used:
-                fs, p = _fs(spark, f"{root}/{table}/{name}")
-                gone += fs.delete(p, True)
+                gone += _delete(spark, f"{root}/{table}/{name}")
     for name in names[:-keep]:
-        fs, p = _fs(spark, f"{root}/_commits/{name}")
-        fs.delete(p, False)
+        _delete(spark, f"{root}/_commits/{name}")
     return gone
 
 
@@ -226,9 +303,25 @@ def materialize(df: DataFrame, name: str = "tmp", partition_by: list | None = No
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete what was materialized inside when the block ends, whether it succeeds or fails."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Flat CSV export with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -95,11 +95,129 @@ def test_stream_ingest_across_files_and_replays(spark):
     assert {k: f for k, f in _folders(spark, root, "observations").items() if k in before and "2020" in k} == before
     failures = read_table(spark, root, "observations_failures")
     assert failures.where("error_message = 'unknown identifier Z'").count() > 0
-    # a restart finds nothing new; a replayed batch finds itself applied
+    times = {r.error_timestamp for r in failures.collect()}
+    assert all(abs((dt.datetime.now() - t).total_seconds()) < 86_400 * 1.5 for t in times)
+    # a restart finds nothing new; a batch whose end the checkpoint doesn't know is replayed and finds itself applied
     commit = read_manifest(spark, root)["commit"]
     stream_ingest(spark, landing, root, ckpt, _ids(spark)).awaitTermination()
-    stream_ingest(spark, landing, root, _root(spark, "ckpt2"), _ids(spark)).awaitTermination()
+    for f in ("commits/1", "commits/.1.crc"):
+        os.remove(f"{ckpt}/{f}")
+    stream_ingest(spark, landing, root, ckpt, _ids(spark)).awaitTermination()
     assert read_manifest(spark, root)["commit"] == commit
+    # a new checkpoint reads all again, which changes nothing
+    parts = _folders(spark, root, "observations")
+    out = run_to_end(spark, landing, root, _root(spark, "ckpt2"), _ids(spark))
+    assert {(r.instrument_id, r.field, r.date.day): float(r.value) for r in out.collect()} == got
+    assert _folders(spark, root, "observations") == parts
+
+
+def test_a_new_checkpoint_on_an_old_root_loses_nothing(spark):
+    from marketframe.streaming.ingest_stream import run_to_end
+    landing, root = _root(spark, "landing"), _root(spark, "root")
+    frame = spark.createDataFrame([("A", dt.date(2024, 1, d), 10.0 + d, 10.0 + d, 0.0) for d in range(1, 9)], LANDED)
+    frame.where("day(date) <= 4").coalesce(1).write.parquet(f"{landing}/pull=p1")
+    run_to_end(spark, landing, root, _root(spark, "first"), _ids(spark), fields=["close"])
+    frame.where("day(date) > 4").coalesce(1).write.mode("append").parquet(f"{landing}/pull=p1")
+    out = run_to_end(spark, landing, root, _root(spark, "second"), _ids(spark), fields=["close"])
+    assert {r.date.day: float(r.value) for r in out.collect()} == {d: 10.0 + d for d in range(1, 9)}
+
+
+def test_landed_bytes_follow_the_batch(spark):
+    from marketframe.sources.sinks import read_manifest
+    from marketframe.streaming.ingest_stream import run_to_end
+    landing, root, ckpt = _root(spark, "landing"), _root(spark, "root"), _root(spark, "ckpt")
+    seen, files = {}, []
+    for n in range(4):
+        spark.createDataFrame([("A", dt.date(2024, 1, 3 * n + d), 10.0 + d, 10.0 + d, 0.0) for d in (1, 2, 3)], LANDED).coalesce(1).write.mode("append").parquet(landing)
+        run_to_end(spark, landing, root, ckpt, _ids(spark), fields=["close"])
+        parts = read_manifest(spark, root)["tables"]["observations_landed"]["parts"]
+        new = [f for k, f in parts.items() if k not in seen]
+        files.append(spark.read.parquet(*new).count())
+        seen |= parts
+    assert files == [3, 3, 3, 3]                          # nothing that landed before is written again
+
+
+OBS = "instrument_id string, field string, date date, source string, value decimal(19,5)"
+KEY = ["instrument_id", "field", "date", "source"]
+
+
+def _obs(spark, *rows):
+    from decimal import Decimal
+    return spark.createDataFrame([(i, "close", d, "YAHOO", Decimal(v)) for i, d, v in rows], OBS)
+
+
+def test_two_writers_of_one_part_lose_nothing(spark):
+    import pytest
+    from marketframe.sources.sinks import CommitConflict, commit, read_table, stage_snapshot, stage_upsert, upsert_table
+    root, by, day = _root(spark, "two"), ["field", "year(date)"], dt.date(2024, 1, 1)
+    upsert_table(_obs(spark, ("A", day, 1), ("A", dt.date(2020, 1, 1), 1)), root, "obs", KEY, by)
+    one, two = (stage_upsert(_obs(spark, (i, day, 2)), root, "obs", KEY, by) for i in ("B", "C"))
+    other = stage_upsert(_obs(spark, ("D", dt.date(2020, 1, 1), 3)), root, "obs", KEY, by)
+    commit(spark, root, [one])
+    with pytest.raises(CommitConflict):
+        commit(spark, root, [two])
+    commit(spark, root, [other])                         # another part: no conflict
+    upsert_table(_obs(spark, ("C", day, 2)), root, "obs", KEY, by)
+    assert sorted(r.instrument_id for r in read_table(spark, root, "obs").collect()) == ["A", "A", "B", "C", "D"]
+    new_part = [stage_upsert(_obs(spark, (i, dt.date(2022, 1, 1), 2)), root, "obs", KEY, by) for i in ("E", "F")]
+    commit(spark, root, new_part[:1])
+    with pytest.raises(CommitConflict):                  # both found no such part
+        commit(spark, root, new_part[1:])
+    stale = stage_snapshot(_obs(spark, ("Z", day, 1)), root, "obs", by, version=1)
+    with pytest.raises(CommitConflict):
+        commit(spark, root, [stale])
+
+
+def test_an_overtaken_upsert_is_made_anew(spark, monkeypatch):
+    from marketframe.sources import sinks
+    root, by, day = _root(spark, "redo"), ["field", "year(date)"], dt.date(2024, 1, 1)
+    sinks.upsert_table(_obs(spark, ("A", day, 1)), root, "obs", KEY, by)
+    stage, first = sinks.stage_upsert, []
+
+    def overtaken(*a, **k):
+        made = stage(*a, **k)
+        if not first:
+            first.append(1)
+            sinks.commit(spark, root, [stage(_obs(spark, ("B", day, 2)), root, "obs", KEY, by)])
+        return made
+    monkeypatch.setattr(sinks, "stage_upsert", overtaken)
+    sinks.upsert_table(_obs(spark, ("C", day, 3)), root, "obs", KEY, by)
+    assert sorted(r.instrument_id for r in sinks.read_table(spark, root, "obs").collect()) == ["A", "B", "C"]
+
+
+def test_equal_rows_write_nothing(spark):
+    from marketframe.sources.sinks import current_version, upsert_table
+    root, by = _root(spark, "same"), ["concat(field, ':/% ')", "year(date)"]        # values that folder names escape
+    rows = [("A", dt.date(y, 1, 1), 1) for y in (2020, 2021)]
+    upsert_table(_obs(spark, *rows), root, "obs", KEY, by)
+    before = _folders(spark, root, "obs")
+    assert upsert_table(_obs(spark, *rows), root, "obs", KEY, by) == 1 == current_version(spark, root, "obs")
+    upsert_table(_obs(spark, rows[0], ("A", dt.date(2021, 1, 1), 2)), root, "obs", KEY, by)
+    after = _folders(spark, root, "obs")
+    assert [k for k in before if before[k] != after[k]] == [k for k in before if "2021" in k]
+
+
+def test_one_large_partition_is_written_by_many_tasks(spark):
+    from marketframe.sources.sinks import _names, publish_snapshot
+    root = _root(spark, "hot")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        rows = spark.range(60_000).selectExpr("concat('I', id) as instrument_id", "'close' as field", "date'2024-01-01' as date", "'Y' as source", "cast(id as decimal(19,5)) as value")
+        publish_snapshot(rows.repartition(8), root, "obs", ["field", "year(date)"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    (folder,) = _folders(spark, root, "obs").values()
+    assert len([n for n in _names(spark, folder) if n.endswith(".parquet")]) > 4
+
+
+def test_intermediate_tables_go_with_their_job(spark):
+    import pytest
+    from marketframe.sources.sinks import exists, intermediates, materialize
+    with pytest.raises(KeyError), intermediates(spark):
+        path = materialize(spark.range(3), "x").inputFiles()[0].rsplit("/", 1)[0]
+        assert exists(spark, path)
+        raise KeyError
+    assert not exists(spark, path)
 
 
 def test_stream_never_replaces_a_value_by_nothing(spark):
