@@ -15,13 +15,15 @@ from marketframe.llm.hat_trie import HatTrie, Rows
 from marketframe.llm.textscan import mixed, scan_words, word_hashes
 
 LONGEST, LEAST, TOP, COVERED = 4, 30, 2000, 80
+#: Phrases of up to so many words are counted by their hashes first.
+FILTERED = 3
 #: Bytes that end a piece, and those that are in words.
 ENDS = np.zeros(256, bool)
 ENDS[list(b".,;:!?\n\x0b\x0c\r")] = True
 IN_WORDS = ~ENDS
 IN_WORDS[[9, 32]] = False
-#: The filter of frequent words and pairs has 16 bits for each of them, and at most so many (32 MB): beyond, it lets more
-#: infrequent phrases through, which are counted as well and dropped by their counts.
+#: The filter of frequent words, pairs and triples has 16 bits for each of them, and at most so many (32 MB): beyond, it lets
+#: more infrequent phrases through, which are counted as well and dropped by their counts.
 MOST_FILTER_BITS = 1 << 28
 _SLICE = 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -54,13 +56,15 @@ class Grams:
             follow[:-1] = np.where(linked[:-1], np.minimum(follow[1:] + 1, LONGEST - 1), 0)
         return cls(folded, starts, ends, words, langs[row], follow)
 
-    def word_keys(self) -> np.ndarray:
-        """A hash of each word and its language."""
-        return mixed(self.lang * _FACTOR + self.words)
-
-    def pair_keys(self, words: np.ndarray) -> np.ndarray:
-        """A hash of each word, its language and the next word (the last one's means nothing)."""
-        return mixed(words * np.uint64(31) + np.append(self.words[1:], np.uint64(0)))
+    def keys(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For phrases of one word, two, up to ``FILTERED``: where they begin, and hashes of them with their language."""
+        at, keys = np.arange(len(self.words)), mixed(self.lang * _FACTOR + self.words)
+        yield at, keys
+        for size in range(2, FILTERED + 1):
+            goes_on = self.follow[at] >= size - 1
+            at = at[goes_on]
+            keys = mixed(keys[goes_on] * np.uint64(31) + self.words[at + size - 1])
+            yield at, keys
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Grams, dict[int, str]]]:
@@ -83,15 +87,14 @@ def _cast(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _frequent(texts: DataFrame, least: int) -> DataFrame:
-    """Hashes (``gram``) of the words and pairs, with their language, that occur ``least`` times or more."""
+def _frequent(texts: DataFrame, least: int, budget: int, burst: int) -> DataFrame:
+    """Hashes (``gram``) of the words, pairs and triples, with their language, that occur ``least`` times or more."""
     fields = [("gram", pa.int64()), ("n", pa.int64())]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = HatTrie(1)
+        trie = HatTrie(1, budget, burst)
         for grams, _ in _slices(batches):
-            words = grams.word_keys()
-            keys = np.concatenate([words, grams.pair_keys(words)[grams.follow > 0]])
+            keys = np.concatenate([k for _, k in grams.keys()])
             for (run,), n in trie.add([keys], np.ones(len(keys), np.int64)):
                 yield _batch([_cast(run), n], fields)
         for (run,), n in trie.spill():
@@ -130,8 +133,8 @@ class Filter:
 def _runs(texts: DataFrame, frequent: Filter, budget: int, burst: int) -> DataFrame:
     """Sorted runs of counts: language, the hashes of one to four words (0: none), n.
 
-    Only words and pairs that pass the filter are counted, and longer phrases all of whose pairs do: a phrase occurs
-    no more often than any part.  A row without words counts all words of its language; a row with ``word``
+    Only words, pairs and triples that pass the filter are counted, and longer phrases all of whose triples do: a phrase
+    occurs no more often than any part.  A row without words counts all words of its language; a row with ``word``
     gives the text of a hash.
     """
     sent = texts.sparkSession.sparkContext.broadcast(frequent)
@@ -149,30 +152,27 @@ def _runs(texts: DataFrame, frequent: Filter, budget: int, burst: int) -> DataFr
 
         for grams, here in _slices(batches):
             names |= here
-            keys = grams.word_keys()
-            passing = sent.value.passes(keys)
-            pair = np.zeros(len(grams.words), bool)
-            linked = np.flatnonzero(grams.follow > 0)
-            pair[linked] = sent.value.passes(grams.pair_keys(keys)[linked])
+            passes = []                                     # by size: whether a phrase that begins here passes
+            for at, keys in grams.keys():
+                passes.append(np.zeros(len(grams.words), bool))
+                passes[-1][at[sent.value.passes(keys)]] = True
             langs, n_words = np.unique(grams.lang, return_counts=True)
             none = [np.zeros(len(langs), np.uint64)] * LONGEST
             for run in trie.add([langs, *none], n_words):
                 yield from written(run)
-            begins = passing
             for size in range(1, LONGEST + 1):
-                at = np.flatnonzero(begins)
+                if size <= FILTERED:
+                    at = np.flatnonzero(passes[size - 1])
+                else:                                       # both parts with one word less pass
+                    at = at[grams.follow[at] >= size - 1]
+                    at = at[passes[FILTERED - 1][at + size - FILTERED]]
                 words = [grams.words[at + k] if k < size else np.zeros(len(at), np.uint64) for k in range(LONGEST)]
                 for run in trie.add([grams.lang[at], *words], np.ones(len(at), np.int64)):
                     yield from written(run)
-                if size < LONGEST:                          # one word more: the pair at its end passes too
-                    begins = (pair if size == 1 else begins) & (grams.follow >= size)
-                    if size > 1:
-                        at = np.flatnonzero(begins)
-                        begins[at] = pair[at + size - 1]
-            distinct, at = np.unique(grams.words[passing], return_index=True)
+            distinct, at = np.unique(grams.words[passes[0]], return_index=True)
             new = ~np.isin(distinct, known)
             if new.any():
-                at = np.flatnonzero(passing)[at[new]]
+                at = np.flatnonzero(passes[0])[at[new]]
                 text = [grams.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(grams.starts[at].tolist(), grams.ends[at].tolist())]
                 yield _batch([[None] * len(at), _cast(distinct[new]), *[[0] * len(at)] * (LONGEST - 1), [0] * len(at), text], fields)
                 known = np.union1d(known, distinct[new]) if len(known) < budget else distinct[new]
@@ -208,13 +208,13 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: i
     longer one with ``covered`` percent of their occurrences are left out.  Null texts are empty, a null lang is ``und``;
     repeated rows count each; other columns are not read; an empty table gives no rows.
 
-    Words and phrases are compared by 64 bits for each word.  Tasks count in HAT-tries of bounded memory, first all words and pairs,
-    then whatever is made of frequent ones, and spill sorted runs; runs are merged by the whole phrase, as
+    Words and phrases are compared by 64 bits for each word.  Tasks count in HAT-tries of bounded memory, first the hashes of all
+    words, pairs and triples, then whatever is made of frequent ones, and spill sorted runs; runs are merged by the whole phrase, as
     a prefix can hold a third of all.  ``budget``, ``burst`` and ``most_filter_bits`` change memory and speed alone.
     """
     scratch = Scratch(docs.sparkSession, "collocations")
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    frequent = Filter.of(scratch.store(_frequent(texts, least), "frequent"), most_filter_bits)
+    frequent = Filter.of(scratch.store(_frequent(texts, least, 4 * budget, burst), "frequent"), most_filter_bits)
     runs = scratch.store(_runs(texts, frequent, budget, burst), "runs")
     hashes = [f"w{i}" for i in range(1, LONGEST + 1)]
     merged = runs.where("word is null").groupBy("lang", *hashes).agg(F.sum("n").alias("a")).where((F.col("a") >= least) | (F.col("w1") == 0))

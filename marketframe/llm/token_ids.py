@@ -52,10 +52,9 @@ class ChunkEncoder:
         self.cache: dict[str, bytes] = {}
         self.cache_chunks = cache_chunks
         spec = json.loads(self.tokenizer.to_str())
-        added = [re.escape(a["content"]) for a in spec["added_tokens"]]
-        self.added = re.compile("|".join(added), re.IGNORECASE).search if added else lambda text: None
+        self.added = [a["content"] for a in spec["added_tokens"]]
         pre, norm, model = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}, spec["model"]
-        plain_bpe = model.get("type") == "BPE" and not model.get("dropout") and not model.get("ignore_merges") and not model.get("continuing_subword_prefix")
+        plain_bpe = model.get("type") == "BPE" and not any(a["normalized"] for a in spec["added_tokens"]) and not model.get("dropout") and not model.get("ignore_merges") and not model.get("continuing_subword_prefix")
         spaced = plain_bpe and not norm and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         steps = pre.get("pretokenizers", [])
         lower = [n.get("type") for n in norm.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
@@ -93,7 +92,7 @@ class ChunkEncoder:
             if self.pattern is not None:
                 try:
                     text.encode("latin-1")
-                    certain = not _ODD.search(text) and not self.added(text)
+                    certain = not _ODD.search(text) and not any(a in text for a in self.added)
                 except UnicodeEncodeError:
                     certain = False
                 if certain:
