@@ -100,7 +100,8 @@ def _frequent(texts: DataFrame, least: int, budget: int, burst: int) -> DataFram
         for (run,), n in trie.spill():
             yield _batch([_cast(run), n], fields)
 
-    counted = texts.mapInArrow(count, "gram long, n long")
+    # tasks have put equal hashes together already, so runs are dealt before Spark sums them up
+    counted = texts.mapInArrow(count, "gram long, n long").repartition("gram")
     return counted.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("gram")
 
 
@@ -214,7 +215,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: i
     """
     scratch = Scratch(docs.sparkSession, "collocations")
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    frequent = Filter.of(scratch.store(_frequent(texts, least, 4 * budget, burst), "frequent"), most_filter_bits)
+    frequent = Filter.of(scratch.store(_frequent(texts, least, budget, burst), "frequent"), most_filter_bits)
     runs = scratch.store(_runs(texts, frequent, budget, burst), "runs")
     hashes = [f"w{i}" for i in range(1, LONGEST + 1)]
     merged = runs.where("word is null").groupBy("lang", *hashes).agg(F.sum("n").alias("a")).where((F.col("a") >= least) | (F.col("w1") == 0))
