@@ -343,29 +343,21 @@ def q_calendar_spine(spark, sf_dir):
     return R.calendar_spine(fx_base(md.canonical, md.units))
 
 
-#: Tickers asked for in the wide history, two of which have data at every scale; the columns follow from them.
-PIVOT_TICKERS, PIVOT_FIELDS = ["Supplier#000000001", "Supplier#000000002", "Supplier#000000003"], ["close", "totret"]
-
-
-@register("pivot_history", "SELECT date, " + ", ".join(
-    f"round(avg(CASE WHEN internal_ticker = '{t}' AND field = '{f}' THEN CAST(value AS DOUBLE) END), 5) AS \"{t}_{f}\"" for t in PIVOT_TICKERS for f in PIVOT_FIELDS)
-    + " FROM v_ts_usd WHERE internal_ticker IN (" + ", ".join(f"'{t}'" for t in PIVOT_TICKERS) + ") GROUP BY date")
-def q_pivot_history(spark, sf_dir):
-    from marketframe.plans.hist import get_hist, pivot_history
-    h = get_hist(m(spark, sf_dir).ts_usd, PIVOT_TICKERS, PIVOT_FIELDS, None, None).withColumn("value", F.col("value").cast("double"))
-    wide = pivot_history(h, PIVOT_TICKERS, PIVOT_FIELDS)
-    return wide.select("date", *[F.round(F.col(f"`{c}`"), 5).alias(c) for c in wide.columns[1:]])
-
-
+PIVOT_FIELDS = ["close", "totret"]
 PIVOT_PAGE = 4
 
 
-@register("pivot_history_pages", f"SELECT date, r // {PIVOT_PAGE} AS page, " + ", ".join(
+#: The wide history of every equity: tickers in pages of four, since a table can't have a column for each.
+PIVOT_SQL = (f"SELECT date, r // {PIVOT_PAGE} AS page, " + ", ".join(
     f"max(CASE WHEN r % {PIVOT_PAGE} = {k} THEN internal_ticker END) AS ticker_{k}, "
     + ", ".join(f"round(avg(CASE WHEN r % {PIVOT_PAGE} = {k} AND field = '{f}' THEN CAST(value AS DOUBLE) END), 5) AS {f}_{k}" for f in PIVOT_FIELDS) for k in range(PIVOT_PAGE))
     + """ FROM v_ts_usd JOIN (SELECT internal_ticker, row_number() OVER (ORDER BY internal_ticker) - 1 AS r
                               FROM (SELECT DISTINCT internal_ticker FROM m_instruments WHERE asset_class = 'equity')) USING (internal_ticker)
     WHERE field IN ('close', 'totret') GROUP BY date, page""")
+
+
+@register("pivot_history", PIVOT_SQL)
+@register("pivot_history_pages", PIVOT_SQL)
 def q_pivot_history_pages(spark, sf_dir):
     """The wide history of every equity, a page of tickers a row."""
     from marketframe.plans.hist import get_hist, pivot_history_pages
