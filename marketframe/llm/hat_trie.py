@@ -28,7 +28,7 @@ def grouped(places: list[np.ndarray], counts: np.ndarray) -> Rows:
     h, places = h[order], [p[order] for p in places]
     new = np.concatenate([[True], h[1:] != h[:-1]])
     differs = np.zeros(len(h) - 1, bool)
-    for p in places[1:]:
+    for p in places:
         differs |= p[1:] != p[:-1]
     if (differs & ~new[1:]).any():                          # two rows of one hash: order by the rows themselves
         again = np.lexsort(places[::-1])
