@@ -165,6 +165,31 @@ def q_portfolio_nav_returns(spark, sf_dir):
     return m(spark, sf_dir).nav_returns.select("instrument_id", "field", "date", "source", dbl("value"))
 
 
+ANCHOR = dt.date(1996, 1, 1)      # a day inside the ledger: the queries below compute only what follows it
+
+
+@register("holdings_since", """
+    SELECT pf_id, instrument_id, date, ROUND(CAST(units AS DOUBLE), 5) AS units,
+           ROUND(CAST(close_usd AS DOUBLE), 5) AS close_usd FROM v_holdings WHERE date >= DATE '1996-01-01'""")
+def q_holdings_since(spark, sf_dir):
+    from marketframe.plans.holdings import holdings_since, last_closes
+    md = m(spark, sf_dir)
+    before = last_closes(md.holdings.where(F.col("date") < F.lit(ANCHOR)))
+    h = holdings_since(ANCHOR, before, _combined(md), md.ts_usd, md.trading_days)
+    return h.select("pf_id", "instrument_id", "date", dbl("units"), dbl("close_usd"))
+
+
+@register("nav_returns_since", """
+    SELECT instrument_id, field, date, source, CAST(value AS DOUBLE) AS value FROM v_nav_returns WHERE date >= DATE '1996-01-01'""")
+def q_nav_returns_since(spark, sf_dir):
+    from marketframe.plans.nav import agg_external_flows, agg_nav, last_navs, nav_returns_since
+    md = m(spark, sf_dir)
+    nav = agg_nav(md.holdings)
+    before = last_navs(nav.where(F.col("date") < F.lit(ANCHOR)))
+    r = nav_returns_since(nav.where(F.col("date") >= F.lit(ANCHOR)), agg_external_flows(md.activity), before)
+    return r.select("instrument_id", "field", "date", "source", dbl("value"))
+
+
 @register("refresh_portfolios", """
     SELECT instrument_id, field, date, source, CAST(value AS DOUBLE) AS value FROM v_refreshed""")
 def q_refresh_portfolios(spark, sf_dir):

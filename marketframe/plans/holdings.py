@@ -3,6 +3,7 @@ C6 portfolio_holdings."""
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
@@ -12,6 +13,7 @@ from marketframe import schemas as S
 from marketframe.functions.expressions import expr_cast_date
 
 KEY = ["pf_id", "instrument_id"]
+HOLDING = [*KEY, "date", "units", "close_usd"]
 
 
 def agg_activity_daily(activity: DataFrame) -> DataFrame:
@@ -117,12 +119,43 @@ def portfolio_holdings(activity: DataFrame, ts_usd: DataFrame, units: DataFrame,
     """
     combined = combined if combined is not None else combined_activity(activity, units)
     days = days if days is not None else trading_days(ts_usd, combined, ratio)
+    held = _held(combined, days, eps, long_only)
+    return _with_closes(held, ts_usd).select(*HOLDING)
+
+
+def _held(combined: DataFrame, days: DataFrame, eps, long_only: bool) -> DataFrame:
+    """Units of every balance above ``eps`` on each of its trading days."""
     w = Window.partitionBy(*KEY).orderBy("date")
     balances = combined.select(*KEY, F.col("date").alias("from_date"), F.sum("units").over(w).alias("units"), F.lead("date").over(w).alias("to_date"))
     size = F.col("units") if long_only else F.abs(F.col("units"))
-    held = _on_days(balances.where(size > F.lit(Decimal(str(eps)))), days)
+    return _on_days(balances.where(size > F.lit(Decimal(str(eps)))), days)
+
+
+def _with_closes(held: DataFrame, ts_usd: DataFrame) -> DataFrame:
     prices = ts_usd.where(F.col("field") == "close").select("instrument_id", "date", F.col("value").alias("price"))
-    priced = held.join(prices, ["instrument_id", "date"], "left")
     fill = Window.partitionBy(*KEY).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return priced.select("pf_id", "instrument_id", "date", "units",
-                         F.last("price", ignorenulls=True).over(fill).alias("close_usd"))
+    return held.join(prices, ["instrument_id", "date"], "left").withColumn("close_usd", F.last("price", ignorenulls=True).over(fill))
+
+
+def last_closes(holdings: DataFrame) -> DataFrame:
+    """The filled close of the last holding row of each portfolio and instrument: pf_id, instrument_id, date, close_usd."""
+    return (holdings.groupBy(*KEY).agg(F.max(F.struct("date", "close_usd")).alias("r"))
+            .select(*KEY, F.col("r.date").alias("date"), F.col("r.close_usd").alias("close_usd")))
+
+
+def holdings_since(start: dt.date, before: DataFrame, combined: DataFrame, ts_usd: DataFrame, days: DataFrame,
+                   eps=S.HOLDING_EPS, long_only: bool = True) -> DataFrame:
+    """C6 from ``start`` on, equal to the rows that :func:`portfolio_holdings` has there.
+
+    What lies before ``start`` comes in as state: the ledger as one opening balance a pair (an aggregate without a
+    window) and prices as the last filled close of each pair (``before``, as by :func:`last_closes`).  Prices and
+    trading days before ``start`` are not read; the window and the explode see the later ones alone.
+    """
+    units = combined.schema["units"].dataType
+    opening = (combined.where(F.col("date") < F.lit(start)).groupBy(*KEY).agg(F.sum("units").cast(units).alias("units"))
+               .withColumn("date", F.lit(start - dt.timedelta(days=1))))
+    later = combined.where(F.col("date") >= F.lit(start)).select(*KEY, "units", "date")
+    held = _held(opening.unionByName(later), days.where(F.col("date") >= F.lit(start)), eps, long_only)
+    filled = _with_closes(held, ts_usd.where(F.col("date") >= F.lit(start)))
+    carried = before.select(*KEY, F.col("close_usd").alias("_carried"))
+    return filled.join(carried, KEY, "left").withColumn("close_usd", F.coalesce("close_usd", "_carried")).select(*HOLDING)

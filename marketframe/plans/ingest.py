@@ -97,7 +97,8 @@ def daily_run(model, vendor: DataFrame, as_of: dt.date, root: str, window_days:
     Each group of the schedule is pulled with its own fields and window; currencies are
     inverted into pipettes and bring USD rows.  Observations, and on later runs the USD
     series, are upserted: only the field-years that have new or other rows are written, so a
-    second run of the same day writes none of them.  A job that writes the same parts meanwhile ends one
+    second run of the same day writes none of them.  Portfolios are computed from the first changed close, ledger row or
+    trading day on (``plans.refresh``), in full only where the stored state was not made from the stored series.  A job that writes the same parts meanwhile ends one
     of the two with :class:`~marketframe.sources.sinks.CommitConflict`.  Intermediate tables are deleted at the end, and
     data that only commits before the last ten name.  Returns the published DataFrames by name.
     """
@@ -115,14 +116,14 @@ def _run_day(model, vendor: DataFrame, as_of: dt.date, root: str, window_days: i
 
     from marketframe.operators.canonical import canonical_obs
     from marketframe.plans import fx, usd
-    from marketframe.plans.holdings import combined_activity, portfolio_holdings, trading_days
-    from marketframe.plans.nav import portfolio_nav_returns
+    from marketframe.plans.refresh import first_price_change, is_anchored, refresh_stored
     from marketframe.plans.schedule import stale_report, to_update
     from marketframe.sources.sinks import (commit, materialize, publish_snapshot, publish_tables, read_manifest, read_table,
-                                           stage_append, stage_snapshot, stage_upsert, upsert_table)
+                                           stage_append, stage_snapshot, stage_upsert)
 
     spark = vendor.sparkSession
-    known = read_manifest(spark, root)["tables"]
+    manifest = read_manifest(spark, root)
+    known = manifest["tables"]
     if "observations" not in known:
         publish_tables({"observations": model.observations, "updates": model.updates,
                         "ingest_failures": spark.createDataFrame([], S.INGEST_FAILURES)}, root, {"observations": BY_FIELD_YEAR})
@@ -153,23 +154,15 @@ def _run_day(model, vendor: DataFrame, as_of: dt.date, root: str, window_days: i
                                              canonical_obs(fx.fx_observations(recent, model.units), model.sources), model.units, changed_since)
         uts = materialize(uts, "units_ts_refresh")
         start = uts.select(start).first()[0]
-        fresh = usd.time_series_usd(canonical_obs(obs.where(F.col("date") >= F.lit(start)), model.sources), model.instruments, model.fields,
-                                    model.instrument_units, model.units, uts.where(F.col("date") >= F.lit(start)))
+        fresh = materialize(usd.time_series_usd(canonical_obs(obs.where(F.col("date") >= F.lit(start)), model.sources), model.instruments, model.fields,
+                                                model.instrument_units, model.units, uts.where(F.col("date") >= F.lit(start))), "usd_refresh")
+        anchored, prices_since = is_anchored(manifest), first_price_change(fresh, read_table(spark, root, "time_series_usd"))
         commit(spark, root, [stage_snapshot(uts, root, "units_ts"), stage_upsert(fresh, root, "time_series_usd", S.CANONICAL_KEY, BY_FIELD_YEAR)])
     else:
         uts = materialize(fx.units_ts(canonical_obs(fx.fx_observations(obs, model.units), model.sources), model.units), "units_ts_refresh")
         full = usd.time_series_usd(canonical_obs(obs, model.sources), model.instruments, model.fields, model.instrument_units, model.units, uts)
         publish_tables({"units_ts": uts, "time_series_usd": full}, root, {"time_series_usd": BY_FIELD_YEAR})
-    uts, ts = read_table(spark, root, "units_ts"), read_table(spark, root, "time_series_usd")
-
-    # portfolios: NAV rows into the observations, then their USD rows
-    combined = materialize(combined_activity(model.activity, model.units), "combined")
-    days = materialize(trading_days(ts, combined), "trading_days")
-    nav = materialize(portfolio_nav_returns(portfolio_holdings(model.activity, ts, model.units, combined=combined, days=days), model.activity), "nav")
-    upsert_table(nav, root, "observations", S.OBS_KEY, BY_FIELD_YEAR)
-    owners = model.activity.select(F.col("pf_id").alias("instrument_id")).distinct()
-    of_portfolios = read_table(spark, root, "observations").join(owners, "instrument_id", "left_semi")
-    fresh = usd.time_series_usd(canonical_obs(of_portfolios, model.sources), model.instruments, model.fields, model.instrument_units, model.units, uts)
-    upsert_table(fresh, root, "time_series_usd", S.CANONICAL_KEY, BY_FIELD_YEAR)
+        anchored, prices_since = False, None
+    refresh_stored(model, root, read_table(spark, root, "units_ts"), prices_since, anchored)
     report = stale_report(read_table(spark, root, "updates"), model.instruments, as_of - dt.timedelta(days=stale_days), as_of)
     publish_snapshot(report, root, "stale_report")

@@ -58,16 +58,38 @@ def portfolio_nav_returns(holdings: DataFrame, activity: DataFrame) -> DataFrame
     of source ``system``, rounded to 5 places; null values are dropped."""
     nav = agg_nav(holdings)
     flows = join_asof_forward(agg_external_flows(activity), nav)
-    r = lag_return(nav, flows)
-    long = r.select(F.col("pf_id").alias("instrument_id"), "date",
-                    F.explode(F.array(F.struct(F.lit("close").alias("field"),
-                                               expr_round_money(F.col("nav")).alias("value")),
-                                      F.struct(F.lit("totret").alias("field"),
-                                               expr_round_money(F.col("totret")).alias("value")))).alias("r"))
+    return _nav_rows(lag_return(nav, flows))
+
+
+def _nav_rows(returns: DataFrame) -> DataFrame:
+    """NAV and return of each portfolio and date as observation rows."""
+    long = returns.select(F.col("pf_id").alias("instrument_id"), "date",
+                          F.explode(F.array(F.struct(F.lit("close").alias("field"),
+                                                     expr_round_money(F.col("nav")).alias("value")),
+                                            F.struct(F.lit("totret").alias("field"),
+                                                     expr_round_money(F.col("totret")).alias("value")))).alias("r"))
     return (long.select("instrument_id", "r.field", "date", F.lit("system").alias("source"), "r.value")
             .where(F.col("value").isNotNull()))
 
 
+def last_navs(nav: DataFrame) -> DataFrame:
+    """The last NAV row of each portfolio, a null NAV too: pf_id, date, nav."""
+    return (nav.groupBy("pf_id").agg(F.max(F.struct("date", "nav")).alias("r"))
+            .select("pf_id", F.col("r.date").alias("date"), F.col("r.nav").alias("nav")))
+
+
+def nav_returns_since(nav: DataFrame, flows: DataFrame, before: DataFrame) -> DataFrame:
+    """C7 for the NAV rows of ``nav``, given the last NAV row of each portfolio before them (``before``, :func:`last_navs`).
+
+    ``before`` gives the first return its divisor, and tells which flows have landed on a NAV date already:
+    those up to its date.  Later ones land in ``nav`` or nowhere yet, so the rows equal :func:`portfolio_nav_returns`.
+    """
+    anchor = before.select("pf_id", F.col("date").alias("_landed"))
+    open_flows = flows.join(anchor, "pf_id", "left").where(F.col("_landed").isNull() | (F.col("date") > F.col("_landed"))).drop("_landed")
+    chained = nav.withColumn("_new", F.lit(True)).unionByName(before.select("pf_id", "date", "nav", F.lit(False).alias("_new")))
+    return _nav_rows(lag_return(chained, join_asof_forward(open_flows, nav)).where("_new"))
+
+
 def refresh_portfolios(observations: DataFrame, holdings: DataFrame, activity: DataFrame) -> DataFrame:
     """Observations with the portfolio rows upserted (vendor corrections style)."""
     from marketframe.operators.writes import upsert_observations

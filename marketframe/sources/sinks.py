@@ -14,6 +14,7 @@ partitions was merged from; a commit that finds another folder there raises
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import uuid
@@ -78,7 +79,7 @@ class Staged:
     """Written folders of a table that the next commit is to name; ``whole``: they replace all others.
 
     ``merged_from``: the folder each part was merged from (None: there was none); ``version``: the version of
-    the table that the write was made from, where it was made from all of it.
+    the table that the write was made from, where it was made from all of it; ``gone``: parts that have no rows now.
     """
 
     table: str
@@ -88,6 +89,7 @@ class Staged:
     partition_by: list[str]
     merged_from: dict[str, str | None] = field(default_factory=dict)
     version: int | None = None
+    gone: set[str] = field(default_factory=set)
 
 
 def read_manifest(spark: SparkSession, root: str) -> dict:
@@ -107,12 +109,12 @@ def _next_manifest(manifest: dict, staged: list[Staged], applied: dict | None) -
         moved = [p for p, folder in s.merged_from.items() if old["parts"].get(p) != folder]
         if moved or s.version not in (None, old["version"]):
             raise CommitConflict(f"{s.table} was written by another commit meanwhile: {moved or 'the whole table'}")
-        if not (s.parts or s.whole) and old["version"]:      # nothing to change
+        if not (s.parts or s.gone or s.whole) and old["version"]:      # nothing to change
             versions[s.table] = old["version"]
             continue
         versions[s.table] = old["version"] + 1
         tables[s.table] = {"version": versions[s.table], "schema": s.schema, "partition_by": s.partition_by,
-                           "parts": s.parts if s.whole else old["parts"] | s.parts}
+                           "parts": s.parts if s.whole else {k: f for k, f in old["parts"].items() if k not in s.gone} | s.parts}
     return manifest | {"tables": tables, "applied": manifest["applied"] | (applied or {})}, versions
 
 
@@ -209,7 +211,7 @@ def stage_upsert(batch: DataFrame, root: str, table: str, key: list[str], partit
     The batch is written once, split as the table is; its folders name the partitions
     to read (a null partition value is a folder like any other).  Each in which the batch has a
     row that is not there as it is, is merged (the last batch row of a key wins) and written anew; the
-    others' folders stay as they are.  A table that isn't there yet starts with the batch.
+    others' folders stay as they are.  Values are cast to the table's types, and one that doesn't fit is an error.  A table that isn't there yet starts with the batch.
     """
     from marketframe.operators.writes import latest_per_key, upsert_observations
     spark = batch.sparkSession
@@ -217,6 +219,8 @@ def stage_upsert(batch: DataFrame, root: str, table: str, key: list[str], partit
     if seq_col in batch.columns:
         batch = latest_per_key(batch, key, seq_col, [c for c in columns if c not in key]).select(*columns)
     entry = read_manifest(spark, root)["tables"].get(table)
+    if entry:                                                # its files are read with the table's types
+        batch = batch.select(*[F.col(c.name).cast(c.dataType) for c in T.StructType.fromJson(json.loads(entry["schema"]))])
     landed = _write_parts(batch, _folder(root, table), entry["partition_by"] if entry else partition_by)
     if entry is None:
         return Staged(table, landed, True, batch.schema.json(), partition_by, version=0)
@@ -256,6 +260,37 @@ def upsert_table(batch: DataFrame, root: str, table: str, key: list[str], partit
                 raise
 
 
+BY_YEAR = ["year(date)"]
+
+
+def _years(entry: dict, first: int, last: int | None = None) -> set[str]:
+    """The parts of these years of a table split by ``BY_YEAR``."""
+    years = {k: int(k.split("=")[1]) for k in entry["parts"] if k.split("=")[1].isdigit()}
+    return {k for k, y in years.items() if first <= y and (last is None or y <= last)}
+
+
+def read_years(spark: SparkSession, root: str, table: str, first: int, last: int | None = None) -> DataFrame:
+    """The rows of these years of a published table split by ``BY_YEAR``; no other part is listed or opened."""
+    entry = read_manifest(spark, root)["tables"][table]
+    return _read_parts(spark, entry, _years(entry, first, last))
+
+
+def stage_since(rows: DataFrame, root: str, table: str, start: dt.date) -> Staged:
+    """Put ``rows`` in the place of all rows dated ``start`` or later of a table split by ``BY_YEAR``.
+
+    The year of ``start`` keeps its earlier rows, older years are not touched, later years without rows go.
+    A table that isn't there yet starts with the rows.
+    """
+    spark = rows.sparkSession
+    entry = read_manifest(spark, root)["tables"].get(table)
+    if entry is None:
+        return Staged(table, _write_parts(rows, _folder(root, table), BY_YEAR), True, rows.schema.json(), BY_YEAR, version=0)
+    kept = _read_parts(spark, entry, _years(entry, start.year, start.year)).where(F.col("date") < F.lit(start))
+    parts = _write_parts(kept.unionByName(rows.select(*kept.columns)), _folder(root, table), BY_YEAR)
+    old = _years(entry, start.year)
+    return Staged(table, parts, False, entry["schema"], BY_YEAR, {k: entry["parts"].get(k) for k in old | set(parts)}, gone=old - set(parts))
+
+
 def stage_append(rows: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> Staged:
     """Add rows to a table in folders of their own; nothing that is there is read or written."""
     folder, by = _folder(root, table), partition_by or []

@@ -62,6 +62,80 @@ def test_daily_run_second_run_is_incremental_and_stable(spark, model):
     assert _rows(second, cols) == a
 
 
+def _state_is_full(spark, model, root):
+    """The published portfolio state equals one computed in full from the published series."""
+    from marketframe.plans.holdings import combined_activity, portfolio_holdings, trading_days
+    from marketframe.plans.nav import agg_nav, portfolio_nav_returns
+    from marketframe.plans.refresh import is_anchored
+    from marketframe.sources.sinks import read_manifest, read_table
+    assert is_anchored(read_manifest(spark, root))
+    ts = read_table(spark, root, "time_series_usd")
+    combined = combined_activity(model.activity, model.units)
+    days = trading_days(ts, combined)
+    full = portfolio_holdings(model.activity, ts, model.units, combined=combined, days=days)
+    stored = read_table(spark, root, "portfolio_holdings")
+    assert _rows(read_table(spark, root, "portfolio_days"), ["date"]) == _rows(days, ["date"])
+    cols = ["pf_id", "instrument_id", "date", "units", "close_usd"]
+    assert _rows(stored, cols) == _rows(full, cols)
+    assert _rows(read_table(spark, root, "portfolio_nav"), ["pf_id", "date", "nav"]) == _rows(agg_nav(full), ["pf_id", "date", "nav"])
+    last = {}
+    for r in full.collect():
+        key = (r.pf_id, r.instrument_id, r.date.year)
+        last[key] = max(last.get(key, r.date), r.date)
+    assert {(r.pf_id, r.instrument_id, r.date.year): r.date for r in read_table(spark, root, "portfolio_positions").collect()} == last
+    key = ["instrument_id", "field", "date", "source", "value"]
+    wanted = set(_rows(portfolio_nav_returns(full, model.activity), key))
+    assert wanted and wanted <= set(_rows(read_table(spark, root, "observations").where("source = 'system'"), key))
+
+
+def test_portfolios_are_refreshed_from_the_first_changed_day(spark, model):
+    import copy
+    import os
+    import uuid
+
+    from marketframe.plans.ingest import daily_run
+    from marketframe.session import checkpoint_dir
+    from marketframe.sources.sinks import commit, read_manifest, read_table, stage_upsert
+    root = os.path.join(checkpoint_dir(spark), "tests", f"daily-{uuid.uuid4().hex}")
+    vendor = model.vendor_prices
+    as_of = vendor.select(F.max("date")).first()[0]
+    state = ["portfolio_holdings", "portfolio_positions", "portfolio_nav", "portfolio_ledger"]
+    tables = lambda: read_manifest(spark, root)["tables"]
+    year = lambda key: int(key.split("=")[-1])
+    daily_run(model, vendor, as_of, root)
+    _state_is_full(spark, model, root)
+    before = tables()
+
+    daily_run(model, vendor, as_of, root)                    # nothing new: no state is written
+    assert {t: tables()[t] for t in [*state, "portfolio_days"]} == {t: before[t] for t in [*state, "portfolio_days"]}
+
+    # one close of the pull window is corrected
+    window = as_of - dt.timedelta(days=20)
+    held = read_table(spark, root, "portfolio_holdings").select("instrument_id").distinct()
+    tickers = model.identifiers.where("source = 'YAHOO'").join(held, "instrument_id", "left_semi").select(F.col("ext_id").alias("ticker"))
+    hit = vendor.where((F.col("date") >= F.lit(window)) & (F.col("date") < F.lit(as_of))).join(tickers, "ticker", "left_semi").orderBy("date", "ticker").first()
+    fixed = (F.col("ticker") == hit.ticker) & (F.col("date") == F.lit(hit.date))
+    corrected = vendor.withColumn("close", F.when(fixed, F.col("close") * 2).otherwise(F.col("close"))).withColumn(
+        "adj_close", F.when(fixed, F.col("adj_close") * 2).otherwise(F.col("adj_close")))
+    # and a trade leaves the ledger: the years before it stay
+    middle = model.activity.select(F.percentile_approx("ts", 0.5)).first()[0]
+    later = copy.copy(model)
+    trade = model.activity.where((F.col("type") == "open") & (F.col("ts") >= F.lit(middle))).orderBy("ts", "pf_id", "instrument_id").first()
+    later.activity = model.activity.where(~((F.col("ts") == F.lit(trade.ts)) & (F.col("pf_id") == trade.pf_id) & (F.col("type") == "open")))
+    daily_run(later, corrected, as_of, root)
+    _state_is_full(spark, later, root)
+    for t in state:
+        old, new = before[t]["parts"], tables()[t]["parts"]
+        assert all(new[k] == f for k, f in old.items() if year(k) < trade.ts.year), t
+        assert any(new.get(k) != f for k, f in old.items() if year(k) >= trade.ts.year), t
+
+    # another job writes the series: the state is no longer its own, and is made in full
+    commit(spark, root, [stage_upsert(read_table(spark, root, "time_series_usd").where("field = 'close'").limit(1).withColumn("value", F.col("value") + 1),
+                                      root, "time_series_usd", ["instrument_id", "field", "date"], ["field", "year(date)"])])
+    daily_run(later, corrected, as_of, root)
+    _state_is_full(spark, later, root)
+
+
 class Small:
     """One currency and two equities; one equity is scheduled for closes alone."""
 
