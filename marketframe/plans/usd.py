@@ -107,16 +107,3 @@ def time_series_usd_incremental(current: DataFrame, canonical_since: DataFrame,
                             units, units_ts.where(F.col("date") >= start))
     kept = current.where(F.col("date") < start).select(*fresh.columns)
     return kept.unionByName(fresh)
-
-
-def time_series_usd_for_instruments(current: DataFrame, canonical: DataFrame, changed: DataFrame,
-                                    instruments: DataFrame, fields: DataFrame, instrument_units: DataFrame,
-                                    units: DataFrame, units_ts: DataFrame) -> DataFrame:
-    """C4 refresh scoped to the instruments in ``changed`` (one column of ids),
-    e.g. the portfolios after their NAV rows are upserted; the FX series is
-    unchanged, so every other instrument's rows are kept."""
-    ids = changed.select(F.col(changed.columns[0]).alias("instrument_id")).distinct()
-    fresh = time_series_usd(canonical.join(ids, "instrument_id", "left_semi"), instruments, fields,
-                            instrument_units, units, units_ts)
-    kept = current.join(ids, "instrument_id", "left_anti").select(*fresh.columns)
-    return kept.unionByName(fresh)
