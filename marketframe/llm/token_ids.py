@@ -2,7 +2,7 @@
 
 A BPE tokenizer first cuts a text into pieces that never merge.  ``ChunkEncoder``
 cuts a text at boundaries which such a cut always respects, has the library
-encode each distinct chunk once, and joins the ids.  Texts outside the alphabet
+encode each distinct run once, and joins the ids.  Texts outside the alphabet
 for which the boundaries are certain, and texts that hold the string of an added token,
 go to the library whole (Latin-1 text is in NFC already), so ids always equal ``Tokenizer.encode(text, add_special_tokens=False)``.
 """
@@ -13,6 +13,7 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -37,20 +38,35 @@ def _byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = _byte_letters()
+_SPACE = BYTE_LETTERS[ord(" ")]
+
+
+class _Memo(dict):
+    """Results of a function by its text, at most ``limit`` of them and none of long texts."""
+
+    def __init__(self, function: Callable[[str], bytes], limit: int, longest: int = 64):
+        self.function, self.limit, self.longest = function, limit, longest
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.function(text)
+        if len(text) <= self.longest:
+            if len(self) >= self.limit:
+                self.clear()
+            self[text] = ids
+        return ids
 
 
 class ChunkEncoder:
     """Little-endian unsigned 32-bit ids of texts; one per Python worker and vocabulary.
 
-    ``cache_chunks`` bounds the memory of the cache (about 150 bytes a chunk):
+    ``cache_runs`` bounds the memory of the cache (about 150 bytes a run):
     when it is full it starts afresh; ids do not depend on it.
     """
 
-    def __init__(self, path: str, cache_chunks: int = 800_000):
+    def __init__(self, path: str, cache_runs: int = 800_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-        self.cache_chunks = cache_chunks
+        self.runs = _Memo(self._run_ids, cache_runs)
         spec = json.loads(self.tokenizer.to_str())
         self.added = [a["content"] for a in spec["added_tokens"]]
         pre, norm, model = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}, spec["model"]
@@ -66,20 +82,19 @@ class ChunkEncoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Have the library encode the chunks not yet held; plain letter runs go straight to its model."""
-        new = [c for c in chunks if c not in self.cache]
-        if len(self.cache) + len(new) > self.cache_chunks:
-            self.cache.clear()
-            new = chunks
-        model, cache, rest = self.tokenizer.model, self.cache, []
-        for c in new:
-            if _PLAIN.fullmatch(c):
-                mapped = c.encode().decode("latin-1").translate(BYTE_LETTERS)
-                cache[c] = array("I", [t.id for t in model.tokenize(mapped)]).tobytes()
-            else:
-                rest.append(c)
-        cache.update(zip(rest, self._whole(rest)))
+    def _run_ids(self, run: str) -> bytes:
+        """A letter run, with or without a space before it, goes straight to the library's model."""
+        if not _PLAIN.fullmatch(run):
+            return self._whole([run])[0]
+        mapped = run.replace(" ", _SPACE) if run.isascii() else run.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
+
+    def _certain(self, text: str) -> bool:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return not _ODD.search(text) and not any(a in text for a in self.added)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as bytes (null: empty)."""
@@ -88,22 +103,11 @@ class ChunkEncoder:
         for i, text in enumerate(texts):
             if not text:
                 out[i] = b""
-                continue
-            if self.pattern is not None:
-                try:
-                    text.encode("latin-1")
-                    certain = not _ODD.search(text) and not any(a in text for a in self.added)
-                except UnicodeEncodeError:
-                    certain = False
-                if certain:
-                    chunks = self.pattern.findall(text.lower() if self.lower else text)
-                    try:
-                        out[i] = b"".join([self.cache[c] for c in chunks])
-                    except KeyError:
-                        self._learn(list(dict.fromkeys(chunks)))
-                        out[i] = b"".join([self.cache[c] for c in chunks])
-                    continue
-            whole.append(i)
+            elif self.pattern is not None and self._certain(text):
+                runs = self.pattern.findall(text.lower() if self.lower else text)
+                out[i] = b"".join(map(self.runs.__getitem__, runs))
+            else:
+                whole.append(i)
         for k in range(0, len(whole), 64):
             part = whole[k: k + 64]
             for i, ids in zip(part, self._whole([texts[i] for i in part])):
