@@ -187,6 +187,35 @@ def q_join_effective_range(spark, sf_dir):
     return j.select("instrument_id", "field", "date", "unit", dbl("value"))
 
 
+# a month's first close holds for 35 days: at the start of a month two may hold, which is an error row
+_QUOTES = """SELECT instrument_id, MIN(date) AS start_date, CAST(MIN(date) + INTERVAL 35 DAY AS DATE) AS end_date,
+    CAST(ARG_MIN(value, date) AS DOUBLE) AS quote FROM v_canonical WHERE field = 'close'
+    GROUP BY instrument_id, DATE_TRUNC('month', date)"""
+
+
+@register("attach_effective_range", """
+    SELECT pf_id, position_id, type, ts, instrument_id, units, CASE WHEN n = 1 THEN quote END AS quote,
+           CASE WHEN n = 1 THEN quoted END AS quoted, CASE WHEN n > 1 THEN n || ' ranges are valid on this day' END AS range_error
+    FROM (SELECT t.pf_id, t.position_id, t.type, t.ts, t.instrument_id, ROUND(CAST(t.units AS DOUBLE), 4) AS units,
+                 (SELECT COUNT(*) FROM q WHERE q.instrument_id = t.instrument_id
+                  AND CAST(t.ts AS DATE) >= q.start_date AND CAST(t.ts AS DATE) < q.end_date) AS n,
+                 (SELECT MIN(quote) FROM q WHERE q.instrument_id = t.instrument_id
+                  AND CAST(t.ts AS DATE) >= q.start_date AND CAST(t.ts AS DATE) < q.end_date) AS quote,
+                 (SELECT MIN(start_date) FROM q WHERE q.instrument_id = t.instrument_id
+                  AND CAST(t.ts AS DATE) >= q.start_date AND CAST(t.ts AS DATE) < q.end_date) AS quoted
+          FROM m_activity t) WHERE n > 0""".replace("FROM q WHERE", f"FROM ({_QUOTES}) q WHERE"))
+def q_attach_effective_range(spark, sf_dir):
+    from marketframe.plans.usd import attach_effective_range
+    md = m(spark, sf_dir)
+    quotes = (md.canonical.where(F.col("field") == "close").groupBy("instrument_id", F.trunc("date", "month"))
+              .agg(F.min("date").alias("quoted"), F.min_by("value", "date").alias("quote"))
+              .select("instrument_id", "quoted", F.date_add("quoted", 35).alias("until"), "quote"))
+    trades = md.activity.select("pf_id", "position_id", "type", "ts", "instrument_id", dbl("units", 4))
+    j = attach_effective_range(trades, quotes, date_col="ts", start_col="quoted", end_col="until")
+    return j.select("pf_id", "position_id", "type", "ts", "instrument_id", "units", F.col("quote").cast("double").alias("quote"),
+                    "quoted", "range_error")
+
+
 @register("join_semi", """
     SELECT instrument_id, asset_class FROM m_instruments i
     WHERE EXISTS (SELECT 1 FROM m_observations o WHERE o.instrument_id = i.instrument_id)""")

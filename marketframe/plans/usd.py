@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,60 @@ def join_effective_range(facts: DataFrame, ranges: DataFrame, key: str = "instru
     return facts.join(r, cond).drop("_range_key")
 
 
+def _range_states(probes: DataFrame, r: DataFrame, payload: list[str], start_col: str, end_col: str) -> DataFrame:
+    """For each key and day on which a range starts or ends, or that is probed: how many ranges are valid
+    from then on (``n``) and, of a single one, its columns (``row``).
+
+    Running sums over the starts (+) and ends (-): of ones they count the valid ranges, of range numbers they
+    name the range wherever the count is one.
+    """
+    edges = (r.select("_k", F.col(start_col).alias("_at"), F.lit(1).alias("_n"), F.col("_id"))
+             .unionByName(r.select("_k", F.col(end_col).alias("_at"), F.lit(-1).alias("_n"), (-F.col("_id")).alias("_id")))
+             .unionByName(probes.select("_k", "_at", F.lit(0).alias("_n"), F.lit(0).alias("_id"))))
+    upto = Window.partitionBy("_k").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    states = (edges.groupBy("_k", "_at").agg(F.sum("_n").alias("_n"), F.sum("_id").alias("_id"))
+              .select("_k", "_at", F.sum("_n").over(upto).alias("_n"), F.sum("_id").over(upto).alias("_id")))
+    single = F.when(F.col("_n") == 1, F.col("_id"))
+    rows = r.select(F.col("_k").alias("_rk"), F.col("_id").cast("long").alias("_rid"), F.struct(*payload).alias("_row"))
+    return (states.join(rows, (F.col("_k") == F.col("_rk")) & (single == F.col("_rid")), "left")
+            .select("_k", "_at", F.struct(F.col("_n").alias("n"), F.col("_row").alias("row")).alias("_state")))
+
+
+def attach_effective_range(facts: DataFrame, ranges: DataFrame, key: str = "instrument_id", date_col: str = "date",
+                           start_col: str = "start_date", end_col: str = "end_date", bucket: str = "year") -> DataFrame:
+    """J8 for many ranges per key: the range valid on each fact's date, ``start <= date < end``, in one ordered pass.
+
+    A join with the range as a residual compares each fact with all ranges of its key.  Here the ranges are first cut
+    into spans in which the same ranges are valid; then facts and span starts are read in order of the day, and each
+    fact takes the last span before it: the cost grows with facts plus ranges.  The pass is split by key and ``bucket``
+    (``year``, ``quarter``, ``month`` or ``week``), so a key with a third of all facts is many tasks' work; the span that is
+    valid as a bucket begins is carried into it.
+
+    Facts in one range get its columns; facts in several stay one row with null range columns and a
+    ``range_error``; facts in none, or with a null key or date, drop out.  Empty or reversed ranges and those with a
+    null bound match nothing.  Names of range columns must differ from those of facts.
+    """
+    payload = [c for c in ranges.columns if c != key]
+    clash = (set(payload) | {"range_error"}) & set(facts.columns)
+    if clash:
+        raise ValueError(f"columns of facts and ranges clash: {sorted(clash)}")
+    numbered = F.row_number().over(Window.partitionBy(key).orderBy(start_col, end_col))     # equal ranges are never single
+    r = (ranges.where(F.col(key).isNotNull() & (F.col(start_col) < F.col(end_col)))
+         .select("*", F.col(key).alias("_k"), numbered.alias("_id")))
+    f = facts.where(F.col(key).isNotNull() & F.col(date_col).isNotNull())
+    day, begin = F.col(date_col).cast("date"), lambda c: F.trunc(c, bucket)
+    probes = f.select(F.col(key).alias("_k"), begin(day).alias("_at")).distinct()
+    spans = _range_states(probes, r, payload, start_col, end_col)
+    timeline = (spans.select("_k", begin("_at").alias("_b"), "_at", F.lit(0).alias("_kind"), "_state", F.lit(None).alias("_fact"))
+                .unionByName(f.select(F.col(key).alias("_k"), begin(day).alias("_b"), day.alias("_at"), F.lit(1).alias("_kind"),
+                                      F.lit(None).alias("_state"), F.struct(*facts.columns).alias("_fact"))))
+    upto = Window.partitionBy("_k", "_b").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = timeline.withColumn("_state", F.last("_state", ignorenulls=True).over(upto)).where((F.col("_kind") == 1) & (F.col("_state.n") > 0))
+    many = F.when(F.col("_state.n") > 1, F.concat(F.col("_state.n").cast("string"), F.lit(" ranges are valid on this day")))
+    return found.select(*[F.col("_fact")[c].alias(c) for c in facts.columns],
+                        *[F.col("_state.row")[c].alias(c) for c in payload], many.alias("range_error"))
+
+
 def _usd_frame(canonical, instruments, fields, instrument_units, units_ts):
     inst = instruments.select("instrument_id", "internal_ticker", "asset_class")
     fld = fields.select(F.col("name").alias("field"), "fx_conversion")

@@ -214,3 +214,36 @@ def test_pivot_pages_hold_every_ticker_and_value(spark):
     assert sorted(back) == sorted(rows)
     assert all((r.ticker_2 is None) == (r.page == 1) for r in wide)
     assert pivot_history_pages(hist, tickers.limit(0), ["close"], 4).count() == 0
+
+
+def test_many_ranges_a_key_attach_as_a_range_join_does(spark):
+    """Random ranges (nested, equal, open, empty, reversed) against every pair compared in plain Python."""
+    import random
+    from marketframe.plans.usd import attach_effective_range
+    rnd, day0 = random.Random(3), dt.date(2019, 11, 1)
+    day = lambda: day0 + dt.timedelta(days=rnd.randrange(500))
+    ranges = [(k, s, s + dt.timedelta(days=rnd.randrange(-2, 9)), i) for k in "ABC" for i in range(80) for s in [day()]]
+    ranges += [ranges[0][:3] + (900,), ("A", day0, dt.date(9999, 12, 31), 901), (None, day0, day(), 902), ("B", None, day(), 903), ("C", day(), None, 904)]
+    facts = [(k, day(), f"{k}{i}") for k in "ABCD" for i in range(150)] + [(None, day0, "x"), ("A", None, "y")] * 2
+    facts += facts[:3]
+    got = attach_effective_range(spark.createDataFrame(facts, "instrument_id string, date date, note string"),
+                                 spark.createDataFrame(ranges, "instrument_id string, start_date date, end_date date, n int"), bucket="month")
+    want = []
+    for k, at, note in facts:
+        hits = [n for rk, s, e, n in ranges if k and at and rk == k and s and e and s <= at < e]
+        if hits:
+            want.append((note, hits[0] if len(hits) == 1 else None, None if len(hits) == 1 else f"{len(hits)} ranges are valid on this day"))
+    key = lambda t: tuple(map(str, t))
+    assert sorted(((r.note, r.n, r.range_error) for r in got.collect()), key=key) == sorted(want, key=key)
+    assert {w[2] is None for w in want} == {True, False}
+
+
+def test_attach_refuses_clashing_columns_and_takes_empty_tables(spark):
+    import pytest
+    from marketframe.plans.usd import attach_effective_range
+    facts = spark.createDataFrame([("A", d("2020-01-01"))], "instrument_id string, date date")
+    none = spark.createDataFrame([], "instrument_id string, start_date date, end_date date, unit string")
+    assert attach_effective_range(facts, none).collect() == []
+    assert attach_effective_range(facts.limit(0), none).collect() == []
+    with pytest.raises(ValueError, match="date"):
+        attach_effective_range(facts, none.withColumnRenamed("unit", "date"))
