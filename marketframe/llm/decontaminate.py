@@ -103,7 +103,7 @@ def _without(text: bytes, spans: list[tuple[int, int]]) -> str:
     return b"".join([*kept, text[at:]]).decode()
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, clean: bool = False, block_bytes: int = 8 << 20, shard_bytes: int = 8 << 20) -> DataFrame:
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, clean: bool = False, block_bytes: int = 8 << 20, shard_bytes: int = 2 << 20) -> DataFrame:
     """Find every passage of ``benchmark`` (item_id, text) in every whole text of ``docs``.
 
     Words are runs of digits, ASCII letters and non-ASCII characters, A-Z lower-cased,
