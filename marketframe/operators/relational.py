@@ -144,13 +144,17 @@ def join_full_outer(spine: DataFrame, facts: DataFrame, keys: list, fill: dict |
 
 
 def join_semi(df: DataFrame, members: DataFrame, on) -> DataFrame:
-    """Rows with a match."""
-    return df.join(members, on, "left_semi")
+    """Rows with a match (of ``members`` the keys alone are read, each once)."""
+    return df.join(distinct_rows(members, _columns(on)), on, "left_semi")
 
 
 def join_anti(df: DataFrame, members: DataFrame, on) -> DataFrame:
-    """Rows without a match."""
-    return df.join(members, on, "left_anti")
+    """Rows without a match (of ``members`` the keys alone are read, each once)."""
+    return df.join(distinct_rows(members, _columns(on)), on, "left_anti")
+
+
+def _columns(on) -> list:
+    return [on] if isinstance(on, str) else list(on)
 
 
 def join_correlated_scalar(instruments: DataFrame, units: DataFrame, n: int = 3) -> DataFrame:

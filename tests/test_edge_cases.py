@@ -247,3 +247,14 @@ def test_attach_refuses_clashing_columns_and_takes_empty_tables(spark):
     assert attach_effective_range(facts.limit(0), none).collect() == []
     with pytest.raises(ValueError, match="date"):
         attach_effective_range(facts, none.withColumnRenamed("unit", "date"))
+
+
+def test_semi_and_anti_join_read_each_member_key_once(spark):
+    from marketframe.operators import relational as R
+    left = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "k string")
+    members = spark.createDataFrame([("A", i) for i in range(50)] + [(None, 1)], "k string, v int")
+    assert sorted(r.k for r in R.join_semi(left, members, "k").collect()) == ["A", "A"]
+    assert sorted(str(r.k) for r in R.join_anti(left, members, "k").collect()) == ["B", "None"]
+    for join in (R.join_semi, R.join_anti):
+        plan = join(left, members, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate [k" in plan       # the join's side holds keys, not rows
