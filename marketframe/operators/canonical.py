@@ -27,9 +27,11 @@ def canonical_obs(observations: DataFrame, sources: DataFrame) -> DataFrame:
     Observations with a source missing from ``sources`` are dropped (inner join).
     Equal priorities are broken by source name.  ``min_by(value, rank)`` with
     a single long rank runs as a hash aggregate with map-side combining: no
-    sort of the observations, one shuffle on the key.
+    sort of the observations, one shuffle on the key.  The ranks, a row per source,
+    are broadcast: shuffled by source, all observations would meet in as many tasks
+    as there are sources.
     """
-    ranks = source_rank(sources)
+    ranks = F.broadcast(source_rank(sources))
     return (observations.join(ranks, "source")
             .groupBy(*CANONICAL_KEY)
             .agg(F.min_by("value", "rank").alias("value")))

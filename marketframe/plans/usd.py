@@ -82,7 +82,8 @@ def attach_effective_range(facts: DataFrame, ranges: DataFrame, key: str = "inst
 
 def _usd_frame(canonical, instruments, fields, instrument_units, units_ts):
     inst = instruments.select("instrument_id", "internal_ticker", "asset_class")
-    fld = fields.select(F.col("name").alias("field"), "fx_conversion")
+    # a row per field: shuffled by field, all observations would meet in as many tasks as there are fields
+    fld = F.broadcast(fields.select(F.col("name").alias("field"), "fx_conversion"))
     iu = instrument_units.select("instrument_id", F.col("unit").alias("code"), "start_date", "end_date")
     o = canonical.join(inst, "instrument_id").join(fld, "field")
     o = join_effective_range(o, iu)

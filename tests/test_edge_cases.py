@@ -258,3 +258,19 @@ def test_semi_and_anti_join_read_each_member_key_once(spark):
     for join in (R.join_semi, R.join_anti):
         plan = join(left, members, ["k"])._jdf.queryExecution().optimizedPlan().toString()
         assert "Aggregate [k" in plan       # the join's side holds keys, not rows
+
+
+def test_rows_are_not_shuffled_by_source_or_field(spark):
+    from marketframe.operators.canonical import canonical_obs
+    from marketframe.plans.usd import time_series_usd_dated
+    obs = spark.createDataFrame([("I", "close", d("2020-01-01"), "A", Decimal("2"))], S.OBSERVATIONS)
+    sources = spark.createDataFrame([("A", 1)], S.SOURCES)      # of a size the planner doesn't know
+    canonical = canonical_obs(obs, sources)
+    assert "hashpartitioning(source" not in canonical._jdf.queryExecution().executedPlan().toString()
+    fields = spark.createDataFrame([("close", "value")], "name string, fx_conversion string")
+    inst = spark.createDataFrame([("I", "ABC", "equity")], "instrument_id string, internal_ticker string, asset_class string")
+    units = spark.createDataFrame([("I", "USD", d("1900-01-01"), d("9999-12-31"))], "instrument_id string, unit string, start_date date, end_date date")
+    fx = spark.createDataFrame([("USD", d("2020-01-01"), Decimal("3"), 1.0)], "code string, date date, value decimal(24,9), change double")
+    got = time_series_usd_dated(canonical, inst, fields, units, fx)
+    assert "hashpartitioning(field" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [float(r.value) for r in got.collect()] == [6.0]
