@@ -8,6 +8,9 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# Keys compress well, so a task's rows take 20 to 50 times its shuffled bytes: AQE gathers small partitions up to this.
+TASK_BYTES = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
+
 # Settings every job relies on: UTC so that ``ts::date`` means the UTC day,
 # AQE for runtime shuffle coalescing, skew splitting and broadcast conversion.
 BASE_CONF = {
@@ -15,6 +18,7 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    TASK_BYTES[0]: TASK_BYTES[1],
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

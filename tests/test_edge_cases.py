@@ -274,3 +274,16 @@ def test_rows_are_not_shuffled_by_source_or_field(spark):
     got = time_series_usd_dated(canonical, inst, fields, units, fx)
     assert "hashpartitioning(field" not in got._jdf.queryExecution().executedPlan().toString()
     assert [float(r.value) for r in got.collect()] == [6.0]
+
+
+def test_core_queries_gather_small_tasks(spark):
+    import __spark_entry__ as entry
+    from marketframe.session import TASK_BYTES
+    key = TASK_BYTES[0]
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64m")
+        entry._prepare(spark)
+        assert spark.conf.get(key) in ("16m", "16777216b")
+    finally:
+        spark.conf.set(key, before)
