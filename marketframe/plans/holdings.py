@@ -133,8 +133,9 @@ def _held(combined: DataFrame, days: DataFrame, eps, long_only: bool) -> DataFra
 
 def _with_closes(held: DataFrame, ts_usd: DataFrame) -> DataFrame:
     prices = ts_usd.where(F.col("field") == "close").select("instrument_id", "date", F.col("value").alias("price"))
+    # ids share their first letters, so sorting by them compares whole texts: prices are hashed instead
     fill = Window.partitionBy(*KEY).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return held.join(prices, ["instrument_id", "date"], "left").withColumn("close_usd", F.last("price", ignorenulls=True).over(fill))
+    return held.join(prices.hint("shuffle_hash"), ["instrument_id", "date"], "left").withColumn("close_usd", F.last("price", ignorenulls=True).over(fill))
 
 
 def last_closes(holdings: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ UNIT_SWITCH = dt.date(1998, 6, 1)     # date on which some equities switch to US
 
 def week(c) -> Column:
     """Monday of the ISO week of a timestamp, as DATE."""
-    return F.date_trunc("week", c).cast("date")
+    return F.trunc(F.col(c).cast("date"), "week")
 
 
 def padded(prefix: str, key, width: int = 17) -> Column:
@@ -132,18 +132,19 @@ class ModelTables:
                   .when(F.col("l_returnflag") == "N", "YAHOO").otherwise("ETORO"))
         raw = F.when(F.col("l_linestatus") == "O", F.col("l_extendedprice")).otherwise(
             100 * (F.col("l_discount") - F.col("l_tax")))
-        return (li.select(padded("EQU", "l_suppkey").alias("instrument_id"), field.alias("field"),
-                          week("l_shipdate").alias("date"), source.alias("source"), raw.alias("v"))
-                .groupBy(*S.OBS_KEY).agg(F.max("v").cast(S.VALUE).alias("value")))
+        # grouped by the short key, which names an instrument as its id does; ids are made for groups only
+        return (li.select("l_suppkey", field.alias("field"), week("l_shipdate").alias("date"), source.alias("source"), raw.alias("v"))
+                .groupBy("l_suppkey", "field", "date", "source").agg(F.max("v").alias("v"))
+                .select(padded("EQU", "l_suppkey").alias("instrument_id"), "field", "date", "source", F.col("v").cast(S.VALUE).alias("value")))
 
     @cached_property
     def fx_observations(self) -> DataFrame:
         o = self.raw("orders").select("o_custkey", "o_orderdate", "o_totalprice")
         c = self.raw("customer").select("c_custkey", "c_nationkey")
         return (o.join(c, o.o_custkey == c.c_custkey)
-                .groupBy(padded("CUR", "c_nationkey").alias("instrument_id"), F.lit("close").alias("field"),
-                         week("o_orderdate").alias("date"), F.lit("LSEG").alias("source"))
-                .agg(F.max("o_totalprice").cast(S.VALUE).alias("value")))
+                .groupBy("c_nationkey", week("o_orderdate").alias("date")).agg(F.max("o_totalprice").alias("v"))
+                .select(padded("CUR", "c_nationkey").alias("instrument_id"), F.lit("close").alias("field"), "date",
+                        F.lit("LSEG").alias("source"), F.col("v").cast(S.VALUE).alias("value")))
 
     @cached_property
     def usd_observations(self) -> DataFrame:

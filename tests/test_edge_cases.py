@@ -287,3 +287,26 @@ def test_core_queries_gather_small_tasks(spark):
         assert spark.conf.get(key) in ("16m", "16777216b")
     finally:
         spark.conf.set(key, before)
+
+
+def test_observations_are_grouped_by_the_short_key(spark, tmp_path):
+    from marketframe.sources.driver_tables import ModelTables
+    rows = [(7, "O", "A", dt.datetime(2020, 1, 1), 5.0), (7, "O", "A", dt.datetime(2020, 1, 3, 23), 6.0), (7, "O", "A", dt.datetime(2020, 1, 6), 1.0),
+            (7, "F", "R", dt.datetime(2020, 1, 1), 9.0), (None, "O", None, None, 2.0)]
+    spark.createDataFrame([(*r, 0.06, 0.01) for r in rows], "l_suppkey long, l_linestatus string, l_returnflag string, l_shipdate timestamp, "
+                          "l_extendedprice double, l_discount double, l_tax double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = ModelTables(spark, str(tmp_path)).equity_observations
+    assert "Aggregate [l_suppkey" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.columns == [*S.OBS_KEY, "value"]
+    key = "EQU" + "7".rjust(17, "0")
+    want = {(key, "close", d("2019-12-30"), "LSEG", 6.0), (key, "close", d("2020-01-06"), "LSEG", 1.0), (key, "totret", d("2019-12-30"), "ETORO", 5.0), (None, "close", None, "ETORO", 2.0)}
+    assert {(r.instrument_id, r.field, r.date, r.source, float(r.value)) for r in got.collect()} == want
+
+
+def test_closes_meet_holdings_without_sorting_both(spark):
+    from marketframe.plans.holdings import _with_closes
+    held = spark.createDataFrame([("P", "I", d("2020-01-01") + dt.timedelta(days=i), 1) for i in range(3)], "pf_id string, instrument_id string, date date, units int")
+    prices = spark.createDataFrame([("I", "close", d("2020-01-02"), 4)], "instrument_id string, field string, date date, value int")
+    got = _with_closes(held, prices)
+    assert "ShuffledHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    assert [r.close_usd for r in got.orderBy("date").collect()] == [None, 4, 4]
