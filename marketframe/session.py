@@ -8,7 +8,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Keys compress well, so a task's rows take 20 to 50 times its shuffled bytes: AQE gathers small partitions up to this.
+# Keys compress well, so a task's rows take up to 50 times its shuffled bytes: AQE gathers small partitions up to this.
 TASK_BYTES = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16m")
 
 # Settings every job relies on: UTC so that ``ts::date`` means the UTC day,
