@@ -152,9 +152,9 @@ def q_join_asof_forward(spark, sf_dir):
     SELECT pf_id, date, ROUND(CAST(nav AS DOUBLE), 5) AS nav, ROUND(CAST(cashflow AS DOUBLE), 5) AS cashflow,
            ROUND(totret, 4) AS totret FROM v_nav_joined""")
 def q_lag_return(spark, sf_dir):
-    from marketframe.plans.nav import agg_external_flows, agg_nav, join_asof_forward, lag_return
+    from marketframe.plans.nav import agg_external_flows, join_asof_forward, lag_return
     md = m(spark, sf_dir)
-    nav = agg_nav(md.holdings)
+    nav = md.nav
     r = lag_return(nav, join_asof_forward(agg_external_flows(md.activity), nav))
     return r.select("pf_id", "date", dbl("nav"), dbl("cashflow"), dbl("totret", 4))
 
@@ -182,9 +182,9 @@ def q_holdings_since(spark, sf_dir):
 @register("nav_returns_since", """
     SELECT instrument_id, field, date, source, CAST(value AS DOUBLE) AS value FROM v_nav_returns WHERE date >= DATE '1996-01-01'""")
 def q_nav_returns_since(spark, sf_dir):
-    from marketframe.plans.nav import agg_external_flows, agg_nav, last_navs, nav_returns_since
+    from marketframe.plans.nav import agg_external_flows, last_navs, nav_returns_since
     md = m(spark, sf_dir)
-    nav = agg_nav(md.holdings)
+    nav = md.nav
     before = last_navs(nav.where(F.col("date") < F.lit(ANCHOR)))
     r = nav_returns_since(nav.where(F.col("date") >= F.lit(ANCHOR)), agg_external_flows(md.activity), before)
     return r.select("instrument_id", "field", "date", "source", dbl("value"))

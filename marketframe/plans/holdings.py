@@ -76,14 +76,9 @@ def next_trading_index(indexed: DataFrame) -> DataFrame:
     return j.select(F.explode(F.sequence(start, F.col("date"))).alias("cal_date"), "td_idx")
 
 
-def _on_days(spans: DataFrame, days: DataFrame) -> DataFrame:
-    """One row per trading day in [from_date, to_date) of each span (to_date null: to the last day).
-
-    Both ends become indexes of trading days by an equi-join with the calendar,
-    the index range is exploded, and an equi-join turns indexes back into dates:
-    exactly the output rows are made.
-    """
-    indexed = index_days(days)
+def _placed(spans: DataFrame, indexed: DataFrame) -> DataFrame:
+    """Spans with the indexes ``_first`` and ``_last`` of their trading days, [from_date, to_date) (to_date null: to the
+    last day), by an equi-join of both ends with the calendar; spans without a trading day drop out."""
     lo, hi = indexed.select(F.min("date")).scalar(), indexed.select(F.max("date")).scalar()
     last = indexed.select(F.max("td_idx")).scalar()
     lookup = next_trading_index(indexed)
@@ -94,9 +89,19 @@ def _on_days(spans: DataFrame, days: DataFrame) -> DataFrame:
     placed = (spans.where(F.col("to_date").isNull() | (F.col("to_date") > lo))
               .withColumn("_from", F.greatest(F.col("from_date"), lo)).withColumn("_to", F.when(~open_end, F.col("to_date")))
               .join(begin, "_from").join(end, "_to", "left"))
-    days_of = placed.withColumn("_last", F.coalesce(F.col("_stop") - 1, last)).where(F.col("_first") <= F.col("_last"))
-    exploded = days_of.withColumn("td_idx", F.explode(F.sequence("_first", "_last")))
-    return exploded.join(indexed, "td_idx").drop("_from", "_to", "_first", "_stop", "_last", "td_idx", "from_date", "to_date")
+    return (placed.withColumn("_last", F.coalesce(F.col("_stop") - 1, last)).where(F.col("_first") <= F.col("_last"))
+            .drop("_from", "_to", "_stop", "from_date", "to_date"))
+
+
+def _on_days(spans: DataFrame, days: DataFrame) -> DataFrame:
+    """One row per trading day in [from_date, to_date) of each span (to_date null: to the last day).
+
+    Both ends become indexes of trading days, the index range is exploded, and an equi-join
+    turns indexes back into dates: exactly the output rows are made.
+    """
+    indexed = index_days(days)
+    exploded = _placed(spans, indexed).withColumn("td_idx", F.explode(F.sequence("_first", "_last")))
+    return exploded.join(indexed, "td_idx").drop("_first", "_last", "td_idx")
 
 
 def position_spine(combined: DataFrame, days: DataFrame) -> DataFrame:
@@ -115,29 +120,71 @@ def portfolio_holdings(activity: DataFrame, ts_usd: DataFrame, units: DataFrame,
     balance, so each is an interval of days.  Intervals not above ``eps`` go, and
     only the others are exploded to trading days: closed positions cost nothing.
     Activity off the trading calendar (weekend deposits) counts from the next
-    trading day on.  Then the left join to prices and the fill window.
+    trading day on.  Closes are filled by balances (:func:`_held`).
     """
     combined = combined if combined is not None else combined_activity(activity, units)
     days = days if days is not None else trading_days(ts_usd, combined, ratio)
-    held = _held(combined, days, eps, long_only)
-    return _with_closes(held, ts_usd).select(*HOLDING)
+    return _held(combined, ts_usd, days, eps, long_only)
+
 
+def _held(combined: DataFrame, ts_usd: DataFrame, days: DataFrame, eps, long_only: bool) -> DataFrame:
+    """Units of every balance above ``eps`` on each of its trading days, with the filled close.
 
-def _held(combined: DataFrame, days: DataFrame, eps, long_only: bool) -> DataFrame:
-    """Units of every balance above ``eps`` on each of its trading days."""
+    Closes are looked up by trading-day index in one array an instrument, so only balances and arrays are
+    shuffled, never the days of a balance.  A day takes the last close of its balance up to it; before the first of
+    these, that at the end of the balance before (``_carry``).
+    """
+    from marketframe.sources.sinks import materialize
     w = Window.partitionBy(*KEY).orderBy("date")
     balances = combined.select(*KEY, F.col("date").alias("from_date"), F.sum("units").over(w).alias("units"), F.lead("date").over(w).alias("to_date"))
     size = F.col("units") if long_only else F.abs(F.col("units"))
-    return _on_days(balances.where(size > F.lit(Decimal(str(eps)))), days)
+    indexed = index_days(days)
+    spans = _placed(balances.where(size > F.lit(Decimal(str(eps)))), indexed)
+    closes = materialize(_closes_by_index(ts_usd, indexed), "closes").hint("shuffle_hash")
+
+    def at(index: str):
+        place = F.col(index) - F.col("_base")
+        return F.when(place >= 0, F.get("_closes", place.cast("int")))
+
+    ended = spans.join(closes, "instrument_id", "left").withColumn("_close", at("_last"))
+    ended = ended.withColumn("_end", F.when(F.col("_close.at") >= F.col("_first"), F.col("_close.price"))).drop("_close", "_closes", "_base")
+    before = Window.partitionBy(*KEY).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ended.withColumn("_carry", F.last("_end", ignorenulls=True).over(before)).drop("_end")
+    on_days = carried.join(closes, "instrument_id", "left").withColumn("td_idx", F.explode(F.sequence("_first", "_last"))).withColumn("_close", at("td_idx"))
+    filled = F.when(F.col("_close.at") >= F.col("_first"), F.col("_close.price")).otherwise(F.col("_carry"))
+    rows = on_days.select(*KEY, "units", "td_idx", filled.alias("_filled"), F.col("_close.more").alias("_more"))
+    one = F.array(F.struct(F.lit(None).cast(ts_usd.schema["value"].dataType).alias("value")))
+    each = rows.select(*KEY, "units", "td_idx", "_filled", F.explode(F.coalesce("_more", one)).alias("_own"))
+    return each.withColumn("close_usd", F.coalesce("_own.value", "_filled")).join(F.broadcast(indexed), "td_idx").select(*HOLDING)
 
 
 def _with_closes(held: DataFrame, ts_usd: DataFrame) -> DataFrame:
+    """Held rows by day with their filled close, for rows that were not made of balances: a join and a window of all days."""
     prices = ts_usd.where(F.col("field") == "close").select("instrument_id", "date", F.col("value").alias("price"))
     # ids share their first letters, so sorting by them compares whole texts: prices are hashed instead
     fill = Window.partitionBy(*KEY).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return held.join(prices.hint("shuffle_hash"), ["instrument_id", "date"], "left").withColumn("close_usd", F.last("price", ignorenulls=True).over(fill))
 
 
+def _closes_by_index(ts_usd: DataFrame, indexed: DataFrame) -> DataFrame:
+    """One row per instrument: ``_closes[i]`` is the last close up to trading day ``_base`` + i: its price, the index
+    ``at`` of its own day, and all prices of this day if it has several rows (``more``).  Bounded by the calendar."""
+    last = indexed.select(F.max("td_idx")).scalar()
+    close = ts_usd.where((F.col("field") == "close") & F.col("instrument_id").isNotNull())
+    w = Window.partitionBy("instrument_id").orderBy("td_idx")
+    upto, same_day = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), w.rangeBetween(Window.currentRow, Window.currentRow)
+    own = F.when(F.col("value").isNotNull(), F.struct(F.col("td_idx").alias("at"), F.col("value").alias("price")))
+    stretches = (close.join(F.broadcast(indexed), "date")
+                 .select("instrument_id", "td_idx", F.lead("td_idx").over(w).alias("_next"), F.last(own, ignorenulls=True).over(upto).alias("_last"),
+                         F.collect_list(F.struct("value")).over(same_day).alias("more"))
+                 .where(F.col("_next").isNull() | (F.col("_next") > F.col("td_idx")))
+                 .select("instrument_id", "td_idx", "_last.at", "_last.price", F.when(F.size("more") > 1, F.col("more")).alias("more"),
+                         F.coalesce(F.col("_next") - 1, last).alias("_until")))
+    filled = stretches.withColumn("i", F.explode(F.sequence("td_idx", "_until")))
+    each = F.struct("i", "at", "price", F.when(F.col("i") == F.col("td_idx"), F.col("more")).alias("more"))
+    return filled.groupBy("instrument_id").agg(F.min("i").alias("_base"), F.sort_array(F.collect_list(each)).alias("_closes"))
+
+
 def last_closes(holdings: DataFrame) -> DataFrame:
     """The filled close of the last holding row of each portfolio and instrument: pf_id, instrument_id, date, close_usd."""
     return (holdings.groupBy(*KEY).agg(F.max(F.struct("date", "close_usd")).alias("r"))
@@ -156,7 +203,7 @@ def holdings_since(start: dt.date, before: DataFrame, combined: DataFrame, ts_us
     opening = (combined.where(F.col("date") < F.lit(start)).groupBy(*KEY).agg(F.sum("units").cast(units).alias("units"))
                .withColumn("date", F.lit(start - dt.timedelta(days=1))))
     later = combined.where(F.col("date") >= F.lit(start)).select(*KEY, "units", "date")
-    held = _held(opening.unionByName(later), days.where(F.col("date") >= F.lit(start)), eps, long_only)
-    filled = _with_closes(held, ts_usd.where(F.col("date") >= F.lit(start)))
+    since = F.col("date") >= F.lit(start)
+    filled = _held(opening.unionByName(later), ts_usd.where(since), days.where(since), eps, long_only)
     carried = before.select(*KEY, F.col("close_usd").alias("_carried"))
     return filled.join(carried, KEY, "left").withColumn("close_usd", F.coalesce("close_usd", "_carried")).select(*HOLDING)

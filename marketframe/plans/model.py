@@ -54,9 +54,13 @@ class Model(ModelTables):
     @cached_property
     def holdings(self) -> DataFrame:
         from marketframe.plans.holdings import portfolio_holdings
-        return materialize(portfolio_holdings(self.activity, self.ts_usd, self.units,
-                                              combined=self.combined, days=self.trading_days),
-                           "holdings")
+        return portfolio_holdings(self.activity, self.ts_usd, self.units, combined=self.combined, days=self.trading_days)
+
+    @cached_property
+    def nav(self) -> DataFrame:
+        """Written once, as it is small and read twice; holdings are only read for it, so they are not written."""
+        from marketframe.plans.nav import agg_nav
+        return materialize(agg_nav(self.holdings), "nav_days")
 
     @cached_property
     def nav_returns(self) -> DataFrame:

@@ -56,7 +56,8 @@ def lag_return(nav: DataFrame, flows_at_nav: DataFrame) -> DataFrame:
 def portfolio_nav_returns(holdings: DataFrame, activity: DataFrame) -> DataFrame:
     """NAV (``close``) and flow-adjusted return (``totret``) as observation rows
     of source ``system``, rounded to 5 places; null values are dropped."""
-    nav = agg_nav(holdings)
+    from marketframe.sources.sinks import materialize
+    nav = materialize(agg_nav(holdings), "nav_days")       # read twice, a row per portfolio and day
     flows = join_asof_forward(agg_external_flows(activity), nav)
     return _nav_rows(lag_return(nav, flows))
 

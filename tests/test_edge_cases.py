@@ -310,3 +310,29 @@ def test_closes_meet_holdings_without_sorting_both(spark):
     got = _with_closes(held, prices)
     assert "ShuffledHashJoin" in got._jdf.queryExecution().executedPlan().toString()
     assert [r.close_usd for r in got.orderBy("date").collect()] == [None, 4, 4]
+
+
+def test_closes_are_filled_by_balance_and_days_are_not_shuffled(spark):
+    from marketframe.plans.holdings import KEY, _on_days, _with_closes, portfolio_holdings
+    day = lambda i: d("2020-01-01") + dt.timedelta(days=i)      # noqa: E731
+    ledger = [("P", "I", day(1), 5), ("P", "I", day(3), -5), ("P", "I", day(6), 2), ("P", None, day(2), 1), ("Q", "I", day(4), 1), ("Q", "J", day(5), 3), ("Q", "I", day(7), 1)]
+    combined = spark.createDataFrame([(*r[:3], Decimal(r[3])) for r in ledger], "pf_id string, instrument_id string, date date, units decimal(38,8)")
+    closes = [("I", 2, 4), ("I", 4, 9), ("I", 7, None), ("I", 8, 7), ("I", 8, 6), ("J", 1, 1), (None, 3, 3)]
+    ts = spark.createDataFrame([(i, "close", day(n), None if v is None else Decimal(v)) for i, n, v in closes] + [("I", "totret", day(1), Decimal(50))],
+                               "instrument_id string, field string, date date, value decimal(19,5)")
+    days = spark.createDataFrame([(day(i),) for i in range(1, 10)], "date date")
+    got = portfolio_holdings(None, ts, None, combined=combined, days=days)
+    above = got._jdf.queryExecution().executedPlan().toString().split("Generate explode(")[0]
+    assert "Exchange hashpartitioning" not in above and "Window" not in above      # no row by day is dealt or sorted
+    rows = sorted((r.pf_id, r.instrument_id or "", r.date.day - 1, int(r.units), r.close_usd and int(r.close_usd)) for r in got.collect())
+    last = [r for r in rows if r[:3] == ("P", "I", 9) or r[:3] == ("Q", "I", 9)]
+    want = [("P", "", i, 1, None) for i in range(2, 10)] + [("P", "I", 1, 5, None), ("P", "I", 2, 5, 4), ("P", "I", 6, 2, 4), ("P", "I", 7, 2, 4), ("P", "I", 8, 2, 6), ("P", "I", 8, 2, 7)]
+    want += [("Q", "I", i, 1, 9) for i in (4, 5, 6)] + [("Q", "I", 7, 2, 9), ("Q", "I", 8, 2, 6), ("Q", "I", 8, 2, 7)] + [("Q", "J", i, 3, None) for i in range(5, 10)]
+    assert [r for r in rows if r not in last] == sorted(want, key=str)
+    assert [(*r[:4], r[4] in (6, 7)) for r in last] == [("P", "I", 9, 2, True), ("Q", "I", 9, 2, True)]      # of two closes of a day, either is carried
+    once = ts.where("value is null or value <> 6")
+    spans = combined.selectExpr(*KEY, "date as from_date", "sum(units) over (partition by pf_id, instrument_id order by date) as units",
+                                "lead(date) over (partition by pf_id, instrument_id order by date) as to_date").where("units > 0")
+    plain = _with_closes(_on_days(spans, days), once)
+    new = portfolio_holdings(None, once, None, combined=combined, days=days)
+    assert sorted(map(str, plain.select(*new.columns).collect())) == sorted(map(str, new.collect()))
