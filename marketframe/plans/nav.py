@@ -94,4 +94,6 @@ def nav_returns_since(nav: DataFrame, flows: DataFrame, before: DataFrame) -> Da
 def refresh_portfolios(observations: DataFrame, holdings: DataFrame, activity: DataFrame) -> DataFrame:
     """Observations with the portfolio rows upserted (vendor corrections style)."""
     from marketframe.operators.writes import upsert_observations
-    return upsert_observations(observations, portfolio_nav_returns(holdings, activity))
+    from marketframe.sources.sinks import materialize
+    # written once: the rows are read twice, and while their files are small the observations need no shuffle to meet them
+    return upsert_observations(observations, materialize(portfolio_nav_returns(holdings, activity), "nav"))

@@ -336,3 +336,12 @@ def test_closes_are_filled_by_balance_and_days_are_not_shuffled(spark):
     plain = _with_closes(_on_days(spans, days), once)
     new = portfolio_holdings(None, once, None, combined=combined, days=days)
     assert sorted(map(str, plain.select(*new.columns).collect())) == sorted(map(str, new.collect()))
+
+
+def test_refresh_of_portfolios_does_not_shuffle_the_observations(spark):
+    from marketframe.plans.nav import refresh_portfolios
+    obs = spark.createDataFrame([("P", "close", d("2020-01-01"), "system", Decimal(1)), ("I", "close", d("2020-01-01"), "LSEG", Decimal(2)), ("I", "close", d("2020-01-01"), "LSEG", Decimal(2))], S.OBSERVATIONS)
+    held = spark.createDataFrame([("P", "I", d("2020-01-01"), Decimal(3), Decimal(2))], "pf_id string, instrument_id string, date date, units decimal(38,8), close_usd decimal(19,5)")
+    got = refresh_portfolios(obs, held, spark.createDataFrame([], S.PORTFOLIO_ACTIVITY))
+    assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.instrument_id, r.field, r.source, int(r.value)) for r in got.collect()) == [("I", "close", "LSEG", 2), ("I", "close", "LSEG", 2), ("P", "close", "system", 6)]
