@@ -22,24 +22,32 @@ ENDS = np.zeros(256, bool)
 ENDS[list(b".,;:!?\n\x0b\x0c\r")] = True
 IN_WORDS = ~ENDS
 IN_WORDS[[9, 32]] = False
-#: The filter of frequent words, pairs and triples has 16 bits for each of them, and at most so many (32 MB): beyond, it lets
-#: more infrequent phrases through, which are counted as well and dropped by their counts.
+#: A document's mark is one of 128, by its words.  Each frequent word, pair and triple is spelled out only from the documents of the
+#: greatest mark among those that hold it, not by every task that meets it.
+MARKS = 128
+_MARK_BITS = MARKS.bit_length() - 1
+_NOTE_BITS = _MARK_BITS + 2                                 # of a count: a mark below the size of the phrase
+_NOTE = (1 << _NOTE_BITS) - 1
+_SPREAD = 0x0101010101010101                                # times a mark: each byte is the mark
+#: The filters of frequent triples, and of frequent words, pairs and triples with their marks, have 16 bits for each of them, and at
+#: most so many (32 MB): beyond, they let more infrequent phrases through, which are dropped by their counts.
 MOST_FILTER_BITS = 1 << 28
 _SLICE = 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_RUN = f"lang string, {', '.join(f'w{i} long' for i in range(1, LONGEST + 1))}, n long, word string"
+_RUN = f"gram long, lang string, {', '.join(f'w{i} long' for i in range(1, LONGEST + 1))}, n long, word string"
 
 
 @dataclass
 class Grams:
-    """Words of a slice of documents: their hashes (0 is no word's), that of their documents' languages, and how many
-    words of the same piece follow each, up to ``LONGEST`` - 1."""
+    """Words of a slice of documents: their hashes (0 is no word's), that of their documents' languages, their documents'
+    marks, and how many words of the same piece follow each, up to ``LONGEST`` - 1."""
 
     data: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
     words: np.ndarray
     lang: np.ndarray
+    mark: np.ndarray
     follow: np.ndarray
 
     @classmethod
@@ -48,13 +56,15 @@ class Grams:
         words = word_hashes(folded, starts, ends)
         words[words == 0] = 1
         row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words)])
+        marks = mixed(total[first[1:]] - total[first[:-1]]) % np.uint64(MARKS)
         piece = np.concatenate([[0], np.cumsum(ENDS[folded])])[starts] if len(starts) else starts
         linked = np.zeros(len(words), bool)
         linked[:-1] = (row[1:] == row[:-1]) & (piece[1:] == piece[:-1])
         follow = np.zeros(len(words), np.int8)
         for _ in range(LONGEST - 1):
             follow[:-1] = np.where(linked[:-1], np.minimum(follow[1:] + 1, LONGEST - 1), 0)
-        return cls(folded, starts, ends, words, langs[row], follow)
+        return cls(folded, starts, ends, words, langs[row], marks[row], follow)
 
     def keys(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For phrases of one word, two, up to ``FILTERED``: where they begin, and hashes of them with their language."""
@@ -87,22 +97,33 @@ def _cast(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def _noted(counts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of counts, with the greatest of their notes."""
+    return np.add.reduceat(counts & ~_NOTE, first) | np.maximum.reduceat(counts & _NOTE, first)
+
+
 def _frequent(texts: DataFrame, least: int, budget: int, burst: int) -> DataFrame:
-    """Hashes (``gram``) of the words, pairs and triples, with their language, that occur ``least`` times or more."""
+    """Hashes (``gram``) of the words, pairs and triples, with their language, that occur ``least`` times or more, with
+    their counts ``a``, numbers of words ``size`` and the greatest ``mark`` of documents that hold them."""
     fields = [("gram", pa.int64()), ("n", pa.int64())]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = HatTrie(1, budget, burst)
+        trie = HatTrie(1, budget, burst, _noted)
         for grams, _ in _slices(batches):
-            keys = np.concatenate([k for _, k in grams.keys()])
-            for (run,), n in trie.add([keys], np.ones(len(keys), np.int64)):
+            keys, counts, marks = [], [], grams.mark.view(np.int64)
+            for size, (at, k) in enumerate(grams.keys(), 1):
+                keys.append(k)
+                counts.append(marks[at] | (1 << _NOTE_BITS | size << _MARK_BITS))
+            for (run,), n in trie.add([np.concatenate(keys)], np.concatenate(counts)):
                 yield _batch([_cast(run), n], fields)
         for (run,), n in trie.spill():
             yield _batch([_cast(run), n], fields)
 
     # tasks have put equal hashes together already, so runs are dealt before Spark sums them up
     counted = texts.mapInArrow(count, "gram long, n long").repartition("gram")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("gram")
+    summed = counted.groupBy("gram").agg(F.sum(F.shiftright("n", _NOTE_BITS)).alias("a"), F.max(F.col("n").bitwiseAND(F.lit(_NOTE))).alias("note"))
+    return summed.where(F.col("a") >= least).select(
+        "gram", "a", F.shiftright("note", _MARK_BITS).alias("size"), F.col("note").bitwiseAND(F.lit(MARKS - 1)).alias("mark"))
 
 
 @dataclass
@@ -131,52 +152,57 @@ class Filter:
         return found
 
 
-def _runs(texts: DataFrame, frequent: Filter, budget: int, burst: int) -> DataFrame:
-    """Sorted runs of counts: language, the hashes of one to four words (0: none), n.
+def _runs(texts: DataFrame, triples: Filter, marked: Filter, budget: int, burst: int) -> DataFrame:
+    """Rows of the words of frequent words, pairs and triples, and sorted runs of counts of longer phrases: the hash of a
+    phrase of up to three words (null of others), language, the hashes of one to four words (0: none), n, and the text of a single word.
 
-    Only words, pairs and triples that pass the filter are counted, and longer phrases all of whose triples do: a phrase
-    occurs no more often than any part.  A row without words counts all words of its language; a row with ``word``
-    gives the text of a hash.
+    The former are sent once a task, from documents of their mark, and without counts: those are known by hash.  The latter are
+    counted if all their triples pass the filter: a phrase occurs no more often than any part.  A row without words counts all words of
+    its language.
     """
-    sent = texts.sparkSession.sparkContext.broadcast(frequent)
-    fields = [("lang", pa.string()), *[(f"w{i}", pa.int64()) for i in range(1, LONGEST + 1)], ("n", pa.int64()), ("word", pa.string())]
+    sent = texts.sparkSession.sparkContext.broadcast((triples, marked))
+    fields = [("gram", pa.int64()), ("lang", pa.string()), *[(f"w{i}", pa.int64()) for i in range(1, LONGEST + 1)], ("n", pa.int64()), ("word", pa.string())]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, names = HatTrie(1 + LONGEST, budget, burst), {}
-        known = np.zeros(0, np.uint64)                      # hashes whose text this task has sent
+        (triples, marked), trie, names = sent.value, HatTrie(1 + LONGEST, budget, burst), {}
+        known = np.zeros(0, np.uint64)                      # hashes whose words this task has sent
 
         def written(run: Rows) -> Iterator[pa.RecordBatch]:
             (lang, *words), n = run
             for i in range(0, len(n), 1 << 16):
                 part = slice(i, i + (1 << 16))
-                yield _batch([[names[x] for x in lang[part].tolist()], *[_cast(w[part]) for w in words], n[part], [None] * len(n[part])], fields)
+                none = [None] * len(n[part])
+                yield _batch([none, [names[x] for x in lang[part].tolist()], *[_cast(w[part]) for w in words], n[part], none], fields)
 
         for grams, here in _slices(batches):
             names |= here
-            passes = []                                     # by size: whether a phrase that begins here passes
-            for at, keys in grams.keys():
-                passes.append(np.zeros(len(grams.words), bool))
-                passes[-1][at[sent.value.passes(keys)]] = True
+            spread, passes, found = grams.mark * np.uint64(_SPREAD), np.zeros(len(grams.words), bool), []
+            for size, (at, keys) in enumerate(grams.keys(), 1):
+                mine = marked.passes(keys ^ spread[at])
+                found.append((keys[mine], at[mine], np.full(mine.sum(), size)))
+                if size == FILTERED:
+                    passes[at[triples.passes(keys)]] = True
+            keys, at, sizes = (np.concatenate(x) for x in zip(*found))
+            distinct, first = np.unique(keys, return_index=True)
+            new = ~np.isin(distinct, known)
+            if new.any():
+                at, sizes = at[first[new]], sizes[first[new]]
+                words = [np.where(k < sizes, grams.words[np.minimum(at + k, len(grams.words) - 1)], np.uint64(0)) for k in range(LONGEST)]
+                text = [grams.data[a:b].tobytes().decode("utf-8", "replace") if size == 1 else None
+                        for a, b, size in zip(grams.starts[at].tolist(), grams.ends[at].tolist(), sizes.tolist())]
+                yield _batch([_cast(distinct[new]), [names[x] for x in grams.lang[at].tolist()], *map(_cast, words), np.zeros(len(at), np.int64), text], fields)
+                known = np.union1d(known, distinct[new]) if len(known) < budget else distinct[new]
             langs, n_words = np.unique(grams.lang, return_counts=True)
             none = [np.zeros(len(langs), np.uint64)] * LONGEST
             for run in trie.add([langs, *none], n_words):
                 yield from written(run)
-            for size in range(1, LONGEST + 1):
-                if size <= FILTERED:
-                    at = np.flatnonzero(passes[size - 1])
-                else:                                       # both parts with one word less pass
-                    at = at[grams.follow[at] >= size - 1]
-                    at = at[passes[FILTERED - 1][at + size - FILTERED]]
+            at = np.flatnonzero(passes)
+            for size in range(FILTERED + 1, LONGEST + 1):   # both parts with one word less pass
+                at = at[grams.follow[at] >= size - 1]
+                at = at[passes[at + size - FILTERED]]
                 words = [grams.words[at + k] if k < size else np.zeros(len(at), np.uint64) for k in range(LONGEST)]
                 for run in trie.add([grams.lang[at], *words], np.ones(len(at), np.int64)):
                     yield from written(run)
-            distinct, at = np.unique(grams.words[passes[0]], return_index=True)
-            new = ~np.isin(distinct, known)
-            if new.any():
-                at = np.flatnonzero(passes[0])[at[new]]
-                text = [grams.data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(grams.starts[at].tolist(), grams.ends[at].tolist())]
-                yield _batch([[None] * len(at), _cast(distinct[new]), *[[0] * len(at)] * (LONGEST - 1), [0] * len(at), text], fields)
-                known = np.union1d(known, distinct[new]) if len(known) < budget else distinct[new]
         for run in trie.spill():
             yield from written(run)
 
@@ -209,16 +235,21 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: i
     longer one with ``covered`` percent of their occurrences are left out.  Null texts are empty, a null lang is ``und``;
     repeated rows count each; other columns are not read; an empty table gives no rows.
 
-    Words and phrases are compared by 64 bits for each word.  Tasks count in HAT-tries of bounded memory, first the hashes of all
-    words, pairs and triples, then whatever is made of frequent ones, and spill sorted runs; runs are merged by the whole phrase, as
-    a prefix can hold a third of all.  ``budget``, ``burst`` and ``most_filter_bits`` change memory and speed alone.
+    Words, pairs and triples are compared by 64 bits, longer phrases by 64 bits for each word.  Tasks count in HAT-tries of bounded
+    memory, first the hashes of all words, pairs and triples, then the longer phrases made of frequent ones, and spill sorted runs;
+    runs are merged by the whole phrase, as a prefix can hold a third of all.  The words of a frequent pair or triple are
+    read from the documents of one mark.  ``budget``, ``burst`` and ``most_filter_bits`` change memory and speed alone.
     """
     scratch = Scratch(docs.sparkSession, "collocations")
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    frequent = Filter.of(scratch.store(_frequent(texts, least, budget, burst), "frequent"), most_filter_bits)
-    runs = scratch.store(_runs(texts, frequent, budget, burst), "runs")
+    frequent = scratch.store(_frequent(texts, least, budget, burst), "frequent")
+    triples = Filter.of(frequent.where(F.col("size") == FILTERED).select("gram"), most_filter_bits)
+    marked = Filter.of(frequent.select(F.col("gram").bitwiseXOR(F.col("mark") * F.lit(_SPREAD)).alias("gram")), most_filter_bits)
+    runs = scratch.store(_runs(texts, triples, marked, budget, burst), "runs")
     hashes = [f"w{i}" for i in range(1, LONGEST + 1)]
-    merged = runs.where("word is null").groupBy("lang", *hashes).agg(F.sum("n").alias("a")).where((F.col("a") >= least) | (F.col("w1") == 0))
+    short = runs.where("gram is not null").select("gram", "lang", *hashes).distinct().join(frequent.select("gram", "a"), "gram").drop("gram")
+    longer = runs.where("gram is null").groupBy("lang", *hashes).agg(F.sum("n").alias("a")).where((F.col("a") >= least) | (F.col("w1") == 0))
+    merged = short.select("lang", *hashes, "a").unionByName(longer)
     merged = scratch.store(merged.select("lang", F.array_remove(F.array(*hashes), 0).alias("words"), "a"), "phrases")
     totals = merged.where(F.size("words") == 0).select("lang", F.col("a").alias("n"))
     scored = _scored(merged.where(F.size("words") > 0), covered)

@@ -8,17 +8,18 @@ several numbers at its place, and becomes a node for the next place when it hold
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
 from marketframe.llm.textscan import mixed
 
 Rows = tuple[list[np.ndarray], np.ndarray]                  # the places' numbers, and the counts
+Combine = Callable[[np.ndarray, np.ndarray], np.ndarray]    # counts, and where each row's begin: one count a row
 
 
-def grouped(places: list[np.ndarray], counts: np.ndarray) -> Rows:
-    """Each row once, with the sum of its counts, in the order of the rows' hashes."""
+def grouped(places: list[np.ndarray], counts: np.ndarray, combine: Combine = np.add.reduceat) -> Rows:
+    """Each row once, with the sum of its counts (or what ``combine`` makes of them), in the order of the rows' hashes."""
     if not len(counts):
         return places, counts
     h = places[0]
@@ -35,7 +36,7 @@ def grouped(places: list[np.ndarray], counts: np.ndarray) -> Rows:
         order, places = order[again], [p[again] for p in places]
         new = np.concatenate([[True], np.any([p[1:] != p[:-1] for p in places], axis=0)])
     first = np.flatnonzero(new)
-    return [p[first] for p in places], np.add.reduceat(counts[order], first)
+    return [p[first] for p in places], combine(counts[order], first)
 
 
 def _joined(parts: list[Rows]) -> Rows:
@@ -45,8 +46,8 @@ def _joined(parts: list[Rows]) -> Rows:
 class Container:
     """Rows by their hash, and rows added since they were last grouped."""
 
-    def __init__(self, rows: Rows | None = None):
-        self.parts = [rows] if rows else []
+    def __init__(self, combine: Combine, rows: Rows | None = None):
+        self.combine, self.parts = combine, [rows] if rows else []
         self.settled = self.rows = len(rows[1]) if rows else 0
 
     def add(self, places: list[np.ndarray], counts: np.ndarray) -> None:
@@ -55,7 +56,7 @@ class Container:
 
     def settle(self) -> None:
         if len(self.parts) > 1:
-            self.parts = [grouped(*_joined(self.parts))]
+            self.parts = [grouped(*_joined(self.parts), self.combine)]
         self.settled = self.rows = len(self.parts[0][1]) if self.parts else 0
 
     def containers(self) -> Iterator["Container"]:
@@ -79,16 +80,16 @@ class Node:
 
 class HatTrie:
     """Counts rows of ``places`` numbers.  At most about ``budget`` rows are held (and those just added);
-    a container bursts beyond ``burst`` rows."""
+    a container bursts beyond ``burst`` rows.  Counts of one row are summed, or put together by ``combine``."""
 
-    def __init__(self, places: int, budget: int = 1 << 20, burst: int = 1 << 15):
-        self.places, self.budget, self.burst = places, budget, burst
-        self.root = Node(0, Container())
+    def __init__(self, places: int, budget: int = 1 << 20, burst: int = 1 << 15, combine: Combine = np.add.reduceat):
+        self.places, self.budget, self.burst, self.combine = places, budget, burst, combine
+        self.root = Node(0, Container(combine))
         self.rows = 0
 
     def add(self, places: list[np.ndarray], counts: np.ndarray) -> Iterator[Rows]:
         """Count rows; sorted runs of the largest subtrees if there are too many rows now."""
-        places, counts = grouped(places, counts)
+        places, counts = grouped(places, counts, self.combine)
         if len(counts):
             self._add(self.root, places, counts)
         if self.rows > self.budget:
@@ -102,7 +103,7 @@ class HatTrie:
             if self.rows <= keep:
                 return
             held = [c for c in self.root.children[i].containers() if c.rows]
-            self.root.children[i], before = Container(), sum(c.rows for c in held)
+            self.root.children[i], before = Container(self.combine), sum(c.rows for c in held)
             self.rows -= before
             if held:
                 for c in held:
@@ -148,7 +149,7 @@ class HatTrie:
         if half == low:
             half = numbers[numbers > low].min()
         left = numbers < half
-        halves = [Container(([p[at] for p in places], counts[at])) for at in (left, ~left)]
+        halves = [Container(self.combine, ([p[at] for p in places], counts[at])) for at in (left, ~left)]
         node.children[i: i + 1] = halves
         node.bounds = np.insert(node.bounds, i + 1, half)
         for part in halves:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from marketframe.llm.arrow import Scratch
 from marketframe.llm.collocations import OP13_SQL, Filter, collocations, op13_collocations
 from marketframe.llm.hat_trie import HatTrie, grouped
 
@@ -61,6 +62,22 @@ def test_ties_hot_words_and_long_texts(spark):
     assert [r[2] for r in got if r[0] == "de"] == ["p q", "x y"]
 
 
+def test_frequent_phrases_are_not_sent_by_every_task(spark, monkeypatch):
+    stored, store = {}, Scratch.store
+    monkeypatch.setattr(Scratch, "store", lambda self, df, name: stored.setdefault(name, store(self, df, name)))
+    rows = [(f"alpha beta gamma, item number {i}", "en") for i in range(640)]
+    got = collocations(spark.createDataFrame(rows, "text string, lang string").repartition(40), least=30).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 30, 2000)
+    short = stored["runs"].where("w1 != 0 and w4 = 0 and n >= 0").count()
+    assert 9 <= short < 40 * 9 / 2                          # five words, three pairs and a triple: 40 tasks hold each
+
+
+def test_copies_marks_and_counts_beyond_one_slice(spark):
+    rows = [("one and the same. text of a copy", "en")] * 90 + [("the same text", lang) for lang in ("en", "de", None)] * 40 + [("of a copy " * 3, None)] * 20
+    for budget in (1 << 20, 4):
+        assert found(spark, rows, least=30, budget=budget, burst=2) == brute(rows, 30, 2000)
+
+
 def test_empty_and_odd_tables(spark):
     odd = spark.createDataFrame([("a b", "en", 1, 2, "z")] * 3, "text string, lang string, w1 int, n int, word string")
     assert [r.phrase for r in collocations(odd, least=3).collect()] == ["a b"]
@@ -93,6 +110,19 @@ def test_trie_counts_whatever_its_bounds():
         assert got == total
 
 
+def test_trie_keeps_the_greatest_note():
+    from marketframe.llm.collocations import _NOTE, _NOTE_BITS, _noted
+    r = np.random.default_rng(7)
+    keys, notes = r.integers(0, 50, 4000).astype(np.uint64), r.integers(0, _NOTE + 1, 4000)
+    trie, got = HatTrie(1, 20, 4, _noted), {}
+    runs = [run for i in range(0, 4000, 100) for run in trie.add([keys[i: i + 100]], 1 << _NOTE_BITS | notes[i: i + 100])]
+    for (run,), packed in runs + list(trie.spill()):
+        for k, n, note in zip(run.tolist(), (packed >> _NOTE_BITS).tolist(), (packed & _NOTE).tolist()):
+            before = got.get(k, (0, 0))
+            got[k] = before[0] + n, max(before[1], note)
+    assert got == {k: ((keys == k).sum(), notes[keys == k].max()) for k in np.unique(keys).tolist()}
+
+
 def test_rows_of_one_hash_stay_apart(monkeypatch):
     from marketframe.llm import hat_trie
     monkeypatch.setattr(hat_trie, "mixed", lambda h: h * np.uint64(0))
