@@ -29,8 +29,8 @@ _MARK_BITS = MARKS.bit_length() - 1
 _NOTE_BITS = _MARK_BITS + 2                                 # of a count: a mark below the size of the phrase
 _NOTE = (1 << _NOTE_BITS) - 1
 _SPREAD = 0x0101010101010101                                # times a mark: each byte is the mark
-#: The filters of frequent triples, and of frequent words, pairs and triples with their marks, have 16 bits for each of them, and at
-#: most so many (32 MB): beyond, they let more infrequent phrases through, which are dropped by their counts.
+#: The filters of frequent pairs, of frequent triples, and of frequent words, pairs and triples with their marks, have 16 bits for each
+#: of them, and at most so many (32 MB): beyond, they let more infrequent phrases through, which are dropped by their counts.
 MOST_FILTER_BITS = 1 << 28
 _SLICE = 1 << 20
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -66,11 +66,11 @@ class Grams:
             follow[:-1] = np.where(linked[:-1], np.minimum(follow[1:] + 1, LONGEST - 1), 0)
         return cls(folded, starts, ends, words, langs[row], marks[row], follow)
 
-    def keys(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For phrases of one word, two, up to ``FILTERED``: where they begin, and hashes of them with their language."""
+    def keys(self, longest: int = FILTERED) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For phrases of one word, two, up to ``longest``: where they begin, and hashes of them with their language."""
         at, keys = np.arange(len(self.words)), mixed(self.lang * _FACTOR + self.words)
         yield at, keys
-        for size in range(2, FILTERED + 1):
+        for size in range(2, longest + 1):
             goes_on = self.follow[at] >= size - 1
             at = at[goes_on]
             keys = mixed(keys[goes_on] * np.uint64(31) + self.words[at + size - 1])
@@ -102,30 +102,6 @@ def _noted(counts: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.add.reduceat(counts & ~_NOTE, first) | np.maximum.reduceat(counts & _NOTE, first)
 
 
-def _frequent(texts: DataFrame, least: int, budget: int, burst: int) -> DataFrame:
-    """Hashes (``gram``) of the words, pairs and triples, with their language, that occur ``least`` times or more, with
-    their counts ``a``, numbers of words ``size`` and the greatest ``mark`` of documents that hold them."""
-    fields = [("gram", pa.int64()), ("n", pa.int64())]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = HatTrie(1, budget, burst, _noted)
-        for grams, _ in _slices(batches):
-            keys, counts, marks = [], [], grams.mark.view(np.int64)
-            for size, (at, k) in enumerate(grams.keys(), 1):
-                keys.append(k)
-                counts.append(marks[at] | (1 << _NOTE_BITS | size << _MARK_BITS))
-            for (run,), n in trie.add([np.concatenate(keys)], np.concatenate(counts)):
-                yield _batch([_cast(run), n], fields)
-        for (run,), n in trie.spill():
-            yield _batch([_cast(run), n], fields)
-
-    # tasks have put equal hashes together already, so runs are dealt before Spark sums them up
-    counted = texts.mapInArrow(count, "gram long, n long").repartition("gram")
-    summed = counted.groupBy("gram").agg(F.sum(F.shiftright("n", _NOTE_BITS)).alias("a"), F.max(F.col("n").bitwiseAND(F.lit(_NOTE))).alias("note"))
-    return summed.where(F.col("a") >= least).select(
-        "gram", "a", F.shiftright("note", _MARK_BITS).alias("size"), F.col("note").bitwiseAND(F.lit(MARKS - 1)).alias("mark"))
-
-
 @dataclass
 class Filter:
     """A Bloom filter with two bits for each hash."""
@@ -152,6 +128,41 @@ class Filter:
         return found
 
 
+def _frequent(texts: DataFrame, shortest: int, longest: int, least: int, budget: int, burst: int, parts: Filter | None = None) -> DataFrame:
+    """Hashes (``gram``) of the phrases of ``shortest`` to ``longest`` words, with their language, that occur ``least`` times or
+    more, with their counts ``a``, numbers of words ``size`` and the greatest ``mark`` of documents that hold them.
+
+    ``parts`` is a filter of the frequent phrases of one word less than ``shortest``: only phrases whose two such parts pass
+    are counted, as a phrase occurs no more often than any part."""
+    sent = texts.sparkSession.sparkContext.broadcast(parts)
+    fields = [("gram", pa.int64()), ("n", pa.int64())]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, trie = sent.value, HatTrie(1, budget, burst, _noted)
+        for grams, _ in _slices(batches):
+            keys, counts, marks, passes = [], [], grams.mark.view(np.int64), np.zeros(len(grams.words), bool)
+            for size, (at, k) in enumerate(grams.keys(longest), 1):
+                if size < shortest:
+                    if parts and size == shortest - 1:
+                        passes[at[parts.passes(k)]] = True
+                    continue
+                if parts:
+                    both = passes[at] & passes[at + size - shortest + 1]
+                    at, k = at[both], k[both]
+                keys.append(k)
+                counts.append(marks[at] | (1 << _NOTE_BITS | size << _MARK_BITS))
+            for (run,), n in trie.add([np.concatenate(keys)], np.concatenate(counts)):
+                yield _batch([_cast(run), n], fields)
+        for (run,), n in trie.spill():
+            yield _batch([_cast(run), n], fields)
+
+    # tasks have put equal hashes together already, so runs are dealt before Spark sums them up
+    counted = texts.mapInArrow(count, "gram long, n long").repartition("gram")
+    summed = counted.groupBy("gram").agg(F.sum(F.shiftright("n", _NOTE_BITS)).alias("a"), F.max(F.col("n").bitwiseAND(F.lit(_NOTE))).alias("note"))
+    return summed.where(F.col("a") >= least).select(
+        "gram", "a", F.shiftright("note", _MARK_BITS).alias("size"), F.col("note").bitwiseAND(F.lit(MARKS - 1)).alias("mark"))
+
+
 def _runs(texts: DataFrame, triples: Filter, marked: Filter, budget: int, burst: int) -> DataFrame:
     """Rows of the words of frequent words, pairs and triples, and sorted runs of counts of longer phrases: the hash of a
     phrase of up to three words (null of others), language, the hashes of one to four words (0: none), n, and the text of a single word.
@@ -236,14 +247,17 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: i
     repeated rows count each; other columns are not read; an empty table gives no rows.
 
     Words, pairs and triples are compared by 64 bits, longer phrases by 64 bits for each word.  Tasks count in HAT-tries of bounded
-    memory, first the hashes of all words, pairs and triples, then the longer phrases made of frequent ones, and spill sorted runs;
-    runs are merged by the whole phrase, as a prefix can hold a third of all.  The words of a frequent pair or triple are
-    read from the documents of one mark.  ``budget``, ``burst`` and ``most_filter_bits`` change memory and speed alone.
+    memory, first the hashes of all words and pairs, then those of triples made of frequent pairs, then the longer phrases made of
+    frequent triples, and spill sorted runs; runs are merged by the whole phrase, as a prefix can hold a third of all.  The words of a
+    frequent pair or triple are read from the documents of one mark.  ``budget``, ``burst`` and ``most_filter_bits`` change memory and speed alone.
     """
     scratch = Scratch(docs.sparkSession, "collocations")
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    frequent = scratch.store(_frequent(texts, least, budget, burst), "frequent")
-    triples = Filter.of(frequent.where(F.col("size") == FILTERED).select("gram"), most_filter_bits)
+    frequent = scratch.store(_frequent(texts, 1, FILTERED - 1, least, budget, burst), "frequent")
+    pairs = Filter.of(frequent.where(F.col("size") == FILTERED - 1).select("gram"), most_filter_bits)
+    longest = scratch.store(_frequent(texts, FILTERED, FILTERED, least, budget, burst, pairs), "triples")
+    triples = Filter.of(longest.select("gram"), most_filter_bits)
+    frequent = frequent.unionByName(longest)
     marked = Filter.of(frequent.select(F.col("gram").bitwiseXOR(F.col("mark") * F.lit(_SPREAD)).alias("gram")), most_filter_bits)
     runs = scratch.store(_runs(texts, triples, marked, budget, burst), "runs")
     hashes = [f"w{i}" for i in range(1, LONGEST + 1)]

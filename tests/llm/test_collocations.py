@@ -72,6 +72,22 @@ def test_frequent_phrases_are_not_sent_by_every_task(spark, monkeypatch):
     assert 9 <= short < 40 * 9 / 2                          # five words, three pairs and a triple: 40 tasks hold each
 
 
+def test_triples_of_infrequent_pairs_are_not_dealt(spark, monkeypatch):
+    rows = [(f"alpha beta gamma, item number {i} beta gamma delta. alpha {i} gamma", "en") for i in range(400)] + [("alpha beta gamma", "de")] * 20
+    docs, dealt = spark.createDataFrame(rows, "text string, lang string").repartition(1), []
+    repartition = type(docs).repartition
+    monkeypatch.setattr(type(docs), "repartition", lambda self, *by: dealt.append(self) or repartition(self, *by))
+    assert sorted(map(tuple, collocations(docs, least=30).collect())) == brute(rows, 30, 2000)
+    f = Counter((lang, *words[i: i + m]) for text, lang in rows for piece in re.split("[.,]", text) for words in [piece.split()]
+                for m in (1, 2, 3) for i in range(len(words) - m + 1))
+    short = sum(len(p) <= 3 for p in f)                     # words and pairs
+    triples = [p for p in f if len(p) == 4]
+    kept = sum(f[p[:3]] >= 30 and f[p[0], *p[2:]] >= 30 for p in triples)
+    rows_dealt = [d.count() for d in dealt]
+    assert rows_dealt[0] == short and kept == 2 and len(triples) > 1600
+    assert kept <= sum(rows_dealt[1:]) < len(triples) / 4   # the filter may let some more through
+
+
 def test_copies_marks_and_counts_beyond_one_slice(spark):
     rows = [("one and the same. text of a copy", "en")] * 90 + [("the same text", lang) for lang in ("en", "de", None)] * 40 + [("of a copy " * 3, None)] * 20
     for budget in (1 << 20, 4):
